@@ -189,6 +189,23 @@ FROM (SELECT unique_id, descricao, valor_abs,
              TRY_CAST(nullif(regexp_extract(descricao, '\((\d+)/(\d+)\)', 2), '') AS INTEGER) AS tp
       FROM movimentos) m
 """,
+    "ingest_files": _AUDIT,
+    "ingest_infer": """
+SELECT unique_id, CAST(id AS INTEGER) AS id, CAST(conta_id AS INTEGER) AS conta_id,
+       CAST(cartao_id AS INTEGER) AS cartao_id, CAST(tipo_transacao_id AS INTEGER) AS tipo_transacao_id,
+       CAST(tipo_transacao_filho_id AS INTEGER) AS tipo_transacao_filho_id, data, descricao, tipo, situacao,
+       ignorada, fixa, CAST(valor AS DOUBLE) AS valor, CAST(valor_abs AS DOUBLE) AS valor_abs
+FROM movimentos
+""",
+    "ingest_evolve": """
+SELECT c_custkey AS id, c_name AS nome,
+       CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN NULL ELSE c_mktsegment END AS segmento,
+       CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN NULL
+            ELSE lpad(CAST(c_custkey AS VARCHAR), 6, '0') END AS codigo
+FROM customer
+""",
+    "snapshot_csv_roundtrip": "SELECT id, nome, '20240115_120000' AS extraction_ts FROM contas",
+    "scd1_stream": _SCD1_EVENTS,
     "month_keys": """
 SELECT unique_id, data, strftime(data, '%Y-%m-01') AS ano_mes, strftime(data, '%Y%m%d') AS chave_dia,
        strftime(data, '%Y%m01') AS chave_mes, CAST(strftime(data, '%Y-12-31') AS DATE) AS fim_ano

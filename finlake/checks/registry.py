@@ -6,11 +6,9 @@ from __future__ import annotations
 def queries():
     from finlake.checks import marts
     out = dict(marts.QUERIES)
-    try:
-        from finlake.checks import ops
-        out.update(ops.QUERIES)
-    except ImportError:
-        pass
+    from finlake.checks import ingest, ops
+    out.update(ops.QUERIES)
+    out.update(ingest.QUERIES)
     return out
 
 
