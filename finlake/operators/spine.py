@@ -54,6 +54,6 @@ def dense_panel(dim: DataFrame, months: DataFrame, month_col: str, out: str = "m
     calendar guarantees by construction.
     """
     m = months.select(F.to_date(F.col(month_col)).alias("_m"))
-    lo = m.select(F.min("_m")).scalar()
-    hi = m.select(F.max("_m")).scalar()
-    return dim.withColumn(out, F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))))
+    b = m.select(F.struct(F.min("_m").alias("lo"), F.max("_m").alias("hi"))).scalar()
+    return dim.withColumn(out, F.explode(F.sequence(b.getField("lo"), b.getField("hi"),
+                                                    F.expr("INTERVAL 1 MONTH"))))

@@ -65,8 +65,11 @@ def categories(income: DataFrame, expense: DataFrame, json_col: str = "payload",
             F.col("_i.arquivado").alias("arquivado"))
 
     spark = income.sparkSession
-    fixed = spark.createDataFrame([(i, p, n, nat, False) for i, p, n, nat in sentinels],
-                                  "id bigint, pai_id bigint, categoria string, natureza string, arquivado boolean")
+    rows = [F.struct(F.lit(i).cast("bigint").alias("id"), F.lit(p).cast("bigint").alias("pai_id"),
+                     F.lit(n).alias("categoria"), F.lit(nat).alias("natureza"),
+                     F.lit(False).alias("arquivado"))
+            for i, p, n, nat in sentinels]
+    fixed = spark.range(1).select(F.inline(F.array(*rows)))
     allc = tagged(income, K.NATURE_INCOME).unionByName(tagged(expense, K.NATURE_EXPENSE)).unionByName(fixed)
     parents = allc.select(F.col("id").alias("_pid"), F.col("categoria").alias("categoriaPai"))
     j = allc.join(parents, allc.pai_id == parents._pid, "left")

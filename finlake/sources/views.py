@@ -46,14 +46,35 @@ class Params:
 TEST_PARAMS = Params()
 
 
+FACT_TABLES = ("lineitem", "orders", "events")
+
+
+def rebalanced(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over all cores.
+
+    A fact file written as one huge row group is read by one task, and every
+    broadcast join and projection after it would run in that task. When the
+    scan has fewer partitions than the cluster's default parallelism, a
+    round-robin repartition spreads the rows; on a real lake (many files and
+    row groups) the scan is already split and this is a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 class Tables:
     """Lazy parquet loader for one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+    def __init__(self, spark: SparkSession, sf_dir: str, rebalance: bool = True):
+        self.spark, self.sf_dir, self.rebalance = spark, sf_dir.rstrip("/"), rebalance
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if self.rebalance and name in FACT_TABLES:
+            df = rebalanced(df)
+        return df
 
 
 def accounts(t: Tables) -> DataFrame:
@@ -96,10 +117,15 @@ def categories(t: Tables, p: Params = TEST_PARAMS) -> DataFrame:
                 .select((F.col("parent_id") + _brand_no()).alias("id"),
                         F.col("p_type").alias("categoriaPai"),
                         F.col("p_brand").alias("categoria"), _nature(p).alias("natureza")))
-    sentinels = t.spark.createDataFrame(
-        [(i, n, n, nat) for i, _, n, nat in K.SENTINEL_CATEGORIES],
-        "id bigint, categoriaPai string, categoria string, natureza string")
-    return parents.unionByName(children).unionByName(sentinels)
+    return parents.unionByName(children).unionByName(sentinel_rows(t.spark))
+
+
+def sentinel_rows(spark: SparkSession) -> DataFrame:
+    """The fixed sentinel categories as a JVM-side inline table (own parent)."""
+    rows = [F.struct(F.lit(i).cast("bigint").alias("id"), F.lit(n).alias("categoriaPai"),
+                     F.lit(n).alias("categoria"), F.lit(nat).alias("natureza"))
+            for i, _, n, nat in K.SENTINEL_CATEGORIES]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def movements(t: Tables) -> DataFrame:
