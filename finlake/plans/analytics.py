@@ -16,8 +16,7 @@ from finlake.functions.dates import month_key, month_start
 from finlake.functions.money import clamp_balance, interest, money, money_total, ratio
 from finlake.operators.aggregates import conditional_sums, pivot_sums
 from finlake.operators.spine import dense_panel
-from finlake.operators.windows import (partition_totals, previous_value, running_total,
-                                       trailing_mean)
+from finlake.operators.windows import previous_value, running_total, trailing_mean
 
 
 def account_balance(trs: DataFrame) -> DataFrame:
@@ -40,29 +39,33 @@ def account_balance(trs: DataFrame) -> DataFrame:
 
 def budget_balance(orc: DataFrame, cat: DataFrame, as_of: str) -> DataFrame:
     """Budget vs actual per line, rolled up to its group and its category on
-    every row, with the clamped remaining budget."""
+    every row, with the clamped remaining budget.
+
+    Budget lines are keyed by (month, category, subcategory), so a window
+    partition holds at most the subcategories of one group in one month: its
+    size is bounded by the category dimension, never by the data volume. The
+    windows sharing a partition key are written next to each other so Spark
+    plans one exchange per key (two in total).
+    """
     c = cat.select("agrupador", "categoria", "subcategoria")
     base = (orc.join(c, ["categoria", "subcategoria"], "left")
             .select("data_orcamento", "agrupador", "categoria", "subcategoria",
                     F.col("planejado").alias("orcado_subcategoria"),
                     F.col("consumido").alias("real_subcategoria")))
-    by_group = partition_totals(base, ["data_orcamento", "agrupador"],
-                                {"orcado_agrupador": "orcado_subcategoria",
-                                 "real_agrupador": "real_subcategoria"})
-    by_cat = partition_totals(by_group, ["data_orcamento", "categoria"],
-                              {"orcado_categoria": "orcado_subcategoria",
-                               "real_categoria": "real_subcategoria"})
-    return by_cat.select(
+    by_group = Window.partitionBy("data_orcamento", "agrupador")
+    by_cat = Window.partitionBy("data_orcamento", "categoria")
+    return base.select(
         "data_orcamento", "agrupador", "categoria", "subcategoria",
-        money_total("orcado_agrupador").alias("orcado_agrupador"),
-        money_total("orcado_categoria").alias("orcado_categoria"),
-        "orcado_subcategoria",
-        money_total("real_agrupador").alias("real_agrupador"),
-        money_total("real_categoria").alias("real_categoria"),
-        "real_subcategoria",
+        money_total(F.sum("orcado_subcategoria").over(by_group)).alias("orcado_agrupador"),
+        money_total(F.sum("real_subcategoria").over(by_group)).alias("real_agrupador"),
+        money_total(F.sum("orcado_subcategoria").over(by_cat)).alias("orcado_categoria"),
+        money_total(F.sum("real_subcategoria").over(by_cat)).alias("real_categoria"),
+        "orcado_subcategoria", "real_subcategoria",
         money(clamp_balance("orcado_subcategoria", "real_subcategoria", "data_orcamento", as_of))
         .alias("saldo_orcamento"),
-    )
+    ).select("data_orcamento", "agrupador", "categoria", "subcategoria", "orcado_agrupador",
+             "orcado_categoria", "orcado_subcategoria", "real_agrupador", "real_categoria",
+             "real_subcategoria", "saldo_orcamento")
 
 
 PANEL_KEYS = ["agrupador", "categoria", "subcategoria"]
@@ -133,7 +136,8 @@ def monthly_cashflow(trs: DataFrame, orc: DataFrame, cal: DataFrame) -> DataFram
 
 def income_vs_outcome(trs: DataFrame, start_month: str) -> DataFrame:
     """Monthly expenses and income from ``start_month`` on (a pivot on nature)."""
-    f = trs.where((F.col("data_transacao") >= F.lit(start_month).cast("date"))
+    # the month key is the partition column of the stored fact: this prunes partitions
+    f = trs.where((F.col("ano_mes") >= month_key(F.lit(start_month).cast("date")))
                   & F.col("natureza").isin(K.NATURE_EXPENSE, K.NATURE_INCOME))
     p = pivot_sums(f, "ano_mes", "natureza", "valor_abs",
                    {"despesas": K.NATURE_EXPENSE, "receitas": K.NATURE_INCOME})
