@@ -28,11 +28,15 @@ EVOLVE_SCHEMA = "id bigint, nome string, segmento string, codigo string"
 
 
 def _extract_movements(spark: SparkSession, sf: str, root: str, table: str) -> None:
-    """Two extractions (settled, pending) of the movement feed as CSV files."""
+    """Two extractions (settled, pending) of the movement feed as CSV files,
+    written by one job into ``<root>/<table>/extraction_ts=<ts>``; the
+    REBALANCE hint lets AQE size the files (and split a large extraction)."""
     mov = views.movements(Tables(spark, sf))
-    for i, status in enumerate(["efetivado", "pendente"]):
-        part = mov.where(F.col("situacao") == status).repartition(4)
-        files.write_snapshot_csv(part, root, table, f"2024011{i}_000000")
+    ts = (F.when(F.col("situacao") == "efetivado", F.lit("20240110_000000"))
+          .otherwise(F.lit("20240111_000000")))
+    (mov.withColumn("extraction_ts", ts).hint("rebalance", "extraction_ts")
+     .write.mode("overwrite").option("header", True).partitionBy("extraction_ts")
+     .csv(f"{root}/{table}"))
 
 
 def ingest_files(spark, sf) -> DataFrame:
@@ -102,12 +106,14 @@ def scd1_stream(spark, sf) -> DataFrame:
     d = F.to_date("dia")
     mid = ev.select(F.date_add(F.min(d), (F.datediff(F.max(d), F.min(d)) / 2).cast("int"))
                     .cast("string")).first()[0]  # one scalar: the drop boundary
-    first = ev.where(F.col("dia") < mid) if mid else ev
-    first.write.partitionBy("dia").parquet(src)
+    def drop(df, mode):  # one daily file per day; AQE splits a very large day
+        df.hint("rebalance", "dia").write.mode(mode).partitionBy("dia").parquet(src)
+
+    drop(ev.where(F.col("dia") < mid) if mid else ev, "error")
     trigger()
     tbl.compact(spark)
     if mid:
-        ev.where(F.col("dia") >= mid).write.mode("append").partitionBy("dia").parquet(src)
+        drop(ev.where(F.col("dia") >= mid), "append")
         trigger()
     return tbl.read(spark)
 
