@@ -59,12 +59,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        jdir = spark.sparkContext.getCheckpointDir()
-        root = jdir if jdir else None
-    if not root:
+        try:
+            root = spark.sparkContext.getCheckpointDir() or None
+        except Exception:  # Spark Connect: no SparkContext
+            root = None
+    if not root:  # local runs and tests only
         root = tempfile.mkdtemp(prefix="finlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:
+            pass
     return root.rstrip("/")
 
 

@@ -58,10 +58,12 @@ def rebalanced(df: DataFrame) -> DataFrame:
     round-robin repartition spreads the rows; on a real lake (many files and
     row groups) the scan is already split and this is a no-op.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:  # classic sessions only; under Spark Connect the scan is left as planned
+        target = df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:
+        return df
+    return df.repartition(target) if n < target else df
 
 
 class Tables:
