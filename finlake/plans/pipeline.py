@@ -17,6 +17,7 @@ from finlake.plans.lake import Lake
 from finlake.sources.views import Params
 from finlake.specs import FINANCE_SPECS, TableSpec, silver
 from finlake.streaming.bronze import read_bronze, run_bronze
+from finlake.streaming.scd1 import Scd1Table
 
 GOLD_KEYS = {
     "categorias": ["id"],
@@ -108,11 +109,35 @@ def ingest_bronze(spark: SparkSession, lake: Lake, raw_root: str, run_date,
                    archive_dir=f"{lake.root}/_archive/{spec.name}" if clean_source == "archive" else None)
 
 
+def silver_table(lake: Lake, spec: TableSpec) -> Scd1Table:
+    tie = [c for c in spec.tiebreak]
+    return Scd1Table(lake.path("silver", spec.name), list(spec.keys), list(spec.sequence_by), tie)
+
+
 def build_silver(lake: Lake, specs=FINANCE_SPECS) -> None:
-    """Dispatch each bronze table to its strategy (SCD-1 upsert or latest snapshot)."""
+    """Bring every silver table up to date with bronze.
+
+    ``cdc`` tables are fed incrementally: a stream over the bronze table (whose
+    sink log lists only committed files) hands each new bronze batch to the
+    SCD-1 table, so a run touches only the data that arrived since the last
+    one. ``snapshot`` tables are the newest load of bronze, read from its
+    newest partition only.
+    """
+    spark = lake.spark
     for spec in specs:
-        b = read_bronze(lake.spark, lake.path("bronze", spec.name))
-        lake.write(silver(spec, b), "silver", spec.name)
+        bronze_path = lake.path("bronze", spec.name)
+        if spec.strategy == "cdc":
+            schema = read_bronze(spark, bronze_path).schema
+            stream = spark.readStream.schema(schema).parquet(bronze_path)
+            silver_table(lake, spec).run(stream, f"{lake.root}/_checkpoints/silver/{spec.name}")
+        else:
+            lake.write(silver(spec, read_bronze(spark, bronze_path)), "silver", spec.name)
+
+
+def read_silver(lake: Lake, spec: TableSpec) -> DataFrame:
+    if spec.strategy == "cdc":
+        return silver_table(lake, spec).read(lake.spark)
+    return lake.read("silver", spec.name)
 
 
 def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Params,
@@ -121,7 +146,7 @@ def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Pa
     lake = Lake(spark, lake_root)
     ingest_bronze(spark, lake, raw_root, run_date, specs)
     build_silver(lake, specs)
-    s = {sp.name: lake.read("silver", sp.name) for sp in specs}
+    s = {sp.name: read_silver(lake, sp) for sp in specs}
     feeds = [s["transacoes_efetivadas"], s["transacoes_pendentes"]]
     mov_cols = [c for c in feeds[0].columns if not c.startswith("_")]
     build_gold(lake, movements=[f.select(*mov_cols) for f in feeds],
@@ -132,4 +157,4 @@ def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Pa
 
 
 __all__ = ["build_gold", "build_marts", "gold_tables", "mart_plans", "ingest_bronze",
-           "build_silver", "run", "reduce", "F", "K"]
+           "build_silver", "read_silver", "run", "reduce", "F", "K"]

@@ -33,6 +33,7 @@ class TableSpec:
     sequence_by: tuple = ("_ingesttime",)
     tiebreak: tuple = ("_sourcefile",)
     load_col: str = "_ingesttime"
+    load_partition: str | None = None   # partition column growing with the load
     fmt: str = "csv"
 
 
@@ -43,7 +44,7 @@ FINANCE_SPECS = [
               business_date="data"),
     TableSpec("contas", ACCOUNTS_SCHEMA, ("id",)),
     TableSpec("transacoes_pendentes", MOVEMENTS_SCHEMA, ("id", "tipo", "_businessmonth"),
-              strategy="snapshot", business_date="data"),
+              strategy="snapshot", business_date="data", load_partition="_processdate"),
     TableSpec("transacoes_efetivadas", MOVEMENTS_SCHEMA, ("id", "tipo", "_businessmonth"),
               business_date="data"),
 ]
@@ -57,5 +58,6 @@ def silver(spec: TableSpec, bronze: DataFrame) -> DataFrame:
         tie = [c for c in spec.tiebreak if c in bronze.columns]
         return scd1_upsert(bronze, list(spec.keys), list(spec.sequence_by), tie)
     if spec.strategy == "snapshot":
-        return latest_snapshot(bronze, spec.load_col)
+        part = spec.load_partition if spec.load_partition in bronze.columns else None
+        return latest_snapshot(bronze, spec.load_col, part)
     raise ValueError(f"unknown load strategy {spec.strategy!r} for {spec.name}")

@@ -32,7 +32,7 @@ def test_pipeline_two_runs(spark, scratch):
     raw, root = f"{scratch}/raw", f"{scratch}/lake"
     _extract(t, raw, "20240101_000000")
     lake = pipeline.run(spark, raw, root, "2024-01-01", TEST_PARAMS, version=1)
-    n_pending_1 = lake.read("silver", "transacoes_pendentes").count()
+    n_pending_1 = pipeline.read_silver(lake, SPECS_BY_NAME["transacoes_pendentes"]).count()
     assert n_pending_1 == views.pending(t).count()
     mk1 = lake.read_state("analytics", "main_kpis")
     assert mk1.count() > 0
@@ -41,12 +41,12 @@ def test_pipeline_two_runs(spark, scratch):
     # second extraction: fewer pending movements (some were settled / cancelled)
     _extract(t, raw, "20240102_000000", pending_filter=F.col("tipo") < 2)
     lake = pipeline.run(spark, raw, root, "2024-01-02", TEST_PARAMS, version=2)
-    pend2 = lake.read("silver", "transacoes_pendentes")
+    pend2 = pipeline.read_silver(lake, SPECS_BY_NAME["transacoes_pendentes"])
     assert pend2.count() == views.pending(t).where(F.col("tipo") < 2).count()   # latest snapshot only
     # settled CDC state equals the batch upsert of everything in bronze
     spec = SPECS_BY_NAME["transacoes_efetivadas"]
     b = read_bronze(spark, lake.path("bronze", spec.name))
-    assert rows(lake.read("silver", spec.name), *b.columns) == rows(silver(spec, b), *b.columns)
+    assert rows(pipeline.read_silver(lake, spec), *b.columns) == rows(silver(spec, b), *b.columns)
     # the stored mart state equals a fresh computation over the stored gold
     fresh = pipeline.mart_plans(*pipeline.gold_tables(lake), TEST_PARAMS)["monthly_cashflow"]
     state = lake.read_state("analytics", "monthly_cashflow")
