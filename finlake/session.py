@@ -85,3 +85,36 @@ def local_path(path: str) -> str | None:
     if "://" in path:
         return None
     return os.path.abspath(path)
+
+
+def scale_conf(input_bytes: int, cores: int, partition_mb: int = 256,
+               broadcast_mb: int = 64) -> dict[str, str]:
+    """Session settings sized for a job that reads ``input_bytes`` on ``cores`` task slots.
+
+    * file splits of ``partition_mb`` so every scan task holds a bounded slice;
+    * an initial shuffle width of at least 3 tasks per core and one
+      ``partition_mb`` partition per input slice, which AQE coalesces down to
+      the advisory size after each stage (most shuffles here follow a partial
+      aggregate and are far smaller than the input);
+    * skew handling: a shuffle partition 5x the median and over 1 GB is split
+      (joins, and the REBALANCE before partitioned writes);
+    * broadcast only under ``broadcast_mb`` of measured size.
+
+    For 100 TB on 1,000 executors x 8 cores this gives 256 MB scan splits
+    (~400k scan tasks) and 409,600 initial shuffle partitions, coalesced at run
+    time.
+    """
+    slices = -(-input_bytes // (partition_mb << 20))
+    width = max(3 * cores, slices)
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.autoBroadcastJoinThreshold": f"{broadcast_mb}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": f"{broadcast_mb}m",
+        "spark.sql.files.maxRecordsPerFile": "20000000",
+    }
