@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.functions.dates import month_start
 from finlake.functions.money import money
 from finlake.sources import views
 from finlake.sources.views import Tables
@@ -138,6 +137,3 @@ def order_months(t: Tables) -> DataFrame:
     """Distinct extraction reference dates (order dates)."""
     return t("orders").select(F.col("o_orderdate").cast("date").alias("refdate")).distinct()
 
-
-__all__ = ["card_pages", "account_pages", "category_pages", "movement_pages", "budget_pages",
-           "order_months", "month_start"]

@@ -6,12 +6,8 @@ driver are version numbers and the calendar/panel bounds (scalars).
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from finlake import constants as K
 from finlake.plans import analytics, gold
 from finlake.plans.lake import Lake
 from finlake.sources.views import Params
@@ -155,6 +151,3 @@ def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Pa
     build_marts(lake, params, version)
     return lake
 
-
-__all__ = ["build_gold", "build_marts", "gold_tables", "mart_plans", "ingest_bronze",
-           "build_silver", "read_silver", "run", "reduce", "F", "K"]
