@@ -46,24 +46,44 @@ class Params:
 TEST_PARAMS = Params()
 
 
-FACT_TABLES = ("lineitem", "orders", "events")
-
-
-def rebalanced(df: DataFrame) -> DataFrame:
+def production_params(run_date, start_month: str | None = None) -> Params:
+    """Parameters of a scheduled run: the cut-off is the first day of the run
+    month, the income report starts in January of the run year, and the
+    category names are the source system's fixed values."""
+    import datetime as _dt
+    d = _dt.date.fromisoformat(str(run_date)[:10])
+    return Params(as_of=d.replace(day=1).isoformat(),
+                  start_month=start_month or d.replace(month=1, day=1).isoformat(),
+                  lifestyle_parents=tuple(K.LIFESTYLE_PARENTS),
+                  salary_subcategory=K.SALARY_SUBCATEGORY,
+                  instalment_subcategory=K.INSTALMENT_SUBCATEGORY,
+                  income_parent=K.GROUP_INCOME)
+
+
+# fact tables and a unique key of each (hash-spreading on a unique key is
+# deterministic, so no pre-sort is needed, and no key value can be hot)
+FACT_TABLES = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",),
+               "events": ("event_id",)}
+
+
+def rebalanced(df: DataFrame, keys=()) -> DataFrame:
     """Spread an under-split scan over all cores.
 
     A fact file written as one huge row group is read by one task, and every
     broadcast join and projection after it would run in that task. When the
-    scan has fewer partitions than the cluster's default parallelism, a
-    round-robin repartition spreads the rows; on a real lake (many files and
-    row groups) the scan is already split and this is a no-op.
+    scan has fewer partitions than the cluster's default parallelism, the rows
+    are hash-partitioned on a unique key (round-robin without one); on a real
+    lake (many files and row groups) the scan is already split and this is a
+    no-op.
     """
     try:  # classic sessions only; under Spark Connect the scan is left as planned
         target = df.sparkSession.sparkContext.defaultParallelism
         n = df.rdd.getNumPartitions()
     except Exception:
         return df
-    return df.repartition(target) if n < target else df
+    if n >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
 class Tables:
@@ -75,7 +95,7 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if self.rebalance and name in FACT_TABLES:
-            df = rebalanced(df)
+            df = rebalanced(df, FACT_TABLES[name])
         return df
 
 
