@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from finlake.operators.cdc import snapshot_diff
 
@@ -33,19 +34,30 @@ class Lake:
             return False
 
     # --- full-refresh tables -------------------------------------------------------
-    def write(self, df: DataFrame, layer: str, table: str, partition_by=None) -> str:
+    def write(self, df: DataFrame, layer: str, table: str, partition_by=None,
+              dynamic: bool = False) -> str:
+        """Full refresh; with ``dynamic`` only the partitions present in ``df``
+        are replaced (the others are left as they are)."""
         p = self.path(layer, table)
-        w = df
         if partition_by:
             cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-            w = df.hint("rebalance", *cols)
-            w.write.mode("overwrite").partitionBy(*cols).parquet(p)
+            w = (df.hint("rebalance", *cols).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
+            w.partitionBy(*cols).parquet(p)
         else:
-            w.write.mode("overwrite").parquet(p)
+            df.write.mode("overwrite").parquet(p)
         return p
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+    def read(self, layer: str, table: str, text_partitions=("ano_mes", "_processdate")) -> DataFrame:
+        """Read a table; partition columns written from text keys (``yyyy-MM-01``,
+        ``yyyyMMdd``) stay text instead of being re-typed by inference."""
+        p = self.path(layer, table)
+        df = self.spark.read.parquet(p)
+        if not any(f.name in text_partitions for f in df.schema.fields):
+            return df
+        fields = [StructField(f.name, StringType(), f.nullable) if f.name in text_partitions else f
+                  for f in df.schema.fields]
+        return self.spark.read.schema(StructType(fields)).parquet(p)
 
     # --- versioned keyed targets ---------------------------------------------------------
     def _versions(self, layer: str, table: str, kind: str) -> DataFrame:

@@ -7,6 +7,7 @@ driver are version numbers and the calendar/panel bounds (scalars).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from finlake.plans import analytics, gold
 from finlake.plans.lake import Lake
@@ -17,6 +18,8 @@ from finlake.streaming.scd1 import Scd1Table
 
 GOLD_KEYS = {
     "categorias": ["id"],
+    "contas": ["id"],
+    "cartoes": ["id"],
     "orcamentos": ["subcategoria", "categoria", "data_orcamento"],
     "calendar": ["sk_data"],
 }
@@ -34,38 +37,90 @@ MART_KEYS = {
 
 # --- gold ----------------------------------------------------------------------------
 
+FACT = "transacoes"
+FACT_MONTHS = "transacoes_meses"   # manifest of the live months of the fact
+
+
+def month_key_of(business_month: str) -> str:
+    """``yyyyMM01`` -> ``yyyy-MM-01``."""
+    return f"{business_month[:4]}-{business_month[4:6]}-01"
+
+
 def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
                categories: DataFrame, budgets: DataFrame, params: Params, version: int,
-               timings: dict | None = None) -> None:
+               timings: dict | None = None, months: list[str] | None = None) -> bool:
     """Conform the silver inputs into the gold tables of ``lake``.
 
-    Categories, budgets and the calendar are keyed targets (snapshot apply);
-    the transaction fact is a full-refresh table partitioned by month.
+    Categories, accounts, cards, budgets and the calendar are keyed targets
+    (snapshot apply, with change feeds); the transaction fact is partitioned
+    by month. With ``months`` (``yyyy-MM-01`` keys) and ``movements`` holding
+    the rows of exactly those months, only their partitions are rewritten
+    (dynamic overwrite) and the month manifest is updated; a change in any
+    dimension, or a lake without a fact yet, falls back to a full rebuild.
+    Returns True when the fact was rebuilt in full.
     """
     import time
 
     def timed(name, fn):
         t0 = time.perf_counter()
-        fn()
+        out = fn()
         if timings is not None:
             timings[name] = round(time.perf_counter() - t0, 3)
+        return out
 
-    timed("gold.categorias", lambda: lake.apply_snapshot(
-        gold.categories(categories, params.lifestyle_parents), "gold", "categorias",
-        GOLD_KEYS["categorias"], version))
+    dims = {
+        "categorias": gold.categories(categories, params.lifestyle_parents),
+        "contas": accounts.select("id", "nome"),
+        "cartoes": cards.select("id", "nome"),
+    }
+    changed = False
+    for name, df in dims.items():
+        prev = timed(f"gold.{name}", lambda df=df, name=name: lake.apply_snapshot(
+            df, "gold", name, GOLD_KEYS.get(name, ["id"]), version))
+        if prev >= 0 and lake.read_changes("gold", name, version).limit(1).count() > 0:
+            changed = True
     timed("gold.orcamentos", lambda: lake.apply_snapshot(
         gold.budgets(budgets, params.as_of), "gold", "orcamentos", GOLD_KEYS["orcamentos"], version))
-    cat = lake.read_state("gold", "categorias")
-    timed("gold.transacoes", lambda: lake.write(
-        gold.transactions(movements, accounts, cards, cat), "gold", "transacoes", partition_by="ano_mes"))
+    cat, acc, crd = (lake.read_state("gold", n) for n in ("categorias", "contas", "cartoes"))
+    fact = gold.transactions(movements, acc, crd, cat)
+    full = months is None or changed or not lake.exists("gold", FACT_MONTHS, "/state")
+
+    def write_fact():
+        if full:
+            lake.write(fact, "gold", FACT, partition_by="ano_mes")
+            live = lake.read("gold", FACT).select("ano_mes").distinct()
+        else:
+            # stage the touched months once: the staged copy feeds the partition
+            # overwrite and tells which touched months still have rows (a month
+            # left empty keeps its old files, but drops out of the manifest)
+            stage = f"{lake.path('gold', FACT)}_stage/v={version}"
+            fact.write.mode("overwrite").parquet(stage)
+            staged = lake.spark.read.parquet(stage)
+            lake.write(staged, "gold", FACT, partition_by="ano_mes", dynamic=True)
+            kept = lake.read_state("gold", FACT_MONTHS).where(~F.col("ano_mes").isin(*months))
+            live = kept.unionByName(staged.select("ano_mes").distinct())
+        lake.apply_snapshot(live, "gold", FACT_MONTHS, ["ano_mes"], version)
+
+    timed("gold.transacoes", write_fact)
     timed("gold.calendar", lambda: lake.apply_snapshot(
-        gold.calendar(lake.read("gold", "transacoes"), lake.read_state("gold", "orcamentos")),
+        gold.calendar(gold_fact(lake), lake.read_state("gold", "orcamentos")),
         "gold", "calendar", GOLD_KEYS["calendar"], version))
+    return full
+
+
+def gold_fact(lake: Lake) -> DataFrame:
+    """The transaction fact restricted to the live months of the manifest
+    (a month emptied by an incremental run keeps no stale rows)."""
+    f = lake.read("gold", FACT)
+    if not lake.exists("gold", FACT_MONTHS, "/state"):
+        return f
+    live = lake.read_state("gold", FACT_MONTHS)
+    return f.join(live, "ano_mes", "left_semi")
 
 
 def gold_tables(lake: Lake):
     """(transactions, budgets, calendar, categories) as stored in ``lake``."""
-    return (lake.read("gold", "transacoes"), lake.read_state("gold", "orcamentos"),
+    return (gold_fact(lake), lake.read_state("gold", "orcamentos"),
             lake.read_state("gold", "calendar"), lake.read_state("gold", "categorias"))
 
 
@@ -107,7 +162,9 @@ def ingest_bronze(spark: SparkSession, lake: Lake, raw_root: str, run_date,
 
 def silver_table(lake: Lake, spec: TableSpec) -> Scd1Table:
     tie = [c for c in spec.tiebreak]
-    return Scd1Table(lake.path("silver", spec.name), list(spec.keys), list(spec.sequence_by), tie)
+    cluster = "_businessmonth" if "_businessmonth" in spec.keys else None
+    return Scd1Table(lake.path("silver", spec.name), list(spec.keys), list(spec.sequence_by), tie,
+                     cluster_by=cluster)
 
 
 def build_silver(lake: Lake, specs=FINANCE_SPECS) -> None:
@@ -130,24 +187,59 @@ def build_silver(lake: Lake, specs=FINANCE_SPECS) -> None:
             lake.write(silver(spec, read_bronze(spark, bronze_path)), "silver", spec.name)
 
 
-def read_silver(lake: Lake, spec: TableSpec) -> DataFrame:
+def read_silver(lake: Lake, spec: TableSpec, where=None) -> DataFrame:
+    """Current silver table; ``where`` (on key columns) prunes before the upsert."""
     if spec.strategy == "cdc":
-        return silver_table(lake, spec).read(lake.spark)
-    return lake.read("silver", spec.name)
+        return silver_table(lake, spec).read(lake.spark, where)
+    df = lake.read("silver", spec.name)
+    return df if where is None else df.where(where)
+
+
+SETTLED, PENDING = "transacoes_efetivadas", "transacoes_pendentes"
+
+
+def _months(df: DataFrame) -> set[str]:
+    """Distinct ``_businessmonth`` keys (bounded by the calendar, not the data)."""
+    return {r[0] for r in df.select("_businessmonth").distinct().collect() if r[0] is not None}
 
 
 def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Params,
-        version: int, specs: list[TableSpec] = FINANCE_SPECS) -> Lake:
-    """One triggered run of the whole pipeline."""
+        version: int, specs: list[TableSpec] = FINANCE_SPECS, incremental: bool = True,
+        compact_every: int = 8) -> Lake:
+    """One triggered run of the whole pipeline.
+
+    With ``incremental`` the gold fact is refreshed only for the months this
+    run touched: months of the settled change batches that arrived in this
+    run, plus the months of the previous and the new pending snapshot.
+    """
     lake = Lake(spark, lake_root)
+    by_name = {sp.name: sp for sp in specs}
+    settled_tbl = silver_table(lake, by_name[SETTLED])
+    before = settled_tbl.last_batch(spark)
+    old_pending = (_months(lake.read("silver", PENDING))
+                   if incremental and lake.exists("silver", PENDING) else set())
+
     ingest_bronze(spark, lake, raw_root, run_date, specs)
     build_silver(lake, specs)
+
+    months = None
+    where = None
+    if incremental and before >= 0:
+        touched = (old_pending | _months(read_silver(lake, by_name[PENDING]))
+                   | _months(settled_tbl.changes_since(spark, before)))
+        months = sorted(month_key_of(m) for m in touched)
+        where = F.col("_businessmonth").isin(*sorted(touched))
     s = {sp.name: read_silver(lake, sp) for sp in specs}
-    feeds = [s["transacoes_efetivadas"], s["transacoes_pendentes"]]
+    feeds = [read_silver(lake, by_name[n], where) for n in (SETTLED, PENDING)]
     mov_cols = [c for c in feeds[0].columns if not c.startswith("_")]
     build_gold(lake, movements=[f.select(*mov_cols) for f in feeds],
                accounts=s["contas"], cards=s["cartoes"], categories=s["categorias"],
-               budgets=s["orcamentos"], params=params, version=version)
+               budgets=s["orcamentos"], params=params, version=version,
+               months=months)
     build_marts(lake, params, version)
+    for sp in specs:  # fold long change logs into a new base
+        if sp.strategy == "cdc":
+            t = silver_table(lake, sp)
+            if t.last_batch(spark) - t.base_version(spark) >= compact_every:
+                t.compact(spark)
     return lake
-

@@ -25,6 +25,7 @@ class Scd1Table:
     keys: list
     sequence_by: list
     tiebreak: list | None = None
+    cluster_by: str | None = None   # key column the compacted base is clustered on
 
     @property
     def changes(self) -> str:
@@ -60,8 +61,13 @@ class Scd1Table:
         except Exception:
             return False
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """Current state: winner per key over base (latest version) + newer changes."""
+    def read(self, spark: SparkSession, where=None) -> DataFrame:
+        """Current state: winner per key over base (latest version) + newer changes.
+
+        ``where`` may restrict the state to some keys; it must reference key
+        columns only, so it is applied below the SCD-1 aggregate and reaches
+        the Parquet scans (row groups outside the keys are skipped).
+        """
         parts = []
         has_base = self._exists(spark, self.base)
         if has_base:
@@ -73,12 +79,33 @@ class Scd1Table:
             c = c.where(F.col("batch") > parts[0][2])
         parts.append(("changes", c.drop("batch"), None))
         u = parts[0][1] if len(parts) == 1 else parts[0][1].unionByName(parts[1][1])
+        if where is not None:
+            u = u.where(where)
         return self._upsert(u)
 
+    def base_version(self, spark: SparkSession) -> int:
+        if not self._exists(spark, self.base):
+            return -1
+        v = spark.read.parquet(self.base).select(F.max("v")).first()[0]
+        return -1 if v is None else int(v)
+
+    def last_batch(self, spark: SparkSession) -> int:
+        """Id of the newest change batch (-1 when none); one scalar to the driver."""
+        if not self._exists(spark, self.changes):
+            return -1
+        v = spark.read.parquet(self.changes).select(F.max("batch")).first()[0]
+        return -1 if v is None else int(v)
+
+    def changes_since(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """Change rows of the batches after ``batch_id`` (partition-pruned)."""
+        return spark.read.parquet(self.changes).where(F.col("batch") > F.lit(batch_id)).drop("batch")
+
     def compact(self, spark: SparkSession) -> None:
         """Fold the change log into base version ``v = <last batch id>``."""
         last = spark.read.parquet(self.changes).select(F.max("batch")).first()[0]
         if last is None:
             return
         state = self.read(spark)
+        if self.cluster_by:  # files hold few key ranges each: min/max statistics prune well
+            state = state.hint("rebalance", self.cluster_by).sortWithinPartitions(self.cluster_by)
         state.write.mode("overwrite").parquet(f"{self.base}/v={last}")

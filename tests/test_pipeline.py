@@ -4,7 +4,7 @@ check bronze/silver/gold/marts invariants."""
 
 from pyspark.sql import functions as F
 
-from finlake.plans import pipeline
+from finlake.plans import gold, pipeline
 from finlake.plans.lake import Lake
 from finlake.sources import files, views
 from finlake.sources.views import TEST_PARAMS, Tables
@@ -13,14 +13,17 @@ from finlake.streaming.bronze import read_bronze
 from tests.conftest import SF0001, rows
 
 
-def _extract(t, raw, ts, pending_filter=None):
+def _extract(t, raw, ts, pending_filter=None, settled_filter=None):
     mov = views.movements(t)
     pend = mov.where(F.col("situacao") == "pendente")
     if pending_filter is not None:
         pend = pend.where(pending_filter)
+    settled = mov.where(F.col("situacao") == "efetivado")
+    if settled_filter is not None:
+        settled = settled.where(settled_filter)
     out = {
         "contas": views.accounts(t), "cartoes": views.cards(t), "categorias": views.categories(t),
-        "orcamentos": views.budgets(t), "transacoes_efetivadas": mov.where(F.col("situacao") == "efetivado"),
+        "orcamentos": views.budgets(t), "transacoes_efetivadas": settled,
         "transacoes_pendentes": pend,
     }
     for name, df in out.items():
@@ -38,8 +41,10 @@ def test_pipeline_two_runs(spark, scratch):
     assert mk1.count() > 0
     assert {r[0] for r in lake.read_changes("analytics", "main_kpis", 1).select("_op").distinct().collect()} == {"insert"}
 
-    # second extraction: fewer pending movements (some were settled / cancelled)
-    _extract(t, raw, "20240102_000000", pending_filter=F.col("tipo") < 2)
+    # second extraction: a recent window of settled movements (with changed
+    # amounts) and fewer pending movements (some were settled / cancelled)
+    recent = F.col("data") >= "1998-06-01"
+    _extract(t, raw, "20240102_000000", pending_filter=F.col("tipo") < 2, settled_filter=recent)
     lake = pipeline.run(spark, raw, root, "2024-01-02", TEST_PARAMS, version=2)
     pend2 = pipeline.read_silver(lake, SPECS_BY_NAME["transacoes_pendentes"])
     assert pend2.count() == views.pending(t).where(F.col("tipo") < 2).count()   # latest snapshot only
@@ -47,9 +52,19 @@ def test_pipeline_two_runs(spark, scratch):
     spec = SPECS_BY_NAME["transacoes_efetivadas"]
     b = read_bronze(spark, lake.path("bronze", spec.name))
     assert rows(pipeline.read_silver(lake, spec), *b.columns) == rows(silver(spec, b), *b.columns)
+    # the month-incremental gold fact equals a full rebuild from silver
+    feeds = [pipeline.read_silver(lake, SPECS_BY_NAME[n]) for n in ("transacoes_efetivadas", "transacoes_pendentes")]
+    cols = [c for c in feeds[0].columns if not c.startswith("_")]
+    full = gold.transactions([f.select(*cols) for f in feeds], lake.read_state("gold", "contas"),
+                             lake.read_state("gold", "cartoes"), lake.read_state("gold", "categorias"))
+    inc = pipeline.gold_fact(lake)
+    assert rows(inc, *full.columns) == rows(full)
+    assert lake.read_state("gold", "transacoes_meses").count() == full.select("ano_mes").distinct().count()
     # the stored mart state equals a fresh computation over the stored gold
     fresh = pipeline.mart_plans(*pipeline.gold_tables(lake), TEST_PARAMS)["monthly_cashflow"]
     state = lake.read_state("analytics", "monthly_cashflow")
     assert rows(state, *fresh.columns) == rows(fresh)
+    assert dict(state.dtypes)["ano_mes"] == "string"
+    assert dict(pipeline.gold_fact(lake).dtypes)["ano_mes"] == "string"
     ops = {r[0] for r in lake.read_changes("analytics", "monthly_cashflow", 2).select("_op").distinct().collect()}
     assert "update" in ops
