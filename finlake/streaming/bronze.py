@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from finlake.sources.audit import with_audit
 from finlake.sources.files import stream_files
@@ -43,12 +44,8 @@ def run_bronze(spark: SparkSession, spec: TableSpec, source_dir: str, target_dir
 
 
 def read_bronze(spark: SparkSession, target_dir: str):
-    """Batch read of a bronze table; partition values stay text (``yyyyMMdd``)."""
-    prev = spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        df = spark.read.parquet(target_dir)
-        df.schema  # resolve the file index while inference is off
-    finally:
-        spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", prev)
-    return df
+    """Batch read of a bronze table; the ``_processdate`` partition stays text (``yyyyMMdd``)."""
+    df = spark.read.parquet(target_dir)
+    fields = [StructField(f.name, StringType(), f.nullable) if f.name == "_processdate" else f
+              for f in df.schema.fields]
+    return spark.read.schema(StructType(fields)).parquet(target_dir)
