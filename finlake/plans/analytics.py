@@ -19,6 +19,15 @@ from finlake.operators.spine import dense_panel
 from finlake.operators.windows import previous_value, running_total, trailing_mean
 
 
+def unique_categories(cat: DataFrame) -> DataFrame:
+    """One row per (parent, name): category names need not be unique, and a
+    duplicated name would count a budget line twice in the name-keyed joins.
+    Deterministic: the smallest id wins. Off by default (source behaviour)."""
+    w = F.min_by(F.struct(*[c for c in cat.columns if c not in ("categoria", "subcategoria")]), "id")
+    return (cat.groupBy("categoria", "subcategoria").agg(w.alias("_c"))
+            .select("categoria", "subcategoria", "_c.*").select(*cat.columns))
+
+
 def account_balance(trs: DataFrame) -> DataFrame:
     """Monthly result per (month, account, card) of settled movements, the
     account's running balance and the card's monthly result.
@@ -37,7 +46,8 @@ def account_balance(trs: DataFrame) -> DataFrame:
     )
 
 
-def budget_balance(orc: DataFrame, cat: DataFrame, as_of: str) -> DataFrame:
+def budget_balance(orc: DataFrame, cat: DataFrame, as_of: str,
+                   dedupe_categories: bool = False) -> DataFrame:
     """Budget vs actual per line, rolled up to its group and its category on
     every row, with the clamped remaining budget.
 
@@ -47,7 +57,7 @@ def budget_balance(orc: DataFrame, cat: DataFrame, as_of: str) -> DataFrame:
     windows sharing a partition key are written next to each other so Spark
     plans one exchange per key (two in total).
     """
-    c = cat.select("agrupador", "categoria", "subcategoria")
+    c = (unique_categories(cat) if dedupe_categories else cat).select("agrupador", "categoria", "subcategoria")
     base = (orc.join(c, ["categoria", "subcategoria"], "left")
             .select("data_orcamento", "agrupador", "categoria", "subcategoria",
                     F.col("planejado").alias("orcado_subcategoria"),
@@ -72,9 +82,11 @@ PANEL_KEYS = ["agrupador", "categoria", "subcategoria"]
 
 
 def budget_planning(trs: DataFrame, orc: DataFrame, cal: DataFrame, cat: DataFrame,
-                    short=K.TRAILING_SHORT, long=K.TRAILING_LONG) -> DataFrame:
+                    short=K.TRAILING_SHORT, long=K.TRAILING_LONG,
+                    dedupe_categories: bool = False) -> DataFrame:
     """Dense month x expense-category panel with the month's spend, previous
     month, trailing means and the budget line."""
+    cat = unique_categories(cat) if dedupe_categories else cat
     cats = cat.where(F.col("natureza") == K.NATURE_EXPENSE).select(*PANEL_KEYS)
     panel = dense_panel(cats, cal, "ano_mes", out="_mes").select(
         month_key("_mes").alias("ano_mes"), *PANEL_KEYS)
@@ -147,7 +159,7 @@ def income_vs_outcome(trs: DataFrame, start_month: str) -> DataFrame:
 
 def main_kpis(trs: DataFrame, orc: DataFrame, cal: DataFrame, cat: DataFrame,
               salary: str = K.SALARY_SUBCATEGORY, instalments: str = K.INSTALMENT_SUBCATEGORY,
-              lifestyle: str = K.GROUP_LIFESTYLE) -> DataFrame:
+              lifestyle: str = K.GROUP_LIFESTYLE, dedupe_categories: bool = False) -> DataFrame:
     """Monthly KPIs: salary, instalments, income, expenses, lifestyle share,
     budget, month performance and projected lifestyle share.
 
@@ -165,6 +177,7 @@ def main_kpis(trs: DataFrame, orc: DataFrame, cal: DataFrame, cat: DataFrame,
         "total_receitas": (nat == K.NATURE_INCOME, v),
         "total_despesas": (nat == K.NATURE_EXPENSE, v),
     })
+    cat = unique_categories(cat) if dedupe_categories else cat
     o = (orc.join(cat.select("categoria", "subcategoria", "agrupador"), ["categoria", "subcategoria"])
          .groupBy(month_key("data_orcamento").alias("ano_mes"))
          .agg(F.sum(F.when(grp == lifestyle, F.col("saldo"))).alias("orcado_estilo_vida"),

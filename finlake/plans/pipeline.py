@@ -127,13 +127,15 @@ def gold_tables(lake: Lake):
 def mart_plans(trs, orc, cal, cat, p: Params) -> dict[str, DataFrame]:
     return {
         "account_balance": analytics.account_balance(trs),
-        "budget_balance": analytics.budget_balance(orc, cat, p.as_of),
-        "budget_planning": analytics.budget_planning(trs, orc, cal, cat),
+        "budget_balance": analytics.budget_balance(orc, cat, p.as_of, p.dedupe_categories),
+        "budget_planning": analytics.budget_planning(trs, orc, cal, cat,
+                                                     dedupe_categories=p.dedupe_categories),
         "daily_cashflow": analytics.daily_cashflow(trs, orc, cal, p.interest_rate),
         "monthly_cashflow": analytics.monthly_cashflow(trs, orc, cal),
         "income_vs_outcome": analytics.income_vs_outcome(trs, p.start_month),
         "main_kpis": analytics.main_kpis(trs, orc, cal, cat, p.salary_subcategory,
-                                         p.instalment_subcategory),
+                                         p.instalment_subcategory,
+                                         dedupe_categories=p.dedupe_categories),
     }
 
 

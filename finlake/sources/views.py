@@ -40,6 +40,7 @@ class Params:
     instalment_subcategory: str = "Brand#2"
     interest_rate: str = K.INTEREST_RATE
     income_parent: str = "PROMO"
+    dedupe_categories: bool = False
     extras: dict = field(default_factory=dict)
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from finlake.operators.cdc import latest_snapshot, scd1_upsert
 
@@ -32,7 +33,7 @@ class TableSpec:
     business_date: str | None = None
     sequence_by: tuple = ("_ingesttime",)
     tiebreak: tuple = ("_sourcefile",)
-    load_col: str = "_ingesttime"
+    load_col: str = "_ingesttime"      # column or SQL expression identifying a load
     load_partition: str | None = None   # partition column growing with the load
     fmt: str = "csv"
 
@@ -51,6 +52,11 @@ FINANCE_SPECS = [
 
 SPECS_BY_NAME = {s.name: s for s in FINANCE_SPECS}
 
+# Load identity taken from the extraction directory instead of the ingest time:
+# two files of one extraction form one snapshot even if they were ingested in
+# different micro-batches.
+EXTRACTION_LOAD = r"regexp_extract(_sourcefile, 'extraction_ts=([^/]+)', 1)"
+
 
 def silver(spec: TableSpec, bronze: DataFrame) -> DataFrame:
     """Dispatch a bronze DataFrame to its silver strategy."""
@@ -59,5 +65,6 @@ def silver(spec: TableSpec, bronze: DataFrame) -> DataFrame:
         return scd1_upsert(bronze, list(spec.keys), list(spec.sequence_by), tie)
     if spec.strategy == "snapshot":
         part = spec.load_partition if spec.load_partition in bronze.columns else None
-        return latest_snapshot(bronze, spec.load_col, part)
+        load = spec.load_col if spec.load_col in bronze.columns else F.expr(spec.load_col)
+        return latest_snapshot(bronze, load, part)
     raise ValueError(f"unknown load strategy {spec.strategy!r} for {spec.name}")

@@ -78,3 +78,26 @@ def test_dense_panel_equals_cross_join(spark):
     dim = spark.createDataFrame([("a",), ("b",)], "c string")
     got = dense_panel(dim, months, "ano_mes", out="m").select(F.date_format("m", "yyyy-MM-01").alias("ano_mes"), "c")
     assert rows(got) == rows(months.crossJoin(dim).select("ano_mes", "c"))
+
+
+def test_duplicate_category_names_flag(spark):
+    from decimal import Decimal as D
+    cat = spark.createDataFrame([(1, "Casa", "Luz", "Despesas", "Casa"), (2, "Casa", "Luz", "Despesas", "Casa")],
+                                "id bigint, categoria string, subcategoria string, natureza string, agrupador string")
+    orc = spark.createDataFrame([(dt.date(2024, 1, 1), "Casa", "Luz", D("10.00"), D("4.00"), D("6.00"))],
+                                "data_orcamento date, categoria string, subcategoria string, planejado decimal(18,2), "
+                                "consumido decimal(18,2), saldo decimal(18,2)")
+    dup = analytics.budget_balance(orc, cat, "2023-01-01")
+    assert dup.count() == 2 and dup.first()["orcado_categoria"] == D("20.00")      # source behaviour
+    one = analytics.budget_balance(orc, cat, "2023-01-01", dedupe_categories=True)
+    assert one.count() == 1 and one.first()["orcado_categoria"] == D("10.00")
+
+
+def test_snapshot_load_by_extraction(spark):
+    from finlake.specs import EXTRACTION_LOAD, TableSpec, silver
+    b = spark.createDataFrame([(1, "f/extraction_ts=1/a.csv", 1), (2, "f/extraction_ts=2/a.csv", 1),
+                               (3, "f/extraction_ts=2/b.csv", 2)], "id int, _sourcefile string, _ingesttime int")
+    spec = TableSpec("p", "", ("id",), "snapshot", load_col=EXTRACTION_LOAD)
+    assert sorted(r["id"] for r in silver(spec, b).collect()) == [2, 3]   # both files of the newest extraction
+    by_time = TableSpec("p", "", ("id",), "snapshot")
+    assert sorted(r["id"] for r in silver(by_time, b).collect()) == [3]  # ingest time keeps only the last batch
