@@ -60,10 +60,12 @@ def test_pipeline_two_runs(spark, scratch):
     inc = pipeline.gold_fact(lake)
     assert rows(inc, *full.columns) == rows(full)
     assert lake.read_state("gold", "transacoes_meses").count() == full.select("ano_mes").distinct().count()
-    # the stored mart state equals a fresh computation over the stored gold
-    fresh = pipeline.mart_plans(*pipeline.gold_tables(lake), TEST_PARAMS)["monthly_cashflow"]
+    # marts from the incrementally kept summaries equal marts from the full fact
+    from_fact = pipeline.mart_plans(*pipeline.gold_tables(lake, summaries=False), TEST_PARAMS)
+    for name, df in from_fact.items():
+        stored = lake.read_state("analytics", name)
+        assert rows(stored, *df.columns) == rows(df), name
     state = lake.read_state("analytics", "monthly_cashflow")
-    assert rows(state, *fresh.columns) == rows(fresh)
     assert dict(state.dtypes)["ano_mes"] == "string"
     assert dict(pipeline.gold_fact(lake).dtypes)["ano_mes"] == "string"
     ops = {r[0] for r in lake.read_changes("analytics", "monthly_cashflow", 2).select("_op").distinct().collect()}
