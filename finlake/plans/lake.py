@@ -82,6 +82,10 @@ class Lake:
         df = self._versions(layer, table, "changes")
         return df if version is None else df.where(F.col("v") == F.lit(version)).drop("v")
 
+    def write_version(self, df: DataFrame, layer: str, table: str, version: int) -> None:
+        """Write ``df`` as state version ``version`` (no change feed)."""
+        df.write.mode("overwrite").parquet(f"{self.path(layer, table)}/state/v={version}")
+
     def apply_snapshot(self, new: DataFrame, layer: str, table: str, keys, version: int) -> int:
         """Make ``new`` the state of ``table`` at ``version`` and record its changes.
 

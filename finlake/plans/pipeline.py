@@ -39,7 +39,7 @@ MART_KEYS = {
 
 FACT = "transacoes"
 FACT_MONTHS = "transacoes_meses"   # manifest of the live months of the fact
-MONTHLY = "transacoes_mensal"      # summaries of the fact read by the marts
+BY_CATEGORY = "transacoes_categoria"   # summaries of the fact read by the marts
 DAILY = "transacoes_diario"
 
 
@@ -87,15 +87,21 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
     fact = gold.transactions(movements, acc, crd, cat)
     full = months is None or changed or not lake.exists("gold", FACT_MONTHS, "/state")
 
-    def write_summaries(rows: DataFrame, dynamic: bool):
-        lake.write(gold.monthly_summary(rows), "gold", MONTHLY, partition_by="ano_mes", dynamic=dynamic)
-        lake.write(gold.daily_summary(rows), "gold", DAILY, partition_by="ano_mes", dynamic=dynamic)
+    def write_summaries(rows: DataFrame, incremental: bool):
+        """Small versioned summaries: the previous version without the touched
+        months plus the sums of the (whole) touched months."""
+        for name, summarise in ((BY_CATEGORY, gold.category_summary), (DAILY, gold.daily_summary)):
+            fresh = summarise(rows)
+            if incremental:
+                kept = lake.read_state("gold", name).where(~F.col("ano_mes").isin(*months))
+                fresh = kept.unionByName(fresh)
+            lake.write_version(fresh, "gold", name, version)
 
     def write_fact():
         if full:
             lake.write(fact, "gold", FACT, partition_by="ano_mes")
             stored = lake.read("gold", FACT)
-            write_summaries(stored, dynamic=False)
+            write_summaries(stored, incremental=False)
             live = stored.select("ano_mes").distinct()
         else:
             # stage the touched months once: the staged copy feeds the partition
@@ -105,23 +111,22 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
             fact.write.mode("overwrite").parquet(stage)
             staged = lake.spark.read.parquet(stage)
             lake.write(staged, "gold", FACT, partition_by="ano_mes", dynamic=True)
-            write_summaries(staged, dynamic=True)   # the staged rows are whole months
+            write_summaries(staged, incremental=True)   # the staged rows are whole months
             kept = lake.read_state("gold", FACT_MONTHS).where(~F.col("ano_mes").isin(*months))
             live = kept.unionByName(staged.select("ano_mes").distinct())
         lake.apply_snapshot(live, "gold", FACT_MONTHS, ["ano_mes"], version)
 
     timed("gold.transacoes", write_fact)
     timed("gold.calendar", lambda: lake.apply_snapshot(
-        gold.calendar(gold_fact(lake, DAILY), lake.read_state("gold", "orcamentos")),
+        gold.calendar(lake.read_state("gold", DAILY), lake.read_state("gold", "orcamentos")),
         "gold", "calendar", GOLD_KEYS["calendar"], version))
     return full
 
 
-def gold_fact(lake: Lake, table: str = FACT) -> DataFrame:
-    """The transaction fact (or one of its summaries) restricted to the live
-    months of the manifest (a month emptied by an incremental run keeps no
-    stale rows)."""
-    f = lake.read("gold", table)
+def gold_fact(lake: Lake) -> DataFrame:
+    """The transaction fact restricted to the live months of the manifest (a
+    month emptied by an incremental run keeps no stale rows)."""
+    f = lake.read("gold", FACT)
     if not lake.exists("gold", FACT_MONTHS, "/state"):
         return f
     live = lake.read_state("gold", FACT_MONTHS)
@@ -131,19 +136,21 @@ def gold_fact(lake: Lake, table: str = FACT) -> DataFrame:
 def gold_tables(lake: Lake, summaries: bool = True):
     """(transactions, budgets, calendar, categories) as stored in ``lake``.
 
-    With ``summaries`` the transactions are ``(monthly, daily)`` summaries,
-    which is what the marts read."""
-    trs = (gold_fact(lake, MONTHLY), gold_fact(lake, DAILY)) if summaries else gold_fact(lake)
+    With ``summaries`` the transactions are ``(fact, by_category, daily)``:
+    the fact for the per-account mart, the summaries for all the others."""
+    fact = gold_fact(lake)
+    trs = ((fact, lake.read_state("gold", BY_CATEGORY), lake.read_state("gold", DAILY))
+           if summaries else fact)
     return (trs, lake.read_state("gold", "orcamentos"),
             lake.read_state("gold", "calendar"), lake.read_state("gold", "categorias"))
 
 
 def mart_plans(trs, orc, cal, cat, p: Params) -> dict[str, DataFrame]:
-    """The seven marts; ``trs`` is the fact or a ``(monthly, daily)`` summary pair."""
-    monthly, daily = trs if isinstance(trs, tuple) else (trs, trs)
-    trs = monthly
+    """The seven marts; ``trs`` is the fact or ``(fact, by_category, daily)``."""
+    fact, by_cat, daily = trs if isinstance(trs, tuple) else (trs, trs, trs)
+    trs = by_cat
     return {
-        "account_balance": analytics.account_balance(trs),
+        "account_balance": analytics.account_balance(fact),
         "budget_balance": analytics.budget_balance(orc, cat, p.as_of, p.dedupe_categories),
         "budget_planning": analytics.budget_planning(trs, orc, cal, cat,
                                                      dedupe_categories=p.dedupe_categories),
