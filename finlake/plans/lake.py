@@ -59,6 +59,17 @@ class Lake:
                   for f in df.schema.fields]
         return self.spark.read.schema(StructType(fields)).parquet(p)
 
+    # --- table metadata (comment, keys, strategy) -----------------------------------
+    def describe(self, layer: str, table: str, comment: str, **props) -> None:
+        """Store a table comment and properties next to the table (``_meta``)."""
+        row = {"comment": comment, **{k: str(v) for k, v in props.items()}}
+        schema = ", ".join(f"`{k}` string" for k in row)
+        (self.spark.createDataFrame([tuple(row.values())], schema).coalesce(1)
+         .write.mode("overwrite").json(f"{self.path(layer, table)}_meta"))
+
+    def properties(self, layer: str, table: str) -> dict:
+        return self.spark.read.json(f"{self.path(layer, table)}_meta").first().asDict()
+
     # --- versioned keyed targets ---------------------------------------------------------
     def _versions(self, layer: str, table: str, kind: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path(layer, table)}/{kind}")

@@ -205,6 +205,13 @@ def build_silver(lake: Lake, specs=FINANCE_SPECS) -> None:
     spark = lake.spark
     for spec in specs:
         bronze_path = lake.path("bronze", spec.name)
+        lake.describe("bronze", spec.name, f"Bronze {spec.name}: append-only ingest of {spec.fmt} extracts",
+                      business_date=spec.business_date or "run date")
+        lake.describe("silver", spec.name,
+                      f"Silver {spec.name}: " + (f"deduplicated by {list(spec.keys)}, SCD type 1"
+                                                 if spec.strategy == "cdc" else "latest full snapshot"),
+                      keys=",".join(spec.keys), strategy=spec.strategy,
+                      sequence_by=",".join(spec.sequence_by))
         if spec.strategy == "cdc":
             schema = read_bronze(spark, bronze_path).schema
             stream = spark.readStream.schema(schema).parquet(bronze_path)

@@ -67,6 +67,8 @@ def test_pipeline_two_runs(spark, scratch):
         assert rows(stored, *df.columns) == rows(df), name
     state = lake.read_state("analytics", "monthly_cashflow")
     assert dict(state.dtypes)["ano_mes"] == "string"
+    meta = lake.properties("silver", "transacoes_efetivadas")
+    assert meta["strategy"] == "cdc" and meta["keys"] == "id,tipo,_businessmonth"
     assert dict(pipeline.gold_fact(lake).dtypes)["ano_mes"] == "string"
     ops = {r[0] for r in lake.read_changes("analytics", "monthly_cashflow", 2).select("_op").distinct().collect()}
     assert "update" in ops
