@@ -24,3 +24,30 @@ def test_scd1_stream_equals_batch(spark, scratch):
     batch = scd1_upsert(ev.drop("dia"), keys, seq)
     assert rows(tbl.read(spark), *batch.columns) == rows(batch)
     assert spark.read.parquet(tbl.changes).select("batch").distinct().count() >= 2
+
+
+def test_scd1_stream_recovers_from_a_failed_batch(spark, scratch):
+    """A batch that fails after writing part of its output is replayed from the
+    checkpoint with the same id and overwrites its own change set."""
+    import pytest
+    ev = spark.read.parquet(f"{SF0001}/events.parquet").withColumn("dia", F.to_date("ts").cast("string"))
+    src, ck = f"{scratch}/events", f"{scratch}/ck"
+    keys, seq = ["user_id", "event_type"], ["ts", "event_id"]
+    ev.write.partitionBy("dia").parquet(src)
+
+    class Flaky(Scd1Table):
+        failed = False
+
+        def write_batch(self, batch, batch_id):
+            super().write_batch(batch, batch_id)          # output written ...
+            if batch_id == 1 and not Flaky.failed:        # ... then the batch dies
+                Flaky.failed = True
+                raise RuntimeError("executor lost")
+
+    tbl = Flaky(f"{scratch}/silver", keys, seq)
+    stream = lambda: spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 5).parquet(src).drop("dia")
+    with pytest.raises(Exception):
+        tbl.run(stream(), ck)
+    tbl.run(stream(), ck)                                 # restart: batch 1 replayed
+    batch = scd1_upsert(ev.drop("dia"), keys, seq)
+    assert rows(tbl.read(spark), *batch.columns) == rows(batch)
