@@ -89,6 +89,12 @@ class Lake:
         df = self._versions(layer, table, "state")
         return df.where(F.col("v") == F.lit(v)).drop("v")
 
+    def read_previous(self, layer: str, table: str, version: int) -> DataFrame:
+        """State as of the newest version strictly before ``version``: what a
+        run writing ``version`` builds on, also when it is a retry of that
+        version (its own half-written output is never read back)."""
+        return self.read_state(layer, table, self.latest_version(layer, table, before=version))
+
     def read_changes(self, layer: str, table: str, version=None) -> DataFrame:
         df = self._versions(layer, table, "changes")
         return df if version is None else df.where(F.col("v") == F.lit(version)).drop("v")

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from finlake import constants as K
 from finlake.plans import analytics, gold
 from finlake.plans.lake import Lake
 from finlake.sources.views import Params
@@ -39,6 +40,7 @@ MART_KEYS = {
 
 FACT = "transacoes"
 FACT_MONTHS = "transacoes_meses"   # manifest of the live months of the fact
+WATERMARK = "transacoes_watermark"  # last settled change batch the fact reflects
 BY_CATEGORY = "transacoes_categoria"   # summaries of the fact read by the marts
 DAILY = "transacoes_diario"
 
@@ -50,7 +52,8 @@ def month_key_of(business_month: str) -> str:
 
 def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
                categories: DataFrame, budgets: DataFrame, params: Params, version: int,
-               timings: dict | None = None, months: list[str] | None = None) -> bool:
+               timings: dict | None = None, months: list[str] | None = None,
+               watermark: int | None = None) -> bool:
     """Conform the silver inputs into the gold tables of ``lake``.
 
     Categories, accounts, cards, budgets and the calendar are keyed targets
@@ -59,7 +62,10 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
     the rows of exactly those months, only their partitions are rewritten
     (dynamic overwrite) and the month manifest is updated; a change in any
     dimension, or a lake without a fact yet, falls back to a full rebuild.
-    Returns True when the fact was rebuilt in full.
+    Returns True when the fact was rebuilt in full. ``watermark`` (the last
+    settled change batch included) is recorded only after the fact, its
+    manifest and summaries are written, so a failed run is redone in full
+    months on retry.
     """
     import time
 
@@ -93,7 +99,7 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
         for name, summarise in ((BY_CATEGORY, gold.category_summary), (DAILY, gold.daily_summary)):
             fresh = summarise(rows)
             if incremental:
-                kept = lake.read_state("gold", name).where(~F.col("ano_mes").isin(*months))
+                kept = lake.read_previous("gold", name, version).where(~F.col("ano_mes").isin(*months))
                 fresh = kept.unionByName(fresh)
             lake.write_version(fresh, "gold", name, version)
 
@@ -102,7 +108,7 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
             lake.write(fact, "gold", FACT, partition_by="ano_mes")
             stored = lake.read("gold", FACT)
             write_summaries(stored, incremental=False)
-            live = stored.select("ano_mes").distinct()
+            live = month_manifest(stored)
         else:
             # stage the touched months once: the staged copy feeds the partition
             # overwrite and tells which touched months still have rows (a month
@@ -112,9 +118,12 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
             staged = lake.spark.read.parquet(stage)
             lake.write(staged, "gold", FACT, partition_by="ano_mes", dynamic=True)
             write_summaries(staged, incremental=True)   # the staged rows are whole months
-            kept = lake.read_state("gold", FACT_MONTHS).where(~F.col("ano_mes").isin(*months))
-            live = kept.unionByName(staged.select("ano_mes").distinct())
+            kept = lake.read_previous("gold", FACT_MONTHS, version).where(~F.col("ano_mes").isin(*months))
+            live = kept.unionByName(month_manifest(staged))
         lake.apply_snapshot(live, "gold", FACT_MONTHS, ["ano_mes"], version)
+        if watermark is not None:
+            lake.write_version(lake.spark.range(1).select(F.lit(watermark).cast("long").alias("batch")),
+                               "gold", WATERMARK, version)
 
     timed("gold.transacoes", write_fact)
     timed("gold.calendar", lambda: lake.apply_snapshot(
@@ -123,6 +132,19 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
     return full
 
 
+def month_manifest(fact: DataFrame) -> DataFrame:
+    """Live months of the fact and whether they hold pending movements."""
+    return fact.groupBy("ano_mes").agg(
+        F.max((F.col("situacao") == K.STATUS_PENDING).cast("int")).cast("boolean").alias("tem_pendentes"))
+
+
+def gold_watermark(lake: Lake) -> int | None:
+    """Last settled change batch reflected by the gold fact (None: rebuild in full)."""
+    if not (lake.exists("gold", WATERMARK, "/state") and lake.exists("gold", FACT_MONTHS, "/state")):
+        return None
+    return int(lake.read_state("gold", WATERMARK).first()["batch"])
+
+
 def gold_fact(lake: Lake) -> DataFrame:
     """The transaction fact restricted to the live months of the manifest (a
     month emptied by an incremental run keeps no stale rows)."""
@@ -241,25 +263,30 @@ def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Pa
         compact_every: int = 8) -> Lake:
     """One triggered run of the whole pipeline.
 
-    With ``incremental`` the gold fact is refreshed only for the months this
-    run touched: months of the settled change batches that arrived in this
-    run, plus the months of the previous and the new pending snapshot.
+    With ``incremental`` the gold fact is refreshed only for the months that
+    changed since the fact was last built: months of the settled change
+    batches after the gold watermark, months holding pending movements in the
+    fact (from its manifest) and months of the new pending snapshot. Both
+    references come from gold itself, so a run that failed half-way is redone
+    correctly by the next one.
     """
     lake = Lake(spark, lake_root)
     by_name = {sp.name: sp for sp in specs}
     settled_tbl = silver_table(lake, by_name[SETTLED])
-    before = settled_tbl.last_batch(spark)
-    old_pending = (_months(lake.read("silver", PENDING))
-                   if incremental and lake.exists("silver", PENDING) else set())
 
     ingest_bronze(spark, lake, raw_root, run_date, specs)
     build_silver(lake, specs)
 
     months = None
     where = None
-    if incremental and before >= 0:
+    last = settled_tbl.last_batch(spark)
+    built = gold_watermark(lake) if incremental else None
+    if built is not None:
+        old_pending = {m.replace("-", "")[:6] + "01" for m in (
+            r[0] for r in lake.read_state("gold", FACT_MONTHS).where("tem_pendentes")
+            .select("ano_mes").collect())}
         touched = (old_pending | _months(read_silver(lake, by_name[PENDING]))
-                   | _months(settled_tbl.changes_since(spark, before)))
+                   | _months(settled_tbl.changes_since(spark, built)))
         months = sorted(month_key_of(m) for m in touched)
         where = F.col("_businessmonth").isin(*sorted(touched))
     s = {sp.name: read_silver(lake, sp) for sp in specs}
@@ -268,7 +295,7 @@ def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Pa
     build_gold(lake, movements=[f.select(*mov_cols) for f in feeds],
                accounts=s["contas"], cards=s["cartoes"], categories=s["categorias"],
                budgets=s["orcamentos"], params=params, version=version,
-               months=months)
+               months=months, watermark=last)
     build_marts(lake, params, version)
     for sp in specs:  # fold long change logs into a new base
         if sp.strategy == "cdc":
