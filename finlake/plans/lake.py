@@ -13,6 +13,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -76,9 +77,10 @@ class Lake:
 
     def latest_version(self, layer: str, table: str, before=None):
         """Newest state version (below ``before`` if given); one scalar to the driver."""
-        if not self.exists(layer, table, "/state"):
+        try:
+            df = self._versions(layer, table, "state")
+        except AnalysisException:  # no version written yet
             return None
-        df = self._versions(layer, table, "state")
         if before is not None:
             df = df.where(F.col("v") < F.lit(before))
         return df.select(F.max("v")).first()[0]

@@ -149,10 +149,10 @@ def gold_fact(lake: Lake) -> DataFrame:
     """The transaction fact restricted to the live months of the manifest (a
     month emptied by an incremental run keeps no stale rows)."""
     f = lake.read("gold", FACT)
-    if not lake.exists("gold", FACT_MONTHS, "/state"):
+    v = lake.latest_version("gold", FACT_MONTHS)
+    if v is None:
         return f
-    live = lake.read_state("gold", FACT_MONTHS)
-    return f.join(live, "ano_mes", "left_semi")
+    return f.join(lake.read_state("gold", FACT_MONTHS, v), "ano_mes", "left_semi")
 
 
 def gold_tables(lake: Lake, summaries: bool = True):
