@@ -152,7 +152,8 @@ def gold_fact(lake: Lake) -> DataFrame:
     v = lake.latest_version("gold", FACT_MONTHS)
     if v is None:
         return f
-    return f.join(lake.read_state("gold", FACT_MONTHS, v), "ano_mes", "left_semi")
+    live = lake.read_state("gold", FACT_MONTHS, v).select("ano_mes")
+    return f.join(live, "ano_mes", "left_semi").select(*f.columns)
 
 
 def gold_tables(lake: Lake, summaries: bool = True):
