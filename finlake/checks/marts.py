@@ -12,12 +12,21 @@ from finlake.sources.views import TEST_PARAMS as P, Tables
 
 def gold_layer(spark: SparkSession, sf_dir: str):
     """(transactions, budgets, calendar, categories) gold DataFrames."""
+    trs, orc, cal, cat, _, _ = gold_with_summaries(spark, sf_dir)
+    return trs, orc, cal, cat
+
+
+def gold_with_summaries(spark: SparkSession, sf_dir: str):
+    """The gold layer plus the category and daily summaries the marts read,
+    composed exactly as the pipeline composes them (the calendar bounds come
+    from the daily summary, so one daily aggregate serves both)."""
     t = Tables(spark, sf_dir)
     cat = gold.categories(views.categories(t), P.lifestyle_parents)
     orc = gold.budgets(views.budgets(t), P.as_of)
     trs = gold.transactions(views.movements(t), views.accounts(t), views.cards(t), cat)
-    cal = gold.calendar(trs, orc)
-    return trs, orc, cal, cat
+    by_cat, daily = gold.category_summary(trs), gold.daily_summary(trs)
+    cal = gold.calendar(daily, orc)
+    return trs, orc, cal, cat, by_cat, daily
 
 
 def gold_categories(spark, sf_dir) -> DataFrame:
@@ -46,26 +55,27 @@ def budget_balance(spark, sf_dir) -> DataFrame:
 
 
 def budget_planning(spark, sf_dir) -> DataFrame:
-    return analytics.budget_planning(*gold_layer(spark, sf_dir))
+    _, orc, cal, cat, by_cat, _ = gold_with_summaries(spark, sf_dir)
+    return analytics.budget_planning(by_cat, orc, cal, cat)
 
 
 def daily_cashflow(spark, sf_dir) -> DataFrame:
-    trs, orc, cal, _ = gold_layer(spark, sf_dir)
-    return analytics.daily_cashflow(trs, orc, cal, P.interest_rate)
+    _, orc, cal, _, _, daily = gold_with_summaries(spark, sf_dir)
+    return analytics.daily_cashflow(daily, orc, cal, P.interest_rate)
 
 
 def monthly_cashflow(spark, sf_dir) -> DataFrame:
-    trs, orc, cal, _ = gold_layer(spark, sf_dir)
-    return analytics.monthly_cashflow(trs, orc, cal)
+    _, orc, cal, _, by_cat, _ = gold_with_summaries(spark, sf_dir)
+    return analytics.monthly_cashflow(by_cat, orc, cal)
 
 
 def income_vs_outcome(spark, sf_dir) -> DataFrame:
-    return analytics.income_vs_outcome(gold_layer(spark, sf_dir)[0], P.start_month)
+    return analytics.income_vs_outcome(gold_with_summaries(spark, sf_dir)[4], P.start_month)
 
 
 def main_kpis(spark, sf_dir) -> DataFrame:
-    trs, orc, cal, cat = gold_layer(spark, sf_dir)
-    return analytics.main_kpis(trs, orc, cal, cat, P.salary_subcategory,
+    _, orc, cal, cat, by_cat, _ = gold_with_summaries(spark, sf_dir)
+    return analytics.main_kpis(by_cat, orc, cal, cat, P.salary_subcategory,
                                P.instalment_subcategory)
 
 
