@@ -32,6 +32,8 @@ def main(argv=None) -> None:
     pl.add_argument("--run-date", default=dt.date.today().isoformat())
     pl.add_argument("--version", type=int, required=True)
     pl.add_argument("--start-month", default=None)
+    pl.add_argument("--clean-source", choices=["archive", "delete"], default=None,
+                    help="purge raw files of committed batches (archived under <lake>/_archive)")
     for p in (ex, pl):
         p.add_argument("--master", default=None)
     a = ap.parse_args(argv)
@@ -51,7 +53,7 @@ def main(argv=None) -> None:
         from finlake.plans import pipeline
         from finlake.sources.views import production_params
         params = production_params(a.run_date, a.start_month)
-        pipeline.run(spark, a.raw, a.lake, a.run_date, params, a.version)
+        pipeline.run(spark, a.raw, a.lake, a.run_date, params, a.version, clean_source=a.clean_source)
         print(f"lake {a.lake} at version {a.version}")
 
 

@@ -261,7 +261,7 @@ def _months(df: DataFrame) -> set[str]:
 
 def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Params,
         version: int, specs: list[TableSpec] = FINANCE_SPECS, incremental: bool = True,
-        compact_every: int = 8) -> Lake:
+        compact_every: int = 8, clean_source: str | None = None) -> Lake:
     """One triggered run of the whole pipeline.
 
     With ``incremental`` the gold fact is refreshed only for the months that
@@ -275,7 +275,7 @@ def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Pa
     by_name = {sp.name: sp for sp in specs}
     settled_tbl = silver_table(lake, by_name[SETTLED])
 
-    ingest_bronze(spark, lake, raw_root, run_date, specs)
+    ingest_bronze(spark, lake, raw_root, run_date, specs, clean_source=clean_source)
     build_silver(lake, specs)
 
     months = None

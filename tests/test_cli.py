@@ -34,7 +34,8 @@ def test_cli_extract_then_pipeline(spark, scratch):
             {"category": {"name": "Aluguel"}, "planned": 1600.0, "paidExpenses": 1500.0, "pendingExpenses": 80.0}]}]}])
     main(["extract", "--pages", pages, "--raw", raw, "--refdate", "2024-03-10",
           "--extraction-ts", "20240310_080000"])
-    main(["pipeline", "--raw", raw, "--lake", lake, "--run-date", "2024-03-10", "--version", "1"])
+    main(["pipeline", "--raw", raw, "--lake", lake, "--run-date", "2024-03-10", "--version", "1",
+          "--clean-source", "archive"])
     from finlake.plans.lake import Lake
     k = Lake(spark, lake).read_state("analytics", "main_kpis").where("ano_mes = '2024-02-01'").first()
     assert float(k["total_salario"]) == 5000.0
