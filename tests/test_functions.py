@@ -51,3 +51,13 @@ def test_clamp_and_interest(spark):
     assert [Decimal(x) for x in got] == [Decimal("6.00"), 0, 0, 0]
     b = spark.createDataFrame([(Decimal("-100.00"),), (Decimal("5.00"),)], "b decimal(38,2)")
     assert [r[0] for r in b.select(interest("b")).collect()] == [Decimal("0.350000"), Decimal("0E-6")]
+
+
+def test_production_params_follow_the_run_date():
+    from finlake import constants as K
+    from finlake.sources.views import production_params
+    p = production_params("2024-03-17")
+    assert (p.as_of, p.start_month) == ("2024-03-01", "2024-01-01")
+    assert list(p.lifestyle_parents) == K.LIFESTYLE_PARENTS
+    assert (p.salary_subcategory, p.instalment_subcategory) == (K.SALARY_SUBCATEGORY, K.INSTALMENT_SUBCATEGORY)
+    assert production_params("2024-03-17", "2023-07-01").start_month == "2023-07-01"
