@@ -3,19 +3,54 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from finlake.llm import exact_dedup, quality_rules
-from finlake.llm.common import table
+from finlake.llm import chat, exact_dedup, packing, quality_rules, quality_votes, records, word_bpe
+from finlake.llm.common import materialise, table
+from finlake.session import scratch_path
+
+# The contract's conversation that speaks in the template's own control strings.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_votes.score(docs, quality_votes.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "records")
+    records.write_records(table(spark, sf_dir, "documents"), path)
+    return records.read_records(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents")))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = quality_rules.assess(table(spark, sf_dir, "documents"))
     return rules.select("row.doc_id", *[c for c in rules.columns if c != "row"])
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op9_quality_rules)}
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], rows.schema)
+    return chat.digests(materialise(chat.format_conversations(rows.unionByName(control)), "chat"))
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_quality_votes, op5_packing, op6_token_records, op8_word_bpe,
+                                   op9_quality_rules, op10_chat_format)}
 ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL}
