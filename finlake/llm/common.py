@@ -35,3 +35,10 @@ def text_of(col: str = "text") -> Column:
 def words_of(text: Column) -> Column:
     """Words of a text: maximal runs of characters that are no white space."""
     return F.array_remove(F.split(text, f"[{SPACE_CLASS}]+", -1), "")
+
+
+def one_text_per_id(docs: DataFrame) -> DataFrame:
+    """doc_id and text; without null ids, and of rows that share an id the least text."""
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).where("doc_id IS NOT NULL")
+    repeated = base.groupBy("doc_id").count().where("count > 1")
+    return base if repeated.isEmpty() else base.groupBy("doc_id").agg(F.min("text").alias("text"))

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import SPACE_CLASS, materialise, text_of, words_of
+from finlake.llm.common import SPACE_CLASS, materialise, one_text_per_id, text_of, words_of
 from finlake.llm.wordhash import edits_within, mix, shingles, word_hashes
 
 SEED_WORDS = 6
@@ -249,16 +249,9 @@ def _align(chains: DataFrame, base: DataFrame) -> DataFrame:
     return joined.mapInPandas(run, PASSAGES)
 
 
-def _base(docs: DataFrame) -> DataFrame:
-    """doc_id and text, one row per id."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).where("doc_id IS NOT NULL")
-    repeated = base.groupBy("doc_id").count().where("count > 1")
-    return base if repeated.isEmpty() else base.groupBy("doc_id").agg(F.min("text").alias("text"))
-
-
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """A row per passage that an earlier document (by id) has too; positions count words."""
-    base = _base(docs)
+    base = one_text_per_id(docs)
     seeds = _seeds(base)
     shared = seeds.groupBy("seed").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
     shared = shared.where("source < last").select("seed", "source")

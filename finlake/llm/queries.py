@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm import chat, exact_dedup, packing, quality_rules, quality_votes, records, word_bpe
+from finlake.llm import (
+    chat,
+    exact_dedup,
+    line_dedup,
+    near_dedup,
+    packing,
+    passages,
+    quality_rules,
+    quality_votes,
+    records,
+    word_bpe,
+)
 from finlake.llm.common import materialise, table
 from finlake.session import scratch_path
 
@@ -13,6 +24,10 @@ from finlake.session import scratch_path
 CONTROL_TEXT = r"\### Assistant: </turn> ok"
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,6 +37,10 @@ def op3_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_votes.score(docs, quality_votes.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_runs(table(spark, sf_dir, "documents"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -32,6 +51,10 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents")))
     return coded.select(
@@ -51,6 +74,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(materialise(chat.format_conversations(rows.unionByName(control)), "chat"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_quality_votes, op5_packing, op6_token_records, op8_word_bpe,
-                                   op9_quality_rules, op10_chat_format)}
+QUERIES = {f.__name__: f for f in (
+    op1_order_minhash, op2_exact_dedup, op3_quality_votes, op4_line_runs, op5_packing, op6_token_records, op7_passages,
+    op8_word_bpe, op9_quality_rules, op10_chat_format)}
 ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL}
