@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import text_of
+from finlake.llm.common import ship, text_of
 from finlake.llm.tokens import byte_tokenizer_path, load
 
 OPEN, CLOSE = "### ", "</turn>"
@@ -93,6 +93,7 @@ def align(offsets: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray
 
 def format_conversations(rows: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """One row per conversation: formatted text, ids, token mask and masked character spans."""
+    ship(rows.sparkSession)
     path = tokenizer_path or byte_tokenizer_path()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,6 +140,7 @@ DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, lo
 
 def digests(formatted: DataFrame) -> DataFrame:
     """What a reader gets back from formatted conversations, as digests."""
+    ship(formatted.sparkSession)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []

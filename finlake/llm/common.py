@@ -2,15 +2,44 @@
 
 from __future__ import annotations
 
+import io
+import os
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.session import scratch_path
+import finlake
+from finlake.session import checkpoint_root, scratch_path
 
 # White space as the contracts define it: space and U+0009..U+000D.
 SPACE_CLASS = r"\x20\x09-\x0D"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, by way of the shared folder."""
+    from pyarrow import fs
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    data, home = io.BytesIO(), os.path.dirname(os.path.abspath(finlake.__file__))
+    with zipfile.ZipFile(data, "w") as z:
+        for folder, _, names in os.walk(home):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.join("finlake", os.path.relpath(path, home)))
+    uri = f"{checkpoint_root(spark)}/finlake/package-{app}.zip"
+    filesystem, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    filesystem.create_dir(os.path.dirname(path), recursive=True)
+    with filesystem.open_output_stream(path) as f:
+        f.write(data.getvalue())
+    spark.sparkContext.addPyFile(uri)
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import SPACE_CLASS, materialise, one_text_per_id, text_of
+from finlake.llm.common import SPACE_CLASS, materialise, one_text_per_id, ship, text_of
 from finlake.llm.passages import window_minima
 from finlake.llm.wordhash import shingles
 
@@ -73,6 +73,7 @@ def extended(a: np.ndarray, b: np.ndarray, at: int, to: int) -> tuple[int, int,
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """A row per run of lines that occurs earlier; positions count lines that hold a word."""
+    ship(docs.sparkSession)
     lines = materialise(one_text_per_id(docs).select("doc_id", _line_hashes(F.col("text")).alias("hashes")), "lines")
     prints = materialise(_prints(lines), "line-prints")
     first = (prints.groupBy("print").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))

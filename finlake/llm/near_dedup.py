@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import materialise, text_of
+from finlake.llm.common import materialise, ship, text_of
 from finlake.llm.components import components
 from finlake.llm.wordhash import edits_within, mix, shingles, word_hashes
 
@@ -118,6 +118,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: doc_id, class_id (least doc_id of the class), kept."""
+    ship(docs.sparkSession)
     sketches = materialise(_sketch(docs), "sketches")
     known = sketches.where("doc_id IS NOT NULL")
     nodes = known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))

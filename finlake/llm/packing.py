@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import text_of
+from finlake.llm.common import ship, text_of
 from finlake.llm.tokens import spaced_encoder, word_tokenizer_path
 
 MAX_TOKENS = 2048
@@ -112,6 +112,7 @@ def pack_examples(df: DataFrame, key: str, tokens: str, loss: str, max_tokens: i
     Counts that are null or negative count as 0; an example over a limit gets
     a sequence of its own.
     """
+    ship(df.sparkSession)
     limits = (max_tokens, max_segments, max_loss)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,6 +148,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str | None = None, max_token
     ids fill sequences of their own, the rest is packed with others.  All ids
     bear loss.  ``with_ids`` adds the ids as ``array<int>``.
     """
+    ship(docs.sparkSession)
     path = tokenizer_path or word_tokenizer_path()
     schema = PIECES + (", ids array<int>" if with_ids else "")
     names = [c.split()[0] for c in schema.split(", ")]

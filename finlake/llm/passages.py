@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import SPACE_CLASS, materialise, one_text_per_id, text_of, words_of
+from finlake.llm.common import SPACE_CLASS, materialise, one_text_per_id, ship, text_of, words_of
 from finlake.llm.wordhash import edits_within, mix, shingles, word_hashes
 
 SEED_WORDS = 6
@@ -251,6 +251,7 @@ def _align(chains: DataFrame, base: DataFrame) -> DataFrame:
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """A row per passage that an earlier document (by id) has too; positions count words."""
+    ship(docs.sparkSession)
     base = one_text_per_id(docs)
     seeds = _seeds(base)
     shared = seeds.groupBy("seed").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))

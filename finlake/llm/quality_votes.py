@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import text_of
+from finlake.llm.common import ship, text_of
 
 BUCKETS = 4096
 DIMS = 64
@@ -90,6 +90,7 @@ def _latent(x: np.ndarray, dims: int) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> dict:
     """The labelled latent vectors, their labels and vote weights, and the projection."""
+    ship(docs.sparkSession)
     base = docs.select(F.col("doc_id"), text_of().alias("text"))
     idf = _document_frequencies(base)
     known = (labels.select(F.col("doc_id").alias("doc_id"), F.col(label).cast("int").alias("y"))
@@ -137,6 +138,7 @@ def vote(texts: list[str], model: dict) -> np.ndarray:
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from finlake.llm.common import text_of
+from finlake.llm.common import ship, text_of
 from finlake.llm.tokens import spaced_encoder, word_tokenizer_path
 
 END_ID = 2
@@ -70,6 +70,7 @@ def _filesystem(uri: str):
 
 def write_records(docs: DataFrame, path: str, tokenizer_path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Write the encoded documents under ``path``; a manifest row per file, kept as Parquet beside the files."""
+    ship(docs.sparkSession)
     spark = docs.sparkSession
     tokenizer = tokenizer_path or word_tokenizer_path()
 
@@ -112,6 +113,7 @@ def read_records(spark: SparkSession, path: str, seed: int | None = None) -> Dat
     ``start`` counts the ids of all records before it.  With ``seed`` each
     chunk of records is read in an order drawn from it, through the index.
     """
+    ship(spark)
     # a row per file, as a file listing has; their token counts give each file's first position
     files = sorted((r for r in spark.read.schema(MANIFEST).parquet(f"{path}/_manifest").collect() if r["n_records"]),
                    key=lambda r: r["part"])

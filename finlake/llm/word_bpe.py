@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finlake.llm.common import text_of
+from finlake.llm.common import ship, text_of
 from finlake.llm.tokens import byte_letters, byte_tokenizer_path, load
 
 BLOCK_CHARS = 4_000_000
@@ -84,6 +84,7 @@ def _hot_words(base: DataFrame, n_docs: int, path: str) -> dict[str, bytes]:
 
 def encode(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """doc_id and ids (``array<int>``) of every row, without added special tokens."""
+    ship(docs.sparkSession)
     import zstandard
     spark = docs.sparkSession
     path = tokenizer_path or byte_tokenizer_path()
@@ -160,6 +161,7 @@ def pieces(tokenizer_path: str | None = None) -> list[bytes]:
 
 def decode(encoded: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """``encoded`` with the column ``decoded``: the text of ``ids``."""
+    ship(encoded.sparkSession)
     table = encoded.sparkSession.sparkContext.broadcast(pieces(tokenizer_path))
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
