@@ -5,14 +5,17 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
+import struct
 from functools import lru_cache
 
-import numpy as np
-
 from finlake.llm.common import SPACE_CLASS
 
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 20
 _SPACE = re.compile(f"[{SPACE_CLASS}]+")
+_MARKS = string.punctuation
+# str.split takes these for white space, the tokenizers' \s does not
+_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
 
 
 def word_tokenizer_path() -> str:
@@ -42,17 +45,20 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class SpacedEncoder:
+class SpacedEncoder(dict):
     """Ids of whole texts for a tokenizer that drops white space.
 
     Such a tokenizer never joins characters across white space, so a text's
-    ids are the ids of its space-separated chunks in order.  Chunks are cached
-    (cleared at ``CACHE_WORDS``); a new chunk of Latin-1 letters, with or
-    without one full stop or comma, goes to the BPE model directly, any other
-    through the whole tokenizer.
+    ids are the ids of its space-separated chunks in order.  The chunks' ids
+    are the entries of this dict (cleared at ``CACHE_WORDS``); a new chunk of
+    Latin-1 letters, with or without ASCII marks behind them, goes to the BPE
+    model directly, as its letters and its marks are one word each; any other
+    goes through the whole tokenizer.  Ids are
+    little-endian unsigned 32-bit integers.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         split = (kind["pre_tokenizer"].get("pretokenizers") or [{}])[0]
@@ -60,38 +66,38 @@ class SpacedEncoder:
             raise ValueError("the tokenizer keeps white space; its chunks can't be encoded one by one")
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
-        self.dtype = np.dtype("<u4")
-        self.chunks: dict[str, bytes] = {"": b""}
         self.words: dict[str, bytes] = {}
         self.letters = byte_letters()
+        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
 
     def _word(self, word: str) -> bytes:
         got = self.words.get(word)
         if got is None:
             mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            got = np.array([t.id for t in self.model.tokenize(mapped)], self.dtype).tobytes()
-            self.words[word] = got
+            got = self.words[word] = b"".join([self.packed[t.id] for t in self.model.tokenize(mapped)])
         return got
 
-    def _chunk(self, chunk: str) -> bytes:
-        stem, mark = (chunk[:-1], chunk[-1]) if chunk[-1] in ".," else (chunk, "")
-        if stem.isalpha() and max(stem) < "\u0100":
-            got = self._word(stem.lower()) + (self._word(mark) if mark else b"")
+    def __missing__(self, chunk: str) -> bytes:
+        if not chunk:
+            return b""
+        stem = chunk.rstrip(_MARKS)
+        mark = chunk[len(stem):]
+        if stem.isalpha() and (stem.isascii() or max(stem) < "\u0100"):
+            got = self._word(stem.lower())
+            if mark:
+                got += self._word(mark)
         else:
-            got = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
-        self.chunks[chunk] = got
+            got = b"".join([self.packed[i] for i in self.tokenizer.encode(chunk, add_special_tokens=False).ids])
+        self[chunk] = got
         return got
 
     def encode(self, text: str) -> bytes:
-        """Ids of ``text`` as little-endian unsigned 32-bit integers."""
-        if len(self.chunks) + len(self.words) > CACHE_WORDS:
-            self.chunks, self.words = {"": b""}, {}
-        parts = _SPACE.split(text)
-        get = self.chunks.get
-        got = [get(c) for c in parts]
-        if None in got:
-            got = [self._chunk(c) if g is None else g for c, g in zip(parts, got, strict=True)]
-        return b"".join(got)
+        """The ids of ``text``."""
+        if len(self) + len(self.words) > CACHE_WORDS:
+            self.clear()
+            self.words.clear()
+        odd = any(c in text for c in _SEPARATORS)
+        return b"".join(map(self.__getitem__, _SPACE.split(text) if odd else text.split()))
 
 
 @lru_cache(maxsize=2)
