@@ -56,7 +56,7 @@ def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = word_bpe.decode(word_bpe.encode(table(spark, sf_dir, "documents")))
+    coded = word_bpe.encode(table(spark, sf_dir, "documents"), back=True)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -8,7 +8,8 @@ characters.  Words go one of two ways, and give the same ids by either:
 * the ``HOT_WORDS`` most frequent words of a bounded sample of documents are
   encoded once and broadcast (a bounded table; it only saves shuffling),
 * every other word is sent once per block to the task that owns the word,
-  which encodes each distinct word once and returns its ids to the blocks.
+  which encodes each distinct word once and returns its ids, many words in a
+  compressed row, to the blocks.
 
 A block then joins the ids back by position.  Decoding joins ids with the
 vocabulary's pieces, a table of fixed size, in every task.
@@ -39,7 +40,7 @@ from finlake.llm.tokens import byte_letters, byte_tokenizer_path, load
 BLOCK_CHARS = 4_000_000
 HOT_WORDS = 1 << 18
 SAMPLE_DOCS = 40_000
-ENCODE_ROWS = 4096
+SEND_WORDS = 200_000      # encoded words that a task gathers before it sends them to their blocks
 
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
@@ -82,8 +83,11 @@ def _hot_words(base: DataFrame, n_docs: int, path: str) -> dict[str, bytes]:
     return dict(zip(got["word"].to_pylist(), got["ids"].to_pylist(), strict=True))
 
 
-def encode(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
-    """doc_id and ids (``array<int>``) of every row, without added special tokens."""
+def encode(docs: DataFrame, tokenizer_path: str | None = None, back: bool = False) -> DataFrame:
+    """doc_id and ids (``array<int>``) of every row, without added special tokens.
+
+    ``back`` adds ``decoded``, the text of the ids, in the same pass.
+    """
     ship(docs.sparkSession)
     import zstandard
     spark = docs.sparkSession
@@ -91,11 +95,12 @@ def encode(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     size = base.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text").cast("long")).alias("chars")).first()
     hot = spark.sparkContext.broadcast(_hot_words(base, size["n"], path))
+    by_id = spark.sparkContext.broadcast(pieces(path)) if back else None
     n_blocks = (size["chars"] or 0) // BLOCK_CHARS + 1
     base = base.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        compress = zstandard.ZstdCompressor(level=1).compress
+        compress = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             blocks, data = [], []
             for block, rows in batch.groupby("block"):
@@ -115,38 +120,56 @@ def encode(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
             yield pd.DataFrame({"word": words, "block": blocks}).astype({"word": "object", "block": "int64"})
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by word, so each distinct word is encoded once."""
+        """Rows come sorted by word, so each distinct word is encoded once; its ids go to every block that has it."""
         tokenizer, last, ids = load(path), None, b""
+        compress = zstandard.ZstdCompressor(level=3).compress
+        held: dict[int, list[tuple[str, bytes]]] = {}
+        n = 0
+
+        def send() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(held), pa.int64()), pa.array([compress(pickle.dumps(w)) for w in held.values()])],
+                names=["block", "words"])
+
         for batch in batches:
             words = batch.column("word").to_pylist()
             new = [w for i, w in enumerate(words) if w != (words[i - 1] if i else last)]
             fresh = iter(zip(new, _encode_words(tokenizer, new), strict=True))
-            out = []
-            for w in words:
+            for w, block in zip(words, batch.column("block").to_pylist(), strict=True):
                 if w != last:
                     last, ids = next(fresh)
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("word"), pa.array(out, pa.binary())],
-                                             names=["block", "word", "ids"])
+                held.setdefault(block, []).append((w, ids))
+            n += len(words)
+            if n >= SEND_WORDS:
+                yield send()
+                held.clear()
+                n = 0
+        if held:
+            yield send()
 
     def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        known, own = hot.value, dict(zip(right["word"], right["ids"], strict=True))
         expand = zstandard.ZstdDecompressor().decompress
-        ids, out = [], []
+        known, own = hot.value, {}
+        for data in right["words"]:
+            own.update(pickle.loads(expand(data)))
+        ids, out, texts_back = [], [], []
         for data in left["data"]:
             doc_ids, texts = pickle.loads(expand(data))
             for doc_id, text in zip(doc_ids, texts, strict=True):
-                ids.append(doc_id)
                 got = b"".join([known.get(w) or own[w] for w in split_words(text)])
+                ids.append(doc_id)
                 out.append(np.frombuffer(got, "<u4").astype(np.int32))
-        return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "ids": out})
+                if back:
+                    texts_back.append(decoded(out[-1], by_id.value))
+        rows = pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "ids": out})
+        return rows.assign(decoded=texts_back) if back else rows
 
     texts = base.select("doc_id", "text", "block").mapInPandas(pack, "block long, data binary")
     words = (base.select("text", "block").mapInPandas(rare, "word string, block long")
              .repartition("word").sortWithinPartitions("word")
-             .mapInArrow(table, "block long, word string, ids binary"))
+             .mapInArrow(table, "block long, words binary"))
     return (texts.groupBy("block").cogroup(words.groupBy("block"))
-            .applyInPandas(join, "doc_id long, ids array<int>"))
+            .applyInPandas(join, "doc_id long, ids array<int>" + (", decoded string" if back else "")))
 
 
 def pieces(tokenizer_path: str | None = None) -> list[bytes]:
@@ -159,6 +182,11 @@ def pieces(tokenizer_path: str | None = None) -> list[bytes]:
     return out
 
 
+def decoded(ids: np.ndarray, table: list[bytes]) -> str:
+    """Ids joined with the table of pieces."""
+    return b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
 def decode(encoded: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """``encoded`` with the column ``decoded``: the text of ``ids``."""
     ship(encoded.sparkSession)
@@ -166,11 +194,9 @@ def decode(encoded: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = table.value.__getitem__
         for batch in batches:
-            rows = pa.array([None if ids is None else b"".join(map(get, ids)).decode("utf-8", "replace")
-                             for ids in (x.values.to_numpy().tolist() if x.is_valid else None
-                                         for x in batch.column("ids"))], pa.string())
+            rows = pa.array([decoded(x.values.to_numpy(), table.value) if x.is_valid else None
+                             for x in batch.column("ids")], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, rows], names=schema.names)
 
     return encoded.mapInArrow(run, schema)
