@@ -164,4 +164,7 @@ def assess(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns unchanged."""
-    return assess(docs).where("kept").select("row.*")
+    # a predicate over a random column isn't pushed down; pushed, the whole verdict would be
+    # inlined into one expression that computes every shared step again and again
+    verdict = F.col("kept") & (F.rand(0) >= 0)
+    return assess(docs).withColumn("passes", verdict).where("passes").select("row.*")
