@@ -7,9 +7,11 @@ make a document's keys.  Documents that share a key are candidates: every
 member of a bucket is paired with the bucket's least and greatest member, not
 with all others.  A pair is a link if a banded alignment of the whole texts
 finds a word edit similarity (1 - edits / words of the longer text) of at
-least ``SIMILARITY``.  Members that linked to neither end meet again, among
-themselves, until a round finds no new link.  Classes are the connected
-components of the links.
+least ``SIMILARITY``.  Members that are in neither end's class meet two other
+members of their buckets, drawn by a hash, in the next round, and so on until
+a round joins no classes: a document with true copies in its buckets meets
+one in each round, so those left shrink by a factor a round.  Classes are the
+connected components of the links.
 
 Texts with the same words in the same order are one node from the start, so a
 large group of copies costs a row each, and buckets are reduced before they
@@ -88,13 +90,19 @@ def _sketch(docs: DataFrame) -> DataFrame:
         run, "doc_id long, digest binary, keys array<long>")
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """Each member of a bucket with its least and its greatest member."""
-    ends = (members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+def _labelled(df: DataFrame, column: str, classes: DataFrame | None, label: str) -> DataFrame:
+    """``df`` with the present class of the node in ``column``; a node in no class is its own."""
+    if classes is None:
+        return df.withColumn(label, F.col(column))
+    known = classes.select(F.col("node").alias(column), F.col("class_id").alias("_class"))
+    return df.join(known, column, "left").withColumn(label, F.coalesce("_class", column)).drop("_class")
+
+
+def _hubs(members: DataFrame, turn: int) -> DataFrame:
+    """Two members of each bucket: first the least and the greatest, in later turns two drawn by a hash."""
+    by = F.col("node") if turn == 0 else F.xxhash64(F.col("node"), F.lit(turn))
+    return (members.groupBy("key").agg(F.min_by("node", by).alias("low"), F.max_by("node", by).alias("high"))
             .where("low <> high"))
-    both = members.join(ends, "key")
-    return (both.select(F.col("node").alias("a"), F.explode(F.array("low", "high")).alias("b"))
-            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -135,25 +143,29 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # copies are links of their own: a doc_id with several texts joins their classes
     links = known.join(nodes.select("digest", "node"), "digest").where("doc_id <> node").select(
         F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct()
-    tried, open_members, classes = None, shared, None
+    tried, open_members, classes, turn = None, shared, None, 0
     while True:
-        pairs = _pairs(open_members)
+        hubs = _hubs(shared, turn)
+        met = open_members.join(hubs, "key").select("node", F.explode(F.array("low", "high")).alias("hub"))
+        met = _labelled(_labelled(met.where("node <> hub").distinct(), "node", classes, "own"), "hub", classes, "other")
+        pairs = met.where("own <> other").select(
+            F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         found = materialise(_verify(pairs, texts, similarity), "found")
-        if classes is not None and found.isEmpty():
+        if turn and found.isEmpty():
             break
         links = links.unionByName(found)
         tried = pairs if tried is None else tried.unionByName(pairs)
         classes = materialise(components(links), "classes")
-        label = F.coalesce(F.col("class_id"), F.col("node"))
-        labelled = open_members.join(classes, "node", "left").select("key", "node", label.alias("label"))
-        ends = labelled.groupBy("key").agg(F.min_by("label", "node").alias("low"), F.max_by("label", "node").alias("high"))
-        open_members = materialise(labelled.join(ends, "key").where("label <> low AND label <> high")
-                                   .select("key", "node"), "open")
+        ends = _labelled(_labelled(hubs, "low", classes, "low_class"), "high", classes, "high_class")
+        open_members = materialise(
+            _labelled(open_members, "node", classes, "own").join(ends, "key")
+            .where("own <> low_class AND own <> high_class").select("key", "node"), "open")
         if open_members.isEmpty():
             break
+        turn += 1
     return known.select("doc_id").unionByName(sketches.where("doc_id IS NULL").select("doc_id")).join(
         classes.select(F.col("node").alias("doc_id"), "class_id"), "doc_id", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
