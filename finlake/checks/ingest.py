@@ -40,14 +40,14 @@ def _extract_movements(spark: SparkSession, sf: str, root: str, table: str) -> N
 
 
 def ingest_files(spark, sf) -> DataFrame:
-    """CSV extracts -> streaming bronze (availableNow, several micro-batches)."""
+    """CSV extracts -> streaming bronze (availableNow)."""
     base = scratch_path(spark, "ingest_files")
     raw, bronze, ckpt = f"{base}/raw", f"{base}/bronze", f"{base}/_checkpoint"
     _extract_movements(spark, sf, raw, "transacoes_efetivadas")
     spec = SPECS_BY_NAME["transacoes_efetivadas"]
     schema = MOVEMENTS_SCHEMA + ", extraction_ts string"
     run_bronze(spark, replace(spec, schema=schema), f"{raw}/transacoes_efetivadas", bronze, ckpt,
-               RUN_DATE, max_files_per_trigger=3)
+               RUN_DATE)
     return read_bronze(spark, bronze).drop("_ingesttime", "_sourcefile", "extraction_ts")
 
 
@@ -72,11 +72,11 @@ def ingest_evolve(spark, sf) -> DataFrame:
     old = c.where(F.col("c_mktsegment").isin(*EVOLVE_OLD_SEGMENTS))
     new = c.where(~F.col("c_mktsegment").isin(*EVOLVE_OLD_SEGMENTS))
     (old.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"))
-     .repartition(2).write.option("header", True).csv(f"{base}/contas/extraction_ts=1"))
+     .write.option("header", True).csv(f"{base}/contas/extraction_ts=1"))
     (new.select(F.col("c_custkey").alias("id"),
                 F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("codigo"),
                 F.col("c_mktsegment").alias("segmento"), F.col("c_name").alias("nome"))
-     .repartition(3).write.option("header", True).csv(f"{base}/contas/extraction_ts=2"))
+     .write.option("header", True).csv(f"{base}/contas/extraction_ts=2"))
     return files.read_evolving(spark, f"{base}/contas/*", EVOLVE_SCHEMA)
 
 
@@ -90,9 +90,9 @@ def snapshot_csv_roundtrip(spark, sf) -> DataFrame:
 
 def scd1_stream(spark, sf) -> DataFrame:
     """Events land as daily Parquet files in two drops; one stream (one
-    checkpoint) is triggered after each drop and processes only the new files,
-    in several micro-batches, into the log-structured SCD-1 table. The log is
-    compacted between the two runs."""
+    checkpoint) is triggered after each drop and processes only the new files
+    into the log-structured SCD-1 table. The log is compacted between the two
+    runs."""
     base = scratch_path(spark, "scd1_stream")
     src, ckpt = f"{base}/events", f"{base}/_checkpoint"
     ev = Tables(spark, sf)("events").withColumn("dia", F.to_date("ts").cast("string"))
@@ -100,7 +100,7 @@ def scd1_stream(spark, sf) -> DataFrame:
     tbl = Scd1Table(f"{base}/silver", ["user_id", "event_type"], ["ts", "event_id"])
 
     def trigger():
-        s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 7).parquet(src)
+        s = spark.readStream.schema(schema).parquet(src)
         tbl.run(s.drop("dia"), ckpt)
 
     d = F.to_date("dia")

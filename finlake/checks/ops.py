@@ -15,6 +15,7 @@ from finlake.functions.dates import (business_date_key, business_month_key, extr
 from finlake.functions.money import money, money_total
 from finlake.functions.text import instalment
 from finlake.operators import cdc, spine, windows
+from finlake.operators.lookups import add_lookups
 from finlake.plans import gold
 from finlake.sources import audit, payload, views
 from finlake.sources.views import TEST_PARAMS as P, Tables
@@ -137,20 +138,15 @@ def month_spine(spark, sf) -> DataFrame:
 
 def join_inner(spark, sf) -> DataFrame:
     t = Tables(spark, sf)
-    mov, acc = views.movements(t), views.accounts(t)
-    return (mov.join(acc, mov.conta_id == acc.id)
-            .select("unique_id", mov.id, "conta_id", acc.nome.alias("conta")))
+    known = add_lookups(views.movements(t), {"accounts": views.accounts(t)}, [gold.ACCOUNT])
+    return known.select("unique_id", "id", "conta_id", "conta")
 
 
 def join_left_dims(spark, sf) -> DataFrame:
     t = Tables(spark, sf)
-    mov = views.movements(t).alias("m")
-    crd = views.cards(t).alias("c")
-    cat = gold.categories(views.categories(t), P.lifestyle_parents).alias("g")
-    return (mov.join(crd, F.col("m.cartao_id") == F.col("c.id"), "left")
-            .join(cat, F.col("m.tipo_transacao_filho_id") == F.col("g.id"), "left")
-            .select("m.unique_id", F.col("c.nome").alias("cartao"), "g.categoria", "g.subcategoria",
-                    "g.agrupador"))
+    cat = gold.categories(views.categories(t), P.lifestyle_parents)
+    known = add_lookups(views.movements(t), {"cards": views.cards(t), "categories": cat}, [gold.CARD, gold.CATEGORY])
+    return known.select("unique_id", "cartao", "categoria", "subcategoria", "agrupador")
 
 
 def dense_panel(spark, sf) -> DataFrame:

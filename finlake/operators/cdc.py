@@ -44,22 +44,16 @@ def scd1_upsert(df: DataFrame, keys, sequence_by, tiebreak=None) -> DataFrame:
         *[F.col(f"_w.{c}").alias(c) for c in cols])
 
 
-def latest_snapshot(df: DataFrame, load_col, partition_col: str | None = None) -> DataFrame:
-    """Rows of the newest load: ``load_col`` equal to its maximum.
+def latest_snapshot(df: DataFrame, load_col) -> DataFrame:
+    """Rows of the newest load: ``load_col`` equal to its maximum over the whole table.
 
     ``load_col`` may be a column name or an expression (for example the
     extraction timestamp parsed from the file name). The maximum is a scalar
     subquery, so the plan stays lazy and nothing passes through the driver; an
-    empty input gives an empty result.
-
-    ``partition_col`` names a partition column that grows with the load (the
-    bronze ``_processdate``): the newest load lives in its newest partition, so
-    both the maximum and the rows are read from that partition only (a
-    subquery filter on a partition column prunes partitions at run time).
+    empty input gives an empty result. Partitions say nothing about loads: a
+    backfill writes an older partition later.
     """
     load = F.col(load_col) if isinstance(load_col, str) else load_col
-    if partition_col:
-        df = df.where(F.col(partition_col) == df.select(F.max(partition_col)).scalar())
     newest = df.select(F.max(load)).scalar()
     return df.where(load == newest)
 

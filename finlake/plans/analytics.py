@@ -32,16 +32,22 @@ def account_balance(trs: DataFrame) -> DataFrame:
     """Monthly result per (month, account, card) of settled movements, the
     account's running balance and the card's monthly result.
 
-    The running balance uses the default RANGE frame: all cards of one
-    account-month are peers and share the same balance.
+    All cards of one account-month are peers and share the same balance, so
+    the running sum runs over one row per account and month (no account has
+    more than the calendar's months in its window, however many cards or
+    movements it holds) and is joined back on account and month.
     """
     monthly = (trs.where(F.col("situacao") == K.STATUS_SETTLED)
                .groupBy("ano_mes", "conta", "cartao")
                .agg(money_total(F.sum("valor")).alias("resultado_mes")))
-    w = Window.partitionBy("conta").orderBy("ano_mes")
-    return monthly.select(
+    running = Window.partitionBy("_conta").orderBy("_mes")
+    balance = (monthly.groupBy(F.col("conta").alias("_conta"), F.col("ano_mes").alias("_mes"))
+               .agg(F.sum("resultado_mes").alias("_sum"))
+               .select("_conta", "_mes", F.sum("_sum").over(running).alias("_balance")))
+    same = F.col("conta").eqNullSafe(F.col("_conta")) & F.col("ano_mes").eqNullSafe(F.col("_mes"))
+    return monthly.join(balance, same).select(
         "ano_mes", "conta", "cartao", "resultado_mes",
-        money_total(F.sum("resultado_mes").over(w)).alias("saldo_conta"),
+        money_total(F.col("_balance")).alias("saldo_conta"),
         F.when(F.col("cartao").isNotNull(), F.col("resultado_mes")).alias("saldo_cartao"),
     )
 

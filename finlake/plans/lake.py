@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from finlake.operators.cdc import snapshot_diff
+from finlake.session import absent
 
 
 class Lake:
@@ -31,8 +32,10 @@ class Lake:
         try:
             self.spark.read.parquet(self.path(layer, table) + sub).schema
             return True
-        except Exception:
-            return False
+        except AnalysisException as e:
+            if absent(e):
+                return False
+            raise
 
     # --- full-refresh tables -------------------------------------------------------
     def write(self, df: DataFrame, layer: str, table: str, partition_by=None,
@@ -79,8 +82,10 @@ class Lake:
         """Newest state version (below ``before`` if given); one scalar to the driver."""
         try:
             df = self._versions(layer, table, "state")
-        except AnalysisException:  # no version written yet
-            return None
+        except AnalysisException as e:
+            if absent(e):  # no version written yet
+                return None
+            raise
         if before is not None:
             df = df.where(F.col("v") < F.lit(before))
         return df.select(F.max("v")).first()[0]
@@ -117,6 +122,8 @@ class Lake:
         new.write.mode("overwrite").parquet(f"{base}/state/v={version}")
         cur = self.read_state(layer, table, version)
         old = cur.limit(0) if prev is None else self.read_state(layer, table, prev)
-        changes = snapshot_diff(old, cur, keys).where(F.col("_op") != "same")
+        # audit columns change with every extraction; they are no change of the row
+        values = [c for c in cur.columns if c not in keys and not c.startswith("_")]
+        changes = snapshot_diff(old, cur, keys, values).where(F.col("_op") != "same")
         changes.write.mode("overwrite").parquet(f"{base}/changes/v={version}")
         return -1 if prev is None else int(prev)

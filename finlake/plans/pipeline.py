@@ -6,7 +6,7 @@ driver are version numbers and the calendar/panel bounds (scalars).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake import constants as K
@@ -50,6 +50,12 @@ def month_key_of(business_month: str) -> str:
     return f"{business_month[:4]}-{business_month[4:6]}-01"
 
 
+def in_months(column, months) -> Column:
+    """Whether ``column`` is one of ``months``; never NULL, and NULL is a month like any other."""
+    hit = F.coalesce(F.col(column).isin([m for m in months if m is not None]), F.lit(False))
+    return hit | F.col(column).isNull() if None in months else hit
+
+
 def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
                categories: DataFrame, budgets: DataFrame, params: Params, version: int,
                timings: dict | None = None, months: list[str] | None = None,
@@ -99,7 +105,7 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
         for name, summarise in ((BY_CATEGORY, gold.category_summary), (DAILY, gold.daily_summary)):
             fresh = summarise(rows)
             if incremental:
-                kept = lake.read_previous("gold", name, version).where(~F.col("ano_mes").isin(*months))
+                kept = lake.read_previous("gold", name, version).where(~in_months("ano_mes", months))
                 fresh = kept.unionByName(fresh)
             lake.write_version(fresh, "gold", name, version)
 
@@ -118,7 +124,7 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
             staged = lake.spark.read.parquet(stage)
             lake.write(staged, "gold", FACT, partition_by="ano_mes", dynamic=True)
             write_summaries(staged, incremental=True)   # the staged rows are whole months
-            kept = lake.read_previous("gold", FACT_MONTHS, version).where(~F.col("ano_mes").isin(*months))
+            kept = lake.read_previous("gold", FACT_MONTHS, version).where(~in_months("ano_mes", months))
             live = kept.unionByName(month_manifest(staged))
         lake.apply_snapshot(live, "gold", FACT_MONTHS, ["ano_mes"], version)
         if watermark is not None:
@@ -152,8 +158,9 @@ def gold_fact(lake: Lake) -> DataFrame:
     v = lake.latest_version("gold", FACT_MONTHS)
     if v is None:
         return f
-    live = lake.read_state("gold", FACT_MONTHS, v).select("ano_mes")
-    return f.join(live, "ano_mes", "left_semi").select(*f.columns)
+    live = lake.read_state("gold", FACT_MONTHS, v).select(F.col("ano_mes").alias("_live"))
+    # null-safe: movements without a date are a month of their own
+    return f.join(live, f["ano_mes"].eqNullSafe(live["_live"]), "left_semi").select(*f.columns)
 
 
 def gold_tables(lake: Lake, summaries: bool = True):
@@ -222,8 +229,7 @@ def build_silver(lake: Lake, specs=FINANCE_SPECS) -> None:
     ``cdc`` tables are fed incrementally: a stream over the bronze table (whose
     sink log lists only committed files) hands each new bronze batch to the
     SCD-1 table, so a run touches only the data that arrived since the last
-    one. ``snapshot`` tables are the newest load of bronze, read from its
-    newest partition only.
+    one. ``snapshot`` tables are the newest load of bronze.
     """
     spark = lake.spark
     for spec in specs:
@@ -254,9 +260,9 @@ def read_silver(lake: Lake, spec: TableSpec, where=None) -> DataFrame:
 SETTLED, PENDING = "transacoes_efetivadas", "transacoes_pendentes"
 
 
-def _months(df: DataFrame) -> set[str]:
-    """Distinct ``_businessmonth`` keys (bounded by the calendar, not the data)."""
-    return {r[0] for r in df.select("_businessmonth").distinct().collect() if r[0] is not None}
+def _months(df: DataFrame) -> set:
+    """Distinct ``_businessmonth`` keys, None for undated rows (bounded by the calendar, not the data)."""
+    return {r[0] for r in df.select("_businessmonth").distinct().collect()}
 
 
 def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Params,
@@ -283,13 +289,13 @@ def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Pa
     last = settled_tbl.last_batch(spark)
     built = gold_watermark(lake) if incremental else None
     if built is not None:
-        old_pending = {m.replace("-", "")[:6] + "01" for m in (
+        old_pending = {m and m.replace("-", "")[:6] + "01" for m in (
             r[0] for r in lake.read_state("gold", FACT_MONTHS).where("tem_pendentes")
             .select("ano_mes").collect())}
         touched = (old_pending | _months(read_silver(lake, by_name[PENDING]))
                    | _months(settled_tbl.changes_since(spark, built)))
-        months = sorted(month_key_of(m) for m in touched)
-        where = F.col("_businessmonth").isin(*sorted(touched))
+        months = [m and month_key_of(m) for m in touched]
+        where = in_months("_businessmonth", touched)
     s = {sp.name: read_silver(lake, sp) for sp in specs}
     feeds = [read_silver(lake, by_name[n], where) for n in (SETTLED, PENDING)]
     mov_cols = [c for c in feeds[0].columns if not c.startswith("_")]

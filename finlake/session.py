@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Session settings every job relies on: UTC so month keys never shift, ANSI so
@@ -64,6 +65,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect: no SparkContext
             root = None
     if not root:  # local runs and tests only
+        if not (spark.conf.get("spark.master", None) or "local").startswith("local") \
+                or spark.conf.get("spark.master", "").startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="finlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
         try:
@@ -78,6 +82,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/finlake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def absent(e: AnalysisException) -> bool:
+    """Whether a read failed because there is no such path, or no data file under it."""
+    return (e.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def local_path(path: str) -> str | None:
     """Return a local filesystem path for ``file:`` or plain paths, else None."""
     if path.startswith("file:"):

@@ -69,6 +69,16 @@ def load_schema(spark: SparkSession, path: str) -> StructType:
 
 # --- by-name schema evolution (A3) -----------------------------------------------------
 
+def header_width(spark: SparkSession, path: str, sep: str = ",") -> int:
+    """Greatest number of columns that the first line of any file at ``path`` can have."""
+    lines = spark.read.text(path).select(
+        F.col("value"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().alias("r"))
+    first = lines.where(F.col("b") == 0).groupBy("f").agg(F.min_by("value", "r").alias("line"))
+    parts = F.length("line") - F.length(F.replace(F.col("line"), F.lit(sep), F.lit("")))
+    return int(first.agg(F.max(parts / F.lit(len(sep)))).first()[0] or 0) + 1
+
+
 def read_evolving(spark: SparkSession, path: str, schema, width: int | None = None,
                   strict: bool = False, options: dict | None = None) -> DataFrame:
     """Read CSV files whose headers differ (added, dropped or reordered columns)
@@ -82,9 +92,14 @@ def read_evolving(spark: SparkSession, path: str, schema, width: int | None = No
     by name: columns missing from older files come back NULL, text such as
     ``0012`` stays text, and types are applied with ``try_cast`` (``strict``
     uses ``cast`` and fails on bad values).
+
+    ``width`` is the greatest number of columns of any file; without it, it is
+    measured by one pass over the lines (a single number). A header that is
+    wider than a given ``width`` fails the read instead of losing columns.
     """
     target = as_struct(schema)
-    width = width or 2 * len(target.fields) + 8
+    sep = (options or {}).get("sep") or (options or {}).get("delimiter") or ","
+    width = (width or header_width(spark, path, sep)) + 1   # one more, to see a wider header
     raw_schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
     r = spark.read.schema(raw_schema).option("header", False)
     for k, v in (options or {}).items():
@@ -96,6 +111,9 @@ def read_evolving(spark: SparkSession, path: str, schema, width: int | None = No
                    F.monotonically_increasing_id().alias("_r")))
     heads = (raw.where(F.col("_b") == 0).groupBy("_f")
              .agg(F.min_by("_v", "_r").alias("_h"), F.min("_r").alias("_hr")))
+    too_wide = F.raise_error(F.concat(F.lit("header wider than width in "), F.col("_f")))
+    heads = heads.withColumn("_h", F.when(F.get("_h", F.lit(width - 1)).isNotNull(), too_wide.cast("array<string>"))
+                             .otherwise(F.col("_h")))
     j = raw.join(heads, "_f").where(F.col("_r") != F.col("_hr"))
     entries = F.filter(F.arrays_zip(F.col("_h").alias("k"), F.col("_v").alias("v")),
                        lambda e: e["k"].isNotNull())

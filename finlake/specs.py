@@ -34,7 +34,6 @@ class TableSpec:
     sequence_by: tuple = ("_ingesttime",)
     tiebreak: tuple = ("_sourcefile",)
     load_col: str = "_ingesttime"      # column or SQL expression identifying a load
-    load_partition: str | None = None   # partition column growing with the load
     fmt: str = "csv"
 
 
@@ -45,7 +44,7 @@ FINANCE_SPECS = [
               business_date="data"),
     TableSpec("contas", ACCOUNTS_SCHEMA, ("id",)),
     TableSpec("transacoes_pendentes", MOVEMENTS_SCHEMA, ("id", "tipo", "_businessmonth"),
-              strategy="snapshot", business_date="data", load_partition="_processdate"),
+              strategy="snapshot", business_date="data"),
     TableSpec("transacoes_efetivadas", MOVEMENTS_SCHEMA, ("id", "tipo", "_businessmonth"),
               business_date="data"),
 ]
@@ -64,7 +63,6 @@ def silver(spec: TableSpec, bronze: DataFrame) -> DataFrame:
         tie = [c for c in spec.tiebreak if c in bronze.columns]
         return scd1_upsert(bronze, list(spec.keys), list(spec.sequence_by), tie)
     if spec.strategy == "snapshot":
-        part = spec.load_partition if spec.load_partition in bronze.columns else None
         load = spec.load_col if spec.load_col in bronze.columns else F.expr(spec.load_col)
-        return latest_snapshot(bronze, load, part)
+        return latest_snapshot(bronze, load)
     raise ValueError(f"unknown load strategy {spec.strategy!r} for {spec.name}")

@@ -13,10 +13,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.operators.cdc import scd1_upsert
+from finlake.session import absent
 
 
 @dataclass
@@ -62,8 +64,17 @@ class Scd1Table:
         try:
             spark.read.parquet(path).limit(0).collect()
             return True
-        except Exception:
-            return False
+        except AnalysisException as e:
+            if absent(e):
+                return False
+            raise
+
+    def _published(self, spark: SparkSession) -> int:
+        """Newest base whose write was completed (-1 when none); a base without its mark is never read."""
+        if not self._exists(spark, f"{self.base}_published"):
+            return -1
+        v = spark.read.parquet(f"{self.base}_published").select(F.max("v")).first()[0]
+        return -1 if v is None else int(v)
 
     def read(self, spark: SparkSession, where=None) -> DataFrame:
         """Current state: winner per key over base (latest version) + newer changes.
@@ -73,14 +84,10 @@ class Scd1Table:
         the Parquet scans (row groups outside the keys are skipped).
         """
         parts = []
-        has_base = self._exists(spark, self.base)
-        if has_base:
-            b = spark.read.parquet(self.base)
-            newest = b.select(F.max("v")).scalar()
-            parts.append(("base", b.where(F.col("v") == newest).drop("v"), newest))
-        c = spark.read.parquet(self.changes)
-        if has_base:
-            c = c.where(F.col("batch") > parts[0][2])
+        newest = self._published(spark)
+        if newest >= 0:
+            parts.append(("base", spark.read.parquet(f"{self.base}/v={newest}"), newest))
+        c = spark.read.parquet(self.changes).where(F.col("batch") > newest)
         parts.append(("changes", c.drop("batch"), None))
         u = parts[0][1] if len(parts) == 1 else parts[0][1].unionByName(parts[1][1])
         if where is not None:
@@ -88,10 +95,7 @@ class Scd1Table:
         return self._upsert(u)
 
     def base_version(self, spark: SparkSession) -> int:
-        if not self._exists(spark, self.base):
-            return -1
-        v = spark.read.parquet(self.base).select(F.max("v")).first()[0]
-        return -1 if v is None else int(v)
+        return self._published(spark)
 
     def last_batch(self, spark: SparkSession) -> int:
         """Id of the newest change batch (-1 when none); one scalar to the driver."""
@@ -107,9 +111,10 @@ class Scd1Table:
     def compact(self, spark: SparkSession) -> None:
         """Fold the change log into base version ``v = <last batch id>``."""
         last = spark.read.parquet(self.changes).select(F.max("batch")).first()[0]
-        if last is None:
+        if last is None or last <= self._published(spark):
             return
         state = self.read(spark)
         if self.cluster_by:  # files hold few key ranges each: min/max statistics prune well
             state = state.hint("rebalance", self.cluster_by).sortWithinPartitions(self.cluster_by)
         state.write.mode("overwrite").parquet(f"{self.base}/v={last}")
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{self.base}_published/v={last}")
