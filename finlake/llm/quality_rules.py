@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import SPACE_CLASS, text_of, words_of
+from finlake.llm.common import SPACE_CLASS, materialise, text_of, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -163,8 +163,10 @@ def assess(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns unchanged."""
-    # a predicate over a random column isn't pushed down; pushed, the whole verdict would be
-    # inlined into one expression that computes every shared step again and again
-    verdict = F.col("kept") & (F.rand(0) >= 0)
-    return assess(docs).withColumn("passes", verdict).where("passes").select("row.*")
+    """The rows of ``docs`` that pass, with their columns unchanged.
+
+    The verdict is written before it filters: over so many derived columns, a
+    filter in the same plan keeps the optimizer's constraint inference busy for
+    minutes, whatever the data.
+    """
+    return materialise(assess(docs).select("row", "kept"), "verdicts").where("kept").select("row.*")
