@@ -25,7 +25,7 @@ EVENT_KEYS = ["user_id", "event_type"]
 EVENT_SEQ = ["ts", "event_id"]
 RUN_DATE = "2024-01-15"
 EXTRACT_REFDATE = "1998-03-15"
-SNAPSHOT_MONTHS = ("1998-06-01", "1998-07-01")
+SNAPSHOT_STATUS = (K.STATUS_SETTLED, K.STATUS_PENDING)
 
 
 # --- D: change data ---------------------------------------------------------------
@@ -50,23 +50,21 @@ def latest_snapshot(spark, sf) -> DataFrame:
     return cdc.latest_snapshot(ev, F.to_date("ts"))
 
 
-def activity_snapshot(mov: DataFrame, month: str) -> DataFrame:
-    """Quarter-to-date activity statement per (account, card) for the quarter
-    ending with ``month``; the card is NULL for non-card movements."""
-    m = F.lit(month).cast("date")
-    q = mov.where((F.col("data") >= F.add_months(m, -2)) & (F.col("data") < F.add_months(m, 1)))
-    return q.groupBy("conta_id", "cartao_id").agg(money_total(F.sum("valor")).alias("movimento"))
+def activity_snapshot(mov: DataFrame, status: str) -> DataFrame:
+    """Statement per (account, card) of all movements with one status; the card
+    is NULL for non-card movements."""
+    return mov.where(F.col("situacao") == status).groupBy("conta_id", "cartao_id").agg(money_total(F.sum("valor")).alias("movimento"))
 
 
 def snapshot_diff(spark, sf) -> DataFrame:
     mov = views.movements(Tables(spark, sf))
-    cur, new = (activity_snapshot(mov, m) for m in SNAPSHOT_MONTHS)
+    cur, new = (activity_snapshot(mov, s) for s in SNAPSHOT_STATUS)
     return cdc.snapshot_diff(cur, new, ["conta_id", "cartao_id"])
 
 
 def snapshot_apply(spark, sf) -> DataFrame:
     mov = views.movements(Tables(spark, sf))
-    cur, new = (activity_snapshot(mov, m) for m in SNAPSHOT_MONTHS)
+    cur, new = (activity_snapshot(mov, s) for s in SNAPSHOT_STATUS)
     return cdc.snapshot_apply(cur, new, ["conta_id", "cartao_id"])
 
 

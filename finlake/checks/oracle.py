@@ -35,26 +35,25 @@ movimentos AS (
          l_orderkey AS id,
          o_custkey AS conta_id,
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN l_suppkey END AS cartao_id,
-         CASE WHEN l_linenumber - 1 >= 3 THEN CAST(-1 AS BIGINT) ELSE parent_id END AS tipo_transacao_id,
-         CASE WHEN l_linenumber - 1 >= 3 THEN CAST(-1 AS BIGINT)
+         CASE WHEN (l_linenumber - 1) % 5 >= 3 THEN CAST(-1 AS BIGINT) ELSE parent_id END AS tipo_transacao_id,
+         CASE WHEN (l_linenumber - 1) % 5 >= 3 THEN CAST(-1 AS BIGINT)
               ELSE parent_id + CAST(split_part(p_brand, '#', 2) AS BIGINT) END AS tipo_transacao_filho_id,
          CAST(l_shipdate AS DATE) AS data,
          CASE WHEN p_size <= 10
               THEN concat(p_name, ' (', CAST(l_linenumber AS VARCHAR), '/',
                           CAST(CAST(ceil(l_quantity / 5) AS INTEGER) AS VARCHAR), ')')
               ELSE p_name END AS descricao,
-         CAST(l_linenumber - 1 AS INTEGER) AS tipo,
+         CAST((l_linenumber - 1) % 5 AS INTEGER) AS tipo,
          CASE WHEN l_linestatus = 'F' THEN 'efetivado' ELSE 'pendente' END AS situacao,
          l_returnflag = 'R' AS ignorada,
          o_orderpriority = '5-LOW' AS fixa,
-         CAST(CASE WHEN l_linenumber - 1 IN (0, 4) THEN -l_extendedprice ELSE l_extendedprice END
+         CAST(CASE WHEN (l_linenumber - 1) % 5 IN (0, 4) THEN -l_extendedprice ELSE l_extendedprice END
               AS DECIMAL(18,2)) AS valor,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS valor_abs
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey
   JOIN type_ranks USING (p_type)
-  WHERE l_linenumber <= 5
 ),
 gold_categorias AS (
   SELECT id, categoriaPai AS categoria, categoria AS subcategoria, natureza,

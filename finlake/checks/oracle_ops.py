@@ -21,14 +21,14 @@ FROM movimentos
 """
 
 
-def _activity(lo: str, hi: str) -> str:
+def _activity(status: str) -> str:
     return f"""SELECT conta_id, cartao_id, CAST(sum(valor) AS DECIMAL(38,2)) AS movimento, 1 AS _e
-               FROM movimentos WHERE data >= DATE '{lo}' AND data < DATE '{hi}'
+               FROM movimentos WHERE situacao = '{status}'
                GROUP BY conta_id, cartao_id"""
 
 
-_CUR = _activity("1998-04-01", "1998-07-01")
-_NEW = _activity("1998-05-01", "1998-08-01")
+_CUR = _activity("efetivado")
+_NEW = _activity("pendente")
 
 _DIFF = f"""
 SELECT CASE WHEN n._e IS NULL THEN c.conta_id ELSE n.conta_id END AS conta_id,

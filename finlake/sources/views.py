@@ -124,11 +124,11 @@ def sentinel_rows(spark: SparkSession) -> DataFrame:
 
 def movements(t: Tables) -> DataFrame:
     """All movements (settled and pending) in the silver transaction shape."""
-    li = t("lineitem").where(F.col("l_linenumber") <= 5)
+    li = t("lineitem")
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     p = t("part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size").join(type_ranks(t), "p_type")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
-    tipo = (F.col("l_linenumber") - 1)
+    tipo = (F.col("l_linenumber") - 1) % 5   # every line is a movement of one of the five types
     transfer = tipo >= K.TRANSFER_MIN_TYPE
     instal = F.concat(F.col("p_name"), F.lit(" ("), F.col("l_linenumber").cast("string"), F.lit("/"),
                       F.ceil(F.col("l_quantity") / 5).cast("int").cast("string"), F.lit(")"))
