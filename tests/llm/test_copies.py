@@ -132,27 +132,28 @@ def test_every_window_has_a_seed():
 
 
 def test_passages_are_found_and_cut(spark):
-    exact, fuzzy = words(60, 1), words(90, 2)
-    rows = [(i, " ".join(words(120, 10 + i) + exact + words(100, 50 + i))) for i in range(1, 8)]
-    rows += [(20 + i, " ".join(words(80, 90 + i) + edited(fuzzy, 4 * (i > 0), i) + words(70, 130 + i))) for i in range(3)]
-    clean = [(40 + i, " ".join(words(300, 200 + i))) for i in range(10)]
+    exact, fuzzy = words(60, 9001), words(90, 9002)
+    rows = [(100 + i, " ".join(words(120, 1000 + i) + exact + words(100, 2000 + i))) for i in range(1, 8)]
+    rows += [(200 + i, " ".join(words(80, 3000 + i) + edited(fuzzy, 4 * (i > 0), i) + words(70, 4000 + i))) for i in range(3)]
+    clean = [(300 + i, " ".join(words(300, 5000 + i))) for i in range(10)]
     docs = frame(spark, rows + clean + awkward())
-    got = passages.repeated_passages(docs).collect()
     by = {}
-    for r in got:
+    for r in passages.repeated_passages(docs).collect():
         by.setdefault(r.doc_id, []).append((r.start_word, r.end_word, r.source_doc_id))
-    for i in range(2, 8):
-        assert by[i] == [(120, 180, 1)]
-    for i in (21, 22):
-        (start, end, _), = by[i]
-        assert abs(start - 80) <= 3 and abs(end - 170) <= 3
-    assert not any(i in by for i, _ in clean) and 1 not in by and 20 not in by
+    for i in range(102, 108):
+        assert by[i] == [(120, 180, 101)]
+    for i in (201, 202):
+        (start, end, source), = by[i]
+        assert abs(start - 80) <= 3 and abs(end - 170) <= 3 and source < i
+    assert by[7] == [(0, 6000, 6)]
+    assert set(by) == {7, 201, 202, *range(102, 108)}
     left = {r.doc_id: r.text for r in passages.drop_passages(docs).collect() if r.doc_id is not None}
     text = dict(rows)
-    for i in range(2, 8):
+    for i in range(102, 108):
         ws = text[i].split()
         assert left[i].split() == ws[:120] + ws[180:]
-    assert all(left[i] == t for i, t in clean) and left[1] == text[1]
+    assert all(left[i] == t for i, t in clean) and left[101] == text[101]
+    assert 7 not in left and 6 in left and 1 in left
     assert passages.drop_passages(docs).columns == docs.columns
     assert passages.repeated_passages(docs.limit(0)).count() == 0
 
