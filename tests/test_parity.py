@@ -2,12 +2,14 @@
 
 import datetime as dt
 import hashlib
+import sys
 from decimal import Decimal
 
 import duckdb
 import pytest
 
 import __spark_entry__ as E
+from finlake.checks import registry
 from tests.conftest import SF0001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -40,14 +42,20 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_queries_without_the_training_data_package(monkeypatch):
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert set(E.queries()) == set(registry.queries()) and set(E.oracle_sql()) == set(registry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF0001)
+    df = registry.queries()[name](spark, SF0001)
     got = [tuple(r) for r in df.collect()]
-    cur = con.execute(E.oracle_sql()[name])
+    cur = con.execute(registry.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     exp = cur.fetchall()
     assert sorted(df.columns) == sorted(ocols)
