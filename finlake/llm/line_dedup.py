@@ -1,14 +1,13 @@
-"""Line de-duplication by winnowing over line hashes.
-
-Lines that hold a word are hashed without the white space around them; grams
-of ``GRAM`` consecutive lines are winnowed: the least gram of every window of
-``WINDOW`` grams is a fingerprint, so a run of ``GRAM + WINDOW - 1`` lines that
-occurs twice shares one.  Each occurrence of a fingerprint is joined with its
-first occurrence in the corpus (least document, then line), never with all
-others, and the match is extended line by line both ways.  Runs of at least
-``MIN_RUN`` lines are repeated runs; the later one is deleted.  Where
-neighbouring fingerprints first occur in different documents, a run may be
-found up to ``WINDOW - 1`` lines short at an end.
+"""Line de-duplication by fingerprints of whole runs of lines.
+
+Lines that hold a word are hashed without the white space around them; every
+run of ``MIN_RUN`` consecutive lines is a fingerprint, so equal fingerprints
+are a repeated run by themselves, whichever document is met.  Each occurrence
+of a fingerprint is joined with its first occurrence in the corpus (least
+document, then line), never with all others, and the match is extended line by
+line both ways.  The later run is deleted.  Every line of every run of at least
+``MIN_RUN`` lines that occurs earlier is found; where parts of a run first
+occur in different documents, it is found as several runs that overlap.
 
 Only hashes are shuffled, eight bytes a line, never texts.
 
@@ -28,11 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.common import SPACE_CLASS, materialise, one_text_per_id, ship, text_of
-from finlake.llm.passages import window_minima
 from finlake.llm.wordhash import shingles
 
-GRAM = 2
-WINDOW = 2
 MIN_RUN = 3
 
 RUNS = "doc_id long, start_line int, end_line int, n_lines int, source_doc_id long, source_line int"
@@ -48,11 +44,10 @@ def _prints(lines: DataFrame) -> DataFrame:
         for batch in batches:
             ids, prints, places = [], [], []
             for doc_id, hashes in zip(batch["doc_id"], batch["hashes"], strict=True):
-                grams = shingles(np.asarray(hashes, np.int64).view(np.uint64), GRAM)
-                at = window_minima(grams, WINDOW)
-                ids.append(np.full(len(at), doc_id, np.int64))
-                prints.append(grams[at].view(np.int64))
-                places.append(at.astype(np.int32))
+                grams = shingles(np.asarray(hashes, np.int64).view(np.uint64), MIN_RUN)
+                ids.append(np.full(len(grams), doc_id, np.int64))
+                prints.append(grams.view(np.int64))
+                places.append(np.arange(len(grams), dtype=np.int32))
             if ids:
                 yield pd.DataFrame({"print": np.concatenate(prints), "doc_id": np.concatenate(ids),
                                     "pos": np.concatenate(places)})

@@ -177,3 +177,24 @@ def test_line_runs(spark):
     assert left[2] == "\n".join(lines[30:33] + ["", " "] + lines[40:42]) and left[1] == rows[0][1]
     assert left[4] == "\n".join(lines[60:63] + lines[70:72]) and left[51] is None
     assert line_dedup.repeated_runs(docs.limit(0)).count() == 0
+
+
+def test_every_line_of_a_repeated_run_is_found(spark):
+    r = random.Random(8)
+    block = [" ".join(words(5, 9100 + i)) for i in range(12)]
+    rows = []
+    for i in range(40):                                 # parts of the block, at their first occurrences in many documents
+        at, n = r.randrange(11), r.choice([2, 2, 2, 3, 4, 12])
+        rows.append((i, "\n".join([f"own {i}", *block[at:at + n], f"end {i}"])))
+    rows += [(100, "\n".join(block[:2])), (101, "\n".join(["x", *block[:3]])), (102, "\n".join(["y", *block[:3], "z"]))]
+    seen, want = set(), set()
+    for i, text in rows:
+        lines = text.split("\n")
+        grams = [(tuple(lines[at:at + 3]), at) for at in range(len(lines) - 2)]
+        for gram, at in grams:
+            if gram in seen:
+                want |= {(i, at + k) for k in range(3)}
+            seen.add(gram)
+    got = {(x.doc_id, at) for x in line_dedup.repeated_runs(frame(spark, rows)).collect()
+           for at in range(x.start_line, x.end_line)}
+    assert got == want
