@@ -8,10 +8,15 @@ member of a bucket is paired with the bucket's least and greatest member, not
 with all others.  A pair is a link if a banded alignment of the whole texts
 finds a word edit similarity (1 - edits / words of the longer text) of at
 least ``SIMILARITY``.  Members that are in neither end's class meet two other
-members of their buckets, drawn by a hash, in the next round, and so on until
-a round joins no classes: a document with true copies in its buckets meets
-one in each round, so those left shrink by a factor a round.  Classes are the
-connected components of the links.
+members of their buckets, drawn by a hash, in the next round, and so on while
+rounds join many: these rounds make large groups of copies one class.
+
+What is left is settled exactly.  In a bucket that still holds several classes
+every pair of members of different classes counts, found by a prefix filter:
+texts within the limit of edits share at least ``SHARED`` of each one's rarest
+words, as many as the limit of edits and ``SHARED`` more, in any one order of
+the words.  Words that many of the texts hold are dealt out in blocks of
+``BLOCK`` texts.  Classes are the connected components of the links.
 
 Texts with the same words in the same order are one node from the start, so a
 large group of copies costs a row each, and buckets are reduced before they
@@ -42,6 +47,21 @@ PICKS = 2
 SKETCHES = 20
 SIMILARITY = 0.8
 PIECE = 1 << 16           # k-mers hashed at a time
+SHARED = 3                # rarest words that two texts must share before they are aligned
+COUNTERS = 1 << 16        # counters of the words' frequencies; they only set the order
+BLOCK = 256               # texts that share a word and are paired in one row's reach
+FEW = 0.05                # share of the open members under which a round's links end the rounds
+
+
+def occurrences(values: np.ndarray) -> np.ndarray:
+    """The values labelled with how often each occurred before."""
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    first = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    run = np.arange(len(ranked)) - np.maximum.accumulate(np.where(first, np.arange(len(ranked)), 0))
+    occurrence = np.empty(len(values), np.uint64)
+    occurrence[order] = run
+    return mix(values + occurrence * np.uint64(0x9E3779B97F4A7C15))
 
 
 def order_sketches(words: np.ndarray, k: int = SHINGLE, picks: int = PICKS, sketches: int = SKETCHES) -> np.ndarray:
@@ -49,13 +69,7 @@ def order_sketches(words: np.ndarray, k: int = SHINGLE, picks: int = PICKS, sket
     kmers = shingles(words, k)
     if not len(kmers):
         return np.zeros(0, np.int64)
-    order = np.argsort(kmers, kind="stable")
-    ranked = kmers[order]
-    first = np.concatenate(([True], ranked[1:] != ranked[:-1]))
-    run = np.arange(len(ranked)) - np.maximum.accumulate(np.where(first, np.arange(len(ranked)), 0))
-    occurrence = np.empty(len(kmers), np.uint64)
-    occurrence[order] = run
-    labelled = mix(kmers + occurrence * np.uint64(0x9E3779B97F4A7C15))
+    labelled = occurrences(kmers)
     seeds = mix(np.arange(1, sketches + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
     take = min(picks, len(kmers))
     best, at = np.zeros((0, sketches), np.uint64), np.zeros((0, sketches), np.int64)
@@ -124,6 +138,69 @@ def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     return joined.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
 
 
+def _frequencies(texts: DataFrame) -> np.ndarray:
+    """How many texts hold a word, by the word's counter; words that share a counter are counted together."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                words = word_hashes(text)
+                if len(words):
+                    total += np.bincount((occurrences(words) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"at": at, "n": total[at]})
+
+    found = texts.select("text").mapInPandas(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return counts
+
+
+def rarest(words: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The labelled words of which any text of at least that similarity shares ``SHARED``."""
+    labelled = occurrences(words) if len(words) else words
+    order = np.lexsort((labelled, counts[(labelled % np.uint64(len(counts))).astype(np.int64)]))
+    return labelled[order[:int(len(words) * (1 - similarity) + 1e-9) + SHARED]]
+
+
+def _rest(shared: DataFrame, classes: DataFrame | None, texts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``a, b`` that hold every link between members of different classes of a bucket."""
+    members = materialise(_labelled(shared, "node", classes, "own"), "bucket-classes")
+    sizes = members.groupBy("key", "own").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("key").agg(F.max_by("own", F.struct("n", "own")).alias("main"), F.count(F.lit(1)).alias("classes"),
+                                    F.sum("n").alias("size")).where("classes > 1 AND size > 3")
+    # of two members of different classes at least one is not in the bucket's main class
+    left = materialise(members.join(main, "key").groupBy("node", "own").agg(
+        F.max(F.col("own") != F.col("main")).alias("open")), "rest")
+    held = materialise(texts.join(left, "node"), "rest-texts")
+    counts = _frequencies(held)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hashes = [word_hashes(t) for t in batch["text"]]
+            words = [rarest(h, counts, similarity).view(np.int64) for h in hashes]
+            times = [len(w) for w in words]
+            yield pd.DataFrame({
+                "word": np.concatenate([*words, np.zeros(0, np.int64)]), "node": np.repeat(batch["node"].to_numpy(np.int64), times),
+                "own": np.repeat(batch["own"].to_numpy(np.int64), times),
+                "open": np.repeat(batch["open"].to_numpy(bool), times),
+                "n_words": np.repeat(np.array([len(h) for h in hashes], np.int64), times)})
+
+    words = materialise(held.mapInPandas(run, "word long, node long, own long, open boolean, n_words long"), "rare-words")
+    blocks = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any")).where("n > 1 AND any").select(
+        "word", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    words = words.join(blocks, "word")
+    one = words.where("open").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    other = words.select("word", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
+                         *[F.col(c).alias(f"other_{c}") for c in ("node", "own", "open", "n_words")])
+    longer, shorter = F.greatest("n_words", "other_n_words"), F.least("n_words", "other_n_words")
+    return (one.join(other, ["word", "block"])
+            .where((F.col("own") != F.col("other_own")) & (~F.col("other_open") | (F.col("node") > F.col("other_node")))
+                   & (longer - shorter <= longer * (1 - similarity) + 1e-9))
+            .groupBy(F.greatest("node", "other_node").alias("a"), F.least("node", "other_node").alias("b"))
+            .agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= SHARED).select("a", "b"))
+
+
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: doc_id, class_id (least doc_id of the class), kept."""
     ship(docs.sparkSession)
@@ -154,11 +231,13 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         found = materialise(_verify(pairs, texts, similarity), "found")
-        if turn and found.isEmpty():
-            break
-        links = links.unionByName(found)
+        joined = found.count()
+        if joined:
+            links = links.unionByName(found)
+            classes = materialise(components(links), "classes")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        classes = materialise(components(links), "classes")
+        if turn and joined <= FEW * open_members.select("node").distinct().count():
+            break
         ends = _labelled(_labelled(hubs, "low", classes, "low_class"), "high", classes, "high_class")
         open_members = materialise(
             _labelled(open_members, "node", classes, "own").join(ends, "key")
@@ -166,6 +245,8 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         if open_members.isEmpty():
             break
         turn += 1
+    pairs = materialise(_rest(shared, classes, texts, similarity).join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    classes = materialise(components(links.unionByName(_verify(pairs, texts, similarity))), "classes")
     return known.select("doc_id").unionByName(sketches.where("doc_id IS NULL").select("doc_id")).join(
         classes.select(F.col("node").alias("doc_id"), "class_id"), "doc_id", "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),

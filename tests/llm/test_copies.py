@@ -198,3 +198,27 @@ def test_every_line_of_a_repeated_run_is_found(spark):
     got = {(x.doc_id, at) for x in line_dedup.repeated_runs(frame(spark, rows)).collect()
            for at in range(x.start_line, x.end_line)}
     assert got == want
+
+
+def test_pairs_in_a_hot_bucket_of_unrelated_texts(spark):
+    header = words(60, 9200)
+    rows = [(i, " ".join(header + words(60, 20_000 + i))) for i in range(2500)]
+    for i in range(20):                                 # every third word behind the header differs
+        own = rows[100 * i + 50][1].split()[60:]
+        rows.append((5000 + i, " ".join(header + [f"new{i}w{k}" if k % 3 == 0 else w for k, w in enumerate(own)])))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_classes(frame(spark, rows)).collect()}
+    assert {i: c for i, c in got.items() if i != c} == {5000 + i: 100 * i + 50 for i in range(20)}
+
+
+def test_texts_within_the_limit_share_rarest_words():
+    r = random.Random(12)
+    counts = np.array([r.randrange(50) for _ in range(512)])
+    for _ in range(2000):
+        a = [r.randrange(r.choice([5, 60])) for _ in range(r.randint(1, 60))]
+        b = list(a)
+        for _ in range(r.randint(0, 12)):
+            at = r.randrange(len(b) + 1)
+            b[at:at + r.randint(0, 1)] = [r.randrange(60)] * r.randint(0, 1)
+        if len(b) and a != b and edit_distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9):
+            x, y = (near_dedup.rarest(np.array(t, np.uint64), counts, 0.8) for t in (a, b))
+            assert len(np.intersect1d(x, y)) >= near_dedup.SHARED
