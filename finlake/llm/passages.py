@@ -15,6 +15,12 @@
    passages if a banded alignment finds at least ``SIMILARITY`` over at least
    ``MIN_WORDS`` words; a chain that fails is cut at its widest gap and its
    parts are tried again.
+5. Exact repeats: where a passage's seeds first occur in different documents,
+   its chains may all be too short.  So runs of ``MIN_WORDS`` words are keys of
+   their own, winnowed over ``SPREAD`` runs, and around a key that two
+   documents share every run of ``MIN_WORDS`` words is matched with the least
+   document that has it: equal runs are passages by themselves, and every word
+   of a common run of ``MIN_WORDS + SPREAD - 1`` words is covered.
 
 Defined results: null text is empty; a null ``doc_id`` takes no part; of rows
 that share a ``doc_id`` the least text is compared, and other texts of that id
@@ -29,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from finlake.llm.common import SPACE_CLASS, materialise, one_text_per_id, ship, text_of, words_of
@@ -42,6 +48,7 @@ GAP_COST = 0.05
 MIN_SEEDS = 2
 MIN_WORDS = 40
 SIMILARITY = 0.8
+SPREAD = 11               # exact runs of MIN_WORDS words of which one is a key
 MARGIN = 64               # words around a chain that the extension may take
 MISMATCH, DROP = 2, 8     # extension: cost of a differing word, and the loss at which it ends
 
@@ -249,6 +256,62 @@ def _align(chains: DataFrame, base: DataFrame) -> DataFrame:
     return joined.mapInPandas(run, PASSAGES)
 
 
+def long_runs(words: np.ndarray) -> np.ndarray:
+    """A hash per run of ``MIN_WORDS`` words; none for a shorter text."""
+    n = len(words) - MIN_WORDS + 1
+    if n < 1:
+        return np.zeros(0, np.uint64)
+    part, total = shingles(words, 8), np.zeros(n, np.uint64)
+    for i in [*range(0, MIN_WORDS - 8, 8), MIN_WORDS - 8]:
+        total = mix(total + part[i:i + n])
+    return total
+
+
+def _runs(base: DataFrame, around: bool) -> DataFrame:
+    """Winnowed runs of ``MIN_WORDS`` words, or all runs ``around`` the places in column ``at``."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids, keys, places = [], [], []
+            for r in batch.itertuples(index=False):
+                runs = long_runs(word_hashes(r.text))
+                if around:
+                    near = np.unique(np.asarray(r.at)[:, None] + np.arange(1 - SPREAD, SPREAD))
+                    at = near[(near >= 0) & (near < len(runs))]
+                else:
+                    at = window_minima(runs, SPREAD)
+                ids.append(np.full(len(at), r.doc_id, np.int64))
+                keys.append(runs[at].view(np.int64))
+                places.append(at.astype(np.int32))
+            if ids:
+                yield pd.DataFrame({"run": np.concatenate(keys), "doc_id": np.concatenate(ids),
+                                    "pos": np.concatenate(places)})
+
+    return base.mapInPandas(run, "run long, doc_id long, pos int")
+
+
+def _exact(base: DataFrame, found: DataFrame) -> DataFrame:
+    """Exact repeats that no passage of ``found`` holds whole."""
+    keys = materialise(_runs(base, around=False), "run-keys")
+    shared = keys.groupBy("run").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    places = keys.join(shared.select("run"), "run", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
+    runs = materialise(_runs(base.join(places, "doc_id"), around=True), "runs")
+    first = runs.groupBy("run").agg(F.min(F.struct("doc_id", "pos")).alias("first")).select(
+        "run", F.col("first.doc_id").alias("source"), F.col("first.pos").alias("to"))
+    matches = runs.join(first, "run").where("doc_id > source").select(
+        "doc_id", "source", "pos", (F.col("to") - F.col("pos")).alias("ahead"))
+    by = Window.partitionBy("doc_id", "source", "ahead").orderBy("pos")
+    spans = (matches.withColumn("before", F.col("pos") - F.lag("pos").over(by))
+             .withColumn("island", F.sum(F.when(F.col("before") <= MIN_WORDS, 0).otherwise(1)).over(by))
+             .groupBy("doc_id", "source", "ahead", "island")
+             .agg(F.min("pos").alias("start_word"), (F.max("pos") + MIN_WORDS).alias("end_word")))
+    held = found.groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "end_word")).alias("held"))
+    spans = spans.join(held, "doc_id", "left").where(~F.coalesce(F.exists("held", lambda h: (
+        h["start_word"] <= F.col("start_word")) & (h["end_word"] >= F.col("end_word"))), F.lit(False)))
+    return spans.select("doc_id", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"),
+                        F.col("source").alias("source_doc_id"), (F.col("start_word") + F.col("ahead")).alias("source_start"),
+                        (F.col("end_word") + F.col("ahead")).alias("source_end"), F.lit(1.0).alias("similarity"))
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """A row per passage that an earlier document (by id) has too; positions count words."""
     ship(docs.sparkSession)
@@ -259,7 +322,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     hits = materialise(seeds.join(shared, "seed"), "seed-hits")
     first = hits.where("doc_id = source").groupBy("seed").agg(F.min("pos").alias("source_pos"))
     matches = hits.where("doc_id > source").join(first, "seed").select("doc_id", "source", "pos", "source_pos")
-    return _align(materialise(_chains(matches), "chains"), base)
+    found = materialise(_align(materialise(_chains(matches), "chains"), base), "aligned")
+    return found.unionByName(_exact(base, found))
 
 
 _WORD = re.compile(f"[^{SPACE_CLASS}]+")

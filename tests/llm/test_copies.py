@@ -222,3 +222,16 @@ def test_texts_within_the_limit_share_rarest_words():
         if len(b) and a != b and edit_distance(a, b) <= int(max(len(a), len(b)) * 0.2 + 1e-9):
             x, y = (near_dedup.rarest(np.array(t, np.uint64), counts, 0.8) for t in (a, b))
             assert len(np.intersect1d(x, y)) >= near_dedup.SHARED
+
+
+def test_exact_repeats_whose_parts_occur_earlier_are_covered(spark):
+    rows, want = [], set()
+    for g in range(20):
+        whole = words(60, 9300 + g)
+        for k, part in enumerate((whole[:39], whole[21:], whole, whole)):
+            rows.append((10 * g + k, " ".join(words(50, 10_000 + 10 * g + k) + part + words(50, 30_000 + 10 * g + k))))
+        want |= {(10 * g + 3, at) for at in range(50, 110)}
+    got = {(r.doc_id, at) for r in passages.repeated_passages(frame(spark, rows)).collect()
+           for at in range(r.start_word, r.end_word)}
+    assert want <= got
+    assert {i % 10 for i, _ in got} == {3}
