@@ -12,6 +12,7 @@ from finlake.llm import (
     near_dedup,
     packing,
     passages,
+    piece_bpe,
     quality_rules,
     quality_votes,
     records,
@@ -74,7 +75,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(materialise(chat.format_conversations(rows.unionByName(control)), "chat"))
 
 
+def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = piece_bpe.decode(piece_bpe.encode(table(spark, sf_dir, "documents")))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_exact_dedup, op3_quality_votes, op4_line_runs, op5_packing, op6_token_records, op7_passages,
-    op8_word_bpe, op9_quality_rules, op10_chat_format)}
+    op8_word_bpe, op9_quality_rules, op10_chat_format, op11_piece_bpe)}
 ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL}

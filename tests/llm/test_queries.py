@@ -33,7 +33,7 @@ def library(path, texts):
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
 
 
