@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from finlake.llm import (
     chat,
+    collocations,
     exact_dedup,
     line_dedup,
     near_dedup,
@@ -83,7 +84,12 @@ def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_exact_dedup, op3_quality_votes, op4_line_runs, op5_packing, op6_token_records, op7_passages,
-    op8_word_bpe, op9_quality_rules, op10_chat_format, op11_piece_bpe)}
-ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL}
+    op8_word_bpe, op9_quality_rules, op10_chat_format, op11_piece_bpe,
+    op12_collocations)}
+ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op12_collocations": collocations.ORACLE_SQL}
