@@ -17,6 +17,7 @@ from finlake.llm import (
     quality_rules,
     quality_votes,
     records,
+    turn_repair,
     word_bpe,
 )
 from finlake.llm.common import materialise, table
@@ -88,8 +89,13 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_order_minhash, op2_exact_dedup, op3_quality_votes, op4_line_runs, op5_packing, op6_token_records, op7_passages,
     op8_word_bpe, op9_quality_rules, op10_chat_format, op11_piece_bpe,
-    op12_collocations)}
-ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op12_collocations": collocations.ORACLE_SQL}
+    op12_collocations, op13_turn_repair)}
+ORACLES = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op12_collocations": collocations.ORACLE_SQL,
+           "op13_turn_repair": turn_repair.ORACLE_SQL}
