@@ -1,18 +1,21 @@
 """Piece encoding with a merge-type SentencePiece vocabulary, and decoding.
 
 A text is normalised as the model says (an identity normaliser: one leading
-space is added, spaces become ``MARK``) and cut into stretches ``MARK+ other*``.
-No piece of the vocabulary continues past such a cut (checked when the model is
-loaded), so the ids of a text are the ids of its stretches in order.
+space is added, spaces become ``MARK``) and cut into stretches ``MARK+ other*``,
+and these between two characters that stand side by side in no piece.
+No piece of the vocabulary continues past such a cut (for stretches this is
+checked when the model is loaded), so the ids of a text are the ids of its
+parts in order.
 
-A stretch is encoded by an agenda of adjacent symbol pairs: every pair that
+A part is encoded by an agenda of adjacent symbol pairs: every pair that
 joins to a piece is queued under that piece's score; the best score is taken
 first and the leftmost pair of equal scores; a pair whose symbols have changed
 since is skipped; a merge queues the two pairs it creates.  What is no piece in
-the end becomes its bytes.  Every stretch that a task encodes is compared, a
-batch of them at a time, with the ids that the sentencepiece library gives it, and a
-difference fails the task.  Stretches are remembered within a worker, in a
-table that is emptied at ``CACHE``, so common words are encoded once.
+the end becomes its bytes.  Every stretch with a part that a task encodes is
+compared, a batch of them at a time, with the ids that the sentencepiece
+library gives it, and a difference fails the task.  Stretches and parts are
+remembered within a worker, in tables of bounded size, so common words are
+encoded once.
 
 There is no shuffle: a row's ids depend on its text alone.
 
@@ -25,11 +28,13 @@ without a space; control pieces' own strings in a text are ordinary text.
 from __future__ import annotations
 
 import codecs
-import heapq
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from itertools import groupby
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +45,8 @@ from pyspark.sql import types as T
 from finlake.llm.common import ship, text_of
 
 MARK = "▁"
-CACHE = 1 << 18          # stretches that a worker remembers
-CACHED_CHARS = 64        # longer stretches are encoded anew
+STRETCHES, PARTS = 1 << 17, 1 << 18   # what a worker remembers of each, and as many again from before
+CACHED_CHARS = 64        # longer ones are encoded anew
 VERIFY = 1 << 14         # stretches that are compared with the library at a time
 _STRETCH = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -80,50 +85,68 @@ def read_model(path: str):
     return model
 
 
-class Pieces(dict):
-    """Ids, as little-endian 32-bit integers, of stretches; a missing one is encoded."""
+class Remembered(dict):
+    """What was made of each key; at ``limit`` entries, those not used again for as long are forgotten."""
+
+    def __init__(self, limit: int, make):
+        super().__init__()
+        self.limit, self.make, self.before = limit, make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        got = self.before.get(key)
+        if got is None:
+            got = self.make(key)
+        if len(key) <= CACHED_CHARS:
+            if len(self) >= self.limit:
+                self.before = dict(self)
+                self.clear()
+            self[key] = got
+        return got
+
+
+class Pieces:
+    """Encodes texts to little-endian 32-bit ids.  Stretches are named without their first ``MARK``."""
 
     def __init__(self, path: str):
         import sentencepiece
-        super().__init__()
         model = read_model(path)
+        normal = [p for p in model.pieces if p.type == NORMAL]
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type == NORMAL}
-        self.costs = {p.piece: -p.score for p in model.pieces if p.type == NORMAL}
+        self.costs = {p.piece: -p.score for p in normal}
+        self.joins = {p.piece[i:i + 2] for p in normal for i in range(len(p.piece) - 1)}
         self.bytes = [0] * 256
         for i, p in enumerate(model.pieces):
             if p.type == BYTE:
                 self.bytes[int(p.piece[1:-1], 16)] = i
-        self.fresh: dict[str, bytes] = {}
+        self.parts, self.stretches = Remembered(PARTS, self.part), Remembered(STRETCHES, self.stretch)
+        self.new_part, self.fresh = False, {}
 
-    def agenda(self, stretch: str) -> list[int]:
-        """Ids of one stretch by merging its best pairs."""
-        costs, ids = self.costs, self.ids
-        symbols, n = list(stretch), len(stretch)
+    def agenda(self, part: str) -> list[int]:
+        """Ids of one part by merging its best pairs."""
+        cost, ids = self.costs.get, self.ids
+        symbols, n = list(part), len(part)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = []
-        for i in range(n - 1):
-            piece = symbols[i] + symbols[i + 1]
-            if piece in costs:
-                queue.append((costs[piece], i, i + 1, len(piece)))
-        heapq.heapify(queue)
+        queue = [(c, i, i + 1, 2) for i in range(n - 1) if (c := cost(part[i:i + 2])) is not None]
+        heapify(queue)
         while queue:
-            _, left, right, size = heapq.heappop(queue)
+            _, left, right, size = heappop(queue)
             a, b = symbols[left], symbols[right]
             if not a or not b or len(a) + len(b) != size:
                 continue
-            symbols[left], symbols[right] = a + b, ""
+            symbols[left] = joined = a + b
+            symbols[right] = ""
             beyond = after[left] = after[right]
             if beyond >= 0:
                 before[beyond] = left
-                piece = a + b + symbols[beyond]
-                if piece in costs:
-                    heapq.heappush(queue, (costs[piece], left, beyond, len(piece)))
+                piece = joined + symbols[beyond]
+                if (c := cost(piece)) is not None:
+                    heappush(queue, (c, left, beyond, len(piece)))
             first = before[left]
             if first >= 0:
-                piece = symbols[first] + a + b
-                if piece in costs:
-                    heapq.heappush(queue, (costs[piece], first, left, len(piece)))
+                piece = symbols[first] + joined
+                if (c := cost(piece)) is not None:
+                    heappush(queue, (c, first, left, len(piece)))
         out = []
         for s in symbols:
             if s in ids:
@@ -132,33 +155,40 @@ class Pieces(dict):
                 out += [self.bytes[x] for x in s.encode()]
         return out
 
-    def __missing__(self, stretch: str) -> bytes:
-        got = np.array(self.agenda(stretch), "<i4").tobytes()
-        if len(stretch) <= CACHED_CHARS:
-            if len(self) >= CACHE:
-                self.clear()
-            self[stretch] = got
-        self.fresh[stretch] = got
-        if len(self.fresh) >= VERIFY:
-            self.verify()
+    def part(self, part: str) -> bytes:
+        self.new_part = True
+        return array("i", self.agenda(part)).tobytes()
+
+    def stretch(self, rest: str) -> bytes:
+        text, joins = MARK + rest, self.joins
+        self.new_part = False
+        cuts = []
+        if not joins.issuperset(map(add, text, rest)):
+            cuts = [i for i in range(1, len(text)) if text[i - 1:i + 1] not in joins]
+        got = (b"".join([self.parts[text[a:b]] for a, b in zip([0, *cuts], [*cuts, len(text)])]) if cuts
+               else self.parts[text])
+        if self.new_part and rest:      # the library has no text that is the added space alone
+            self.fresh[rest] = got
+            if len(self.fresh) >= VERIFY:
+                self.verify()
         return got
 
     def verify(self) -> None:
-        """Compare the stretches encoded since the last call with the library's ids."""
-        texts = [s[1:].replace(MARK, " ") if len(s) > 1 else None for s in self.fresh]
-        known = [t for t in texts if t is not None]
-        theirs = iter(self.library.encode(known, num_threads=1))
-        for (stretch, ours), text in zip(self.fresh.items(), texts, strict=True):
-            # the library adds the leading space itself, and has no text that is that space alone
-            if text is not None and np.array(next(theirs), "<i4").tobytes() != ours:
-                raise ValueError(f"the library encodes {stretch[:200]!r} otherwise")
+        """Compare the stretches encoded since the last call with the library's ids; it adds the first space itself."""
+        theirs = self.library.encode([rest.replace(MARK, " ") for rest in self.fresh], num_threads=1)
+        for (rest, ours), ids in zip(self.fresh.items(), theirs, strict=True):
+            if array("i", ids).tobytes() != ours:
+                raise ValueError(f"the library encodes {rest[:200]!r} otherwise")
         self.fresh.clear()
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
-        got = b"".join(map(self.__getitem__, _STRETCH.findall(MARK + text.replace(" ", MARK))))
-        return np.frombuffer(got, "<i4")
+        if "  " in text or MARK in text or text[0] == " " or text[-1] == " ":
+            names = [s[1:] for s in _STRETCH.findall(MARK + text.replace(" ", MARK))]
+        else:
+            names = text.split(" ")
+        return np.frombuffer(b"".join(map(self.stretches.__getitem__, names)), np.int32)
 
 
 @lru_cache(maxsize=2)
