@@ -78,7 +78,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = piece_bpe.decode(piece_bpe.encode(table(spark, sf_dir, "documents")))
+    coded = piece_bpe.encode(table(spark, sf_dir, "documents"), back=True)
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

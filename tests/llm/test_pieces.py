@@ -1,9 +1,9 @@
 """Piece encoding against the sentencepiece library, whole texts and random ids."""
 
-import codecs
 import hashlib
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 import sentencepiece
@@ -17,7 +17,6 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def library():
-    codecs.register_error("finlake_each_byte", P._each_byte)
     return sentencepiece.SentencePieceProcessor(model_file=P.piece_model_path())
 
 
@@ -40,6 +39,7 @@ def test_awkward_rows(spark, library):
     texts = [*awkward(), (20, "  two  spaces  "), (21, "▁mark ▁ "), (22, "<s>a</s><0x41>"), (23, "a\x00b "),
              (24, "x" * 20_000), (25, "the" * 10_000), (26, "日本語 � é́")]
     got = P.decode(P.encode(frame(spark, texts))).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, P.encode(frame(spark, texts), back=True).collect()))
     known = lambda t: (library.encode(t or ""), library.decode(library.encode(t or "")))
     order = lambda x: (x[0] is None, x[0] or 0, x[1])
     assert sorted(((r.doc_id, r.ids, r.decoded) for r in got), key=order) == sorted(
@@ -53,20 +53,34 @@ def test_null_ids_have_no_text(spark):
 
 
 def test_random_strings_and_ids(library):
-    pieces, table = P.Pieces(P.piece_model_path()), P.piece_bytes()
-    kept, r = P.kept_spaces(table), random.Random(1)
-    for _ in range(3000):
-        text = "".join(r.choice("ab  \n\t▁é́�\x00日本😀<s>the ing,.  ") for _ in range(r.randrange(40)))
-        assert pieces.encode(text).tolist() == library.encode(text)
-    pieces.verify()
+    pieces, decoder, r = P.Pieces(P.piece_model_path()), P.Decoder(), random.Random(1)
+    texts = ["".join(r.choice("ab  \n\t▁é́�\x00日本😀<s>the ing,.  ") for _ in range(r.randrange(40))) for _ in range(3000)]
+    for k in range(0, 3000, 100):
+        for text, ids in zip(texts[k:k + 100], pieces.encode(texts[k:k + 100]), strict=True):
+            assert np.frombuffer(ids, "<i4").tolist() == library.encode(text)
     for _ in range(20_000):
         ids = [r.choice([r.randrange(32_000), r.randrange(4), r.randrange(300), 28705, 259]) for _ in range(r.randrange(6))]
-        assert P.decoded(ids, table, kept) == library.decode(ids), ids
+        assert decoder.text(ids) == library.decode(ids), ids
 
 
 def test_a_difference_from_the_library_is_an_error():
     pieces = P.Pieces(P.piece_model_path())
-    pieces.costs = {p: -c for p, c in pieces.costs.items()}
+    pieces.pair_costs = -pieces.pair_costs
     with pytest.raises(ValueError, match="otherwise"):
-        pieces.encode("some words that merge")
-        pieces.verify()
+        pieces.encode(["some words that merge"])
+
+
+def test_both_forms_of_the_agenda_agree(library):
+    pieces, r = P.Pieces(P.piece_model_path()), random.Random(2)
+    parts = ["".join(r.choice("abcdefghiklmnoprstuv▁é") for _ in range(r.randint(1, P.WIDE))) for _ in range(4000)]
+    parts += ["a\x00b", "日本語", "x" * 50, "é" + "z" * P.WIDE, "\x00"]
+    for part, ids in zip(parts, pieces.encode_parts(parts), strict=True):
+        assert np.frombuffer(ids, "<i4").tolist() == pieces.agenda(part)
+
+
+def test_little_memory_gives_the_same(library):
+    pieces = P.Pieces(P.piece_model_path())
+    pieces.parts.limit = pieces.stretches.limit = 3
+    texts = [" ".join(w) for w in (["one", "two", "three"], ["two", "four", "five."], ["one", "six,", "one"], ["two"])]
+    for text in texts * 3:
+        assert np.frombuffer(pieces.encode([text])[0], "<i4").tolist() == library.encode(text)
