@@ -47,7 +47,7 @@ from pyspark.sql import types as T
 from finlake.llm.common import ship, text_of
 
 MARK = "▁"
-STRETCHES, PARTS = 1 << 18, 1 << 16   # what a worker remembers of each, and as many again from before
+STRETCHES, PARTS = 1 << 19, 1 << 16   # what a worker remembers of each, and as many again from before
 CACHED_CHARS = 64        # longer ones are encoded anew
 TEXT_CHARS = 1 << 20     # texts whose new stretches are encoded together
 WIDE, TOGETHER = 24, 1 << 13   # parts of up to so many characters are encoded so many at a time
