@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from finlake.session import scratch_path
 from finlake.sources import files, views
 from finlake.sources.views import Tables
-from finlake.specs import MOVEMENTS_SCHEMA, SPECS_BY_NAME
+from finlake.specs import MOVEMENTS_SCHEMA, SPECS_BY_NAME, TableSpec
 from finlake.streaming.bronze import read_bronze, run_bronze
 from finlake.streaming.scd1 import Scd1Table
 
@@ -48,7 +48,7 @@ def ingest_files(spark, sf) -> DataFrame:
     schema = MOVEMENTS_SCHEMA + ", extraction_ts string"
     run_bronze(spark, replace(spec, schema=schema), f"{raw}/transacoes_efetivadas", bronze, ckpt,
                RUN_DATE)
-    return read_bronze(spark, bronze).drop("_ingesttime", "_sourcefile", "extraction_ts")
+    return read_bronze(spark, bronze).drop("_rescued", "_ingesttime", "_sourcefile", "extraction_ts")
 
 
 def ingest_infer(spark, sf) -> DataFrame:
@@ -80,9 +80,53 @@ def ingest_evolve(spark, sf) -> DataFrame:
     return files.read_evolving(spark, f"{base}/contas/*", EVOLVE_SCHEMA)
 
 
+EVOLVE_STREAM = TableSpec("contas", "id bigint, nome string, saldo decimal(12,2)", ("id",))
+UNREADABLE = "n/d"
+
+
+def ingest_evolve_stream(spark, sf) -> DataFrame:
+    """Account extracts in two header layouts through the bronze stream, one run
+    after each: the second has columns added in front and in the middle, one of
+    them a zero-padded code, and in both some balances are no numbers."""
+    base = scratch_path(spark, "ingest_evolve_stream")
+    c = Tables(spark, sf)("customer")
+    saldo = (F.when(F.col("c_custkey") % 50 == 0, F.lit(UNREADABLE))
+             .otherwise(F.col("c_acctbal").cast("decimal(12,2)").cast("string")).alias("saldo"))
+    old = F.col("c_mktsegment").isin(*EVOLVE_OLD_SEGMENTS)
+    key, name = F.col("c_custkey").alias("id"), F.col("c_name").alias("nome")
+    code = F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("codigo")
+    for run, (rows, columns) in enumerate([
+            (c.where(old), (key, name, saldo)), (c.where(~old), (code, key, F.col("c_mktsegment").alias("segmento"), name, saldo))]):
+        rows.select(*columns).write.option("header", True).csv(f"{base}/raw/extraction_ts={run}")
+        run_bronze(spark, EVOLVE_STREAM, f"{base}/raw", f"{base}/bronze", f"{base}/_checkpoint", RUN_DATE)
+    return read_bronze(spark, f"{base}/bronze", EVOLVE_STREAM).select(
+        "id", "nome", "saldo", "codigo", "segmento", F.get_json_object("_rescued", "$.saldo").alias("saldo_lido"))
+
+
+INFER_STREAM = TableSpec("pedidos", "", ("pedido",))
+
+
+def ingest_infer_merge(spark, sf) -> DataFrame:
+    """Order extracts through the bronze stream without a declared schema: whole
+    numbers first, then amounts with cents and references with letters, so the
+    types of the first run widen without its files being read again."""
+    base = scratch_path(spark, "ingest_infer_merge")
+    o = Tables(spark, sf)("orders")
+    key, day = F.col("o_orderkey").alias("pedido"), F.to_date("o_orderdate").alias("data")
+    total = F.col("o_totalprice").cast("decimal(12,2)")
+    for run, (rows, total_sent, ref) in enumerate([
+            (o.where("o_orderkey % 2 = 0"), F.floor(total), F.col("o_custkey").cast("string")),
+            (o.where("o_orderkey % 2 <> 0"), total, F.concat(F.lit("C-"), F.col("o_custkey").cast("string")))]):
+        (rows.select(key, total_sent.alias("total"), ref.alias("ref"), day)
+         .write.option("header", True).csv(f"{base}/raw/extraction_ts={run}"))
+        run_bronze(spark, INFER_STREAM, f"{base}/raw", f"{base}/bronze", f"{base}/_checkpoint", RUN_DATE)
+    return read_bronze(spark, f"{base}/bronze").select(
+        F.col("pedido").cast("bigint").alias("pedido"), F.col("total").cast("decimal(18,2)").alias("total"), "ref", "data")
+
+
 def snapshot_csv_roundtrip(spark, sf) -> DataFrame:
     base = scratch_path(spark, "snapshot_csv")
-    acc = views.accounts(Tables(spark, sf))
+    acc = Tables(spark, sf)("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("nome"))
     files.write_snapshot_csv(acc, base, "contas", EXTRACTION_TS)
     files.write_snapshot_csv(acc.limit(0), base, "contas", "20240116_120000")  # empty: skipped
     return files.read_snapshot_csv(spark, base, "contas", "id bigint, nome string")
@@ -122,6 +166,8 @@ QUERIES = {
     "ingest_files": ingest_files,
     "ingest_infer": ingest_infer,
     "ingest_evolve": ingest_evolve,
+    "ingest_evolve_stream": ingest_evolve_stream,
+    "ingest_infer_merge": ingest_infer_merge,
     "snapshot_csv_roundtrip": snapshot_csv_roundtrip,
     "scd1_stream": scd1_stream,
 }

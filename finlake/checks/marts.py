@@ -6,29 +6,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from finlake.plans import analytics, gold
+from finlake.session import scratch_path
 from finlake.sources import views
 from finlake.sources.views import TEST_PARAMS as P, Tables
 
 
 def gold_layer(spark: SparkSession, sf_dir: str):
-    """(transactions, budgets, calendar, categories) gold DataFrames."""
-    trs, orc, cal, cat, _, _ = gold_with_summaries(spark, sf_dir)
-    return trs, orc, cal, cat
+    """(transactions, budgets, calendar, categories) gold DataFrames, lazily."""
+    t = Tables(spark, sf_dir)
+    cat = gold.categories(views.categories(t), P.lifestyle_parents)
+    orc = gold.budgets(views.budgets(t), P.as_of)
+    trs = gold.transactions(views.movements(t), views.accounts(t), views.cards(t), cat)
+    return trs, orc, gold.calendar(gold.daily_summary(trs), orc), cat
 
 
 def gold_with_summaries(spark: SparkSession, sf_dir: str):
-    """The gold layer plus the category and daily summaries the marts read,
-    composed exactly as the pipeline composes them (the calendar bounds come
-    from the daily summary, so one daily aggregate serves both)."""
+    """The gold layer plus the category and daily summaries the marts read.
+
+    The fact is evaluated once: its sums per day and category path are written
+    under the shared checkpoint folder, and both summaries, the calendar and
+    the marts read those, as they read stored summaries in the pipeline.
+    """
     t = Tables(spark, sf_dir)
     cat = gold.categories(views.categories(t), P.lifestyle_parents)
-    orc = gold.budgets(views.budgets(t), P.as_of)
+    orc = stored(gold.budgets(views.budgets(t), P.as_of), "budgets")
     trs = gold.transactions(views.movements(t), views.accounts(t), views.cards(t), cat)
-    by_cat, daily = gold.category_summary(trs), gold.daily_summary(trs)
+    both = stored(gold.daily_category_summary(trs), "summary")
+    by_cat, daily = gold.category_summary(both), gold.daily_summary(both)
     cal = gold.calendar(daily, orc)
     return trs, orc, cal, cat, by_cat, daily
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def gold_categories(spark, sf_dir) -> DataFrame:
     return gold.categories(views.categories(Tables(spark, sf_dir)), P.lifestyle_parents)
 

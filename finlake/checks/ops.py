@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from finlake import constants as K
 from finlake.checks import payloads
-from finlake.checks.marts import gold_layer
+from finlake.checks.marts import gold_layer, stored
 from finlake.functions.dates import (business_date_key, business_month_key, extract_window_bounds,
                                      month_key, month_start, year_end)
 from finlake.functions.money import money, money_total
@@ -75,13 +75,10 @@ EVENT_SPECS = [
 
 
 def silver_dispatch(spark, sf) -> DataFrame:
-    ev = Tables(spark, sf)("events").withColumn("_load", F.to_date("ts"))
-    outs = []
-    for spec in EVENT_SPECS:
-        s = silver(spec, ev)
-        outs.append(s.agg(F.lit(spec.name).alias("tabela"), F.count(F.lit(1)).alias("linhas"),
-                          F.round(F.sum("value"), 6).alias("valor_total")))
-    return reduce(DataFrame.unionByName, outs)
+    ev = Tables(spark, sf)("events")
+    loaded = ev.withColumn("_load", F.to_date("ts"))
+    return reduce(DataFrame.unionByName, [
+        silver(spec, loaded).select(F.lit(spec.name).alias("tabela"), *ev.columns) for spec in EVENT_SPECS])
 
 
 # --- A / C: sources, audit ------------------------------------------------------------
@@ -167,6 +164,7 @@ def month_key_join(spark, sf) -> DataFrame:
 def running_total(spark, sf) -> DataFrame:
     mov = views.movements(Tables(spark, sf))
     daily = mov.groupBy("data").agg(money_total(F.sum("valor")).alias("total_dia"))
+    daily = stored(daily, "daily")      # read twice: bucket totals, rows
     r = windows.running_total(daily, "data", "total_dia", "acumulado", bucket=month_start("data"))
     return r.select("data", "total_dia", money_total("acumulado").alias("acumulado"))
 

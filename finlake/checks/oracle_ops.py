@@ -131,9 +131,9 @@ WHERE rn = 1
     "snapshot_diff": _DIFF,
     "snapshot_apply": f"SELECT conta_id, cartao_id, movimento FROM ({_NEW}) n",
     "silver_dispatch": f"""
-SELECT 'events_cdc' AS tabela, count(*) AS linhas, round(sum(value), 6) AS valor_total FROM ({_SCD1_EVENTS}) a
+SELECT 'events_cdc' AS tabela, a.* FROM ({_SCD1_EVENTS}) a
 UNION ALL
-SELECT 'events_snapshot', count(*), round(sum(value), 6) FROM ({_LATEST_EVENTS}) b
+SELECT 'events_snapshot' AS tabela, b.* FROM ({_LATEST_EVENTS}) b
 """,
     "audit_columns": _AUDIT,
     "extract_window": """
@@ -204,7 +204,23 @@ SELECT c_custkey AS id, c_name AS nome,
             ELSE lpad(CAST(c_custkey AS VARCHAR), 6, '0') END AS codigo
 FROM customer
 """,
-    "snapshot_csv_roundtrip": "SELECT id, nome, '20240115_120000' AS extraction_ts FROM contas",
+    "ingest_evolve_stream": """
+SELECT c_custkey AS id, c_name AS nome,
+       CASE WHEN c_custkey % 50 <> 0 THEN CAST(c_acctbal AS DECIMAL(12,2)) END AS saldo,
+       CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING') THEN lpad(CAST(c_custkey AS VARCHAR), 6, '0') END AS codigo,
+       CASE WHEN c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING') THEN c_mktsegment END AS segmento,
+       CASE WHEN c_custkey % 50 = 0 THEN 'n/d' END AS saldo_lido
+FROM customer
+""",
+    "ingest_infer_merge": """
+SELECT o_orderkey AS pedido,
+       CAST(CASE WHEN o_orderkey % 2 = 0 THEN floor(CAST(o_totalprice AS DECIMAL(12,2)))
+                 ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS DECIMAL(18,2)) AS total,
+       CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'C-' END || CAST(o_custkey AS VARCHAR) AS ref,
+       CAST(o_orderdate AS DATE) AS data
+FROM orders
+""",
+    "snapshot_csv_roundtrip": "SELECT c_custkey AS id, c_name AS nome, '20240115_120000' AS extraction_ts FROM customer",
     "scd1_stream": _SCD1_EVENTS,
     "month_keys": """
 SELECT unique_id, data, strftime(data, '%Y-%m-01') AS ano_mes, strftime(data, '%Y%m%d') AS chave_dia,

@@ -28,7 +28,7 @@ def unique_categories(cat: DataFrame) -> DataFrame:
             .select("categoria", "subcategoria", "_c.*").select(*cat.columns))
 
 
-def account_balance(trs: DataFrame) -> DataFrame:
+def account_balance(trs: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Monthly result per (month, account, card) of settled movements, the
     account's running balance and the card's monthly result.
 
@@ -36,6 +36,10 @@ def account_balance(trs: DataFrame) -> DataFrame:
     the running sum runs over one row per account and month (no account has
     more than the calendar's months in its window, however many cards or
     movements it holds) and is joined back on account and month.
+
+    With ``before``, this mart's rows of all months before those of ``trs``
+    (rows without a month come first), each account goes on from its last
+    balance there, and the result is ``before`` with the rows of ``trs`` added.
     """
     monthly = (trs.where(F.col("situacao") == K.STATUS_SETTLED)
                .groupBy("ano_mes", "conta", "cartao")
@@ -44,12 +48,18 @@ def account_balance(trs: DataFrame) -> DataFrame:
     balance = (monthly.groupBy(F.col("conta").alias("_conta"), F.col("ano_mes").alias("_mes"))
                .agg(F.sum("resultado_mes").alias("_sum"))
                .select("_conta", "_mes", F.sum("_sum").over(running).alias("_balance")))
+    if before is not None:
+        last = F.max_by("saldo_conta", F.coalesce("ano_mes", F.lit(""))).alias("_from")
+        opening = before.groupBy(F.col("conta").alias("_account")).agg(last)
+        balance = (balance.join(opening, F.col("_conta").eqNullSafe(F.col("_account")), "left")
+                   .select("_conta", "_mes", (F.col("_balance") + F.coalesce("_from", F.lit(0))).alias("_balance")))
     same = F.col("conta").eqNullSafe(F.col("_conta")) & F.col("ano_mes").eqNullSafe(F.col("_mes"))
-    return monthly.join(balance, same).select(
+    out = monthly.join(balance, same).select(
         "ano_mes", "conta", "cartao", "resultado_mes",
         money_total(F.col("_balance")).alias("saldo_conta"),
         F.when(F.col("cartao").isNotNull(), F.col("resultado_mes")).alias("saldo_cartao"),
     )
+    return out if before is None else before.select(*out.columns).unionByName(out)
 
 
 def budget_balance(orc: DataFrame, cat: DataFrame, as_of: str,
@@ -116,31 +126,53 @@ def budget_planning(trs: DataFrame, orc: DataFrame, cal: DataFrame, cat: DataFra
     )
 
 
-def daily_cashflow(trs: DataFrame, orc: DataFrame, cal: DataFrame,
-                   rate: str = K.INTEREST_RATE) -> DataFrame:
+def _carried(run: DataFrame, before: DataFrame | None, order: str, since: str | None) -> DataFrame:
+    """Running cash that goes on from the last row of ``before`` (one scalar)."""
+    if before is None:
+        return run
+    opening = before.where(F.col(order) < since).select(F.max_by("fluxo_de_caixa", order)).scalar()
+    return run.withColumn("fluxo_de_caixa", F.col("fluxo_de_caixa") + F.coalesce(opening, F.lit(0)))
+
+
+def _from(df: DataFrame, column: str, since: str | None) -> DataFrame:
+    return df if since is None else df.where(F.col(column) >= F.lit(since).cast(df.schema[column].dataType))
+
+
+def daily_cashflow(trs: DataFrame, orc: DataFrame, cal: DataFrame, rate: str = K.INTEREST_RATE,
+                   before: DataFrame | None = None, since: str | None = None) -> DataFrame:
     """Per calendar day: movements, remaining budget charged on the 1st, the
-    net of the day, running cash and projected interest on a negative cash."""
-    t = (trs.groupBy(F.col("data_transacao").alias("sk_data"))
+    net of the day, running cash and projected interest on a negative cash.
+
+    With ``before``, this mart as it was, its days before ``since`` stay and
+    the running cash goes on from there; only later days are computed.
+    """
+    t = (_from(trs, "data_transacao", since).groupBy(F.col("data_transacao").alias("sk_data"))
          .agg(F.sum("valor").alias("total_transacoes")))
-    o = (orc.groupBy(F.col("data_orcamento").alias("sk_data"))
+    o = (_from(orc, "data_orcamento", since).groupBy(F.col("data_orcamento").alias("sk_data"))
          .agg(F.sum("saldo").alias("total_orcamento")))
-    days = (cal.select("sk_data").join(t, "sk_data", "left").join(o, "sk_data", "left")
+    days = (_from(cal, "sk_data", since).select("sk_data").join(t, "sk_data", "left").join(o, "sk_data", "left")
             .select("sk_data",
                     money_total(F.coalesce("total_transacoes", F.lit(0))).alias("total_transacoes"),
                     money_total(F.coalesce("total_orcamento", F.lit(0))).alias("total_orcamento"))
             .withColumn("total_dia", money_total(F.col("total_transacoes") - F.col("total_orcamento"))))
     run = running_total(days, "sk_data", "total_dia", "fluxo_de_caixa", bucket=month_start("sk_data"))
-    return run.select("sk_data", "total_transacoes", "total_orcamento", "total_dia",
-                      money_total("fluxo_de_caixa").alias("fluxo_de_caixa"),
-                      interest("fluxo_de_caixa", rate).alias("juros_projetado"))
+    run = _carried(run, before, "sk_data", since)
+    out = run.select("sk_data", "total_transacoes", "total_orcamento", "total_dia",
+                     money_total("fluxo_de_caixa").alias("fluxo_de_caixa"),
+                     interest("fluxo_de_caixa", rate).alias("juros_projetado"))
+    return out if before is None else before.where(F.col("sk_data") < since).select(*out.columns).unionByName(out)
+
 
+def monthly_cashflow(trs: DataFrame, orc: DataFrame, cal: DataFrame,
+                     before: DataFrame | None = None, since: str | None = None) -> DataFrame:
+    """Per calendar month: movements, remaining budget, net and running cash.
 
-def monthly_cashflow(trs: DataFrame, orc: DataFrame, cal: DataFrame) -> DataFrame:
-    """Per calendar month: movements, remaining budget, net and running cash."""
-    t = trs.groupBy("ano_mes").agg(F.sum("valor").alias("total_transacoes"))
-    o = (orc.groupBy(month_key("data_orcamento").alias("ano_mes"))
+    ``before`` and ``since`` as in :func:`daily_cashflow`, by month.
+    """
+    t = _from(trs, "ano_mes", since).groupBy("ano_mes").agg(F.sum("valor").alias("total_transacoes"))
+    o = (_from(orc, "data_orcamento", since).groupBy(month_key("data_orcamento").alias("ano_mes"))
          .agg(F.sum("saldo").alias("total_orcamento")))
-    months = cal.select("ano_mes").distinct()
+    months = _from(cal, "ano_mes", since).select("ano_mes").distinct()
     m = (months.join(t, "ano_mes", "left").join(o, "ano_mes", "left")
          .select("ano_mes",
                  money_total(F.coalesce("total_transacoes", F.lit(0))).alias("total_transacoes"),
@@ -148,8 +180,10 @@ def monthly_cashflow(trs: DataFrame, orc: DataFrame, cal: DataFrame) -> DataFram
          .withColumn("total_mes", money_total(F.col("total_transacoes") - F.col("total_orcamento"))))
     run = running_total(m, "ano_mes", "total_mes", "fluxo_de_caixa",
                         bucket=F.substring("ano_mes", 1, 4))
-    return run.select("ano_mes", "total_transacoes", "total_orcamento", "total_mes",
-                      money_total("fluxo_de_caixa").alias("fluxo_de_caixa"))
+    run = _carried(run, before, "ano_mes", since)
+    out = run.select("ano_mes", "total_transacoes", "total_orcamento", "total_mes",
+                     money_total("fluxo_de_caixa").alias("fluxo_de_caixa"))
+    return out if before is None else before.where(F.col("ano_mes") < since).select(*out.columns).unionByName(out)
 
 
 def income_vs_outcome(trs: DataFrame, start_month: str) -> DataFrame:

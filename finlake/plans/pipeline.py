@@ -6,15 +6,20 @@ driver are version numbers and the calendar/panel bounds (scalars).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import asdict
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake import constants as K
+from finlake.functions.dates import month_key
+from finlake.params import Params
 from finlake.plans import analytics, gold
-from finlake.plans.lake import Lake
-from finlake.sources.views import Params
+from finlake.plans.lake import KEPT_RUNS, Lake, in_values
 from finlake.specs import FINANCE_SPECS, TableSpec, silver
-from finlake.streaming.bronze import read_bronze, run_bronze
+from finlake.storage import Files
+from finlake.streaming.bronze import bronze_log, newest_load, purge, run_bronze
 from finlake.streaming.scd1 import Scd1Table
 
 GOLD_KEYS = {
@@ -39,39 +44,65 @@ MART_KEYS = {
 # --- gold ----------------------------------------------------------------------------
 
 FACT = "transacoes"
-FACT_MONTHS = "transacoes_meses"   # manifest of the live months of the fact
-WATERMARK = "transacoes_watermark"  # last settled change batch the fact reflects
 BY_CATEGORY = "transacoes_categoria"   # summaries of the fact read by the marts
 DAILY = "transacoes_diario"
+INDEX = "transacoes_indice"            # months in which a dimension's ids have movements
+STAGE = "transacoes_lote"              # the movements that the last run took in
+
+# Dimension table to the movement column that names its rows.
+DIMENSION_IDS = {"contas": "conta_id", "cartoes": "cartao_id", "categorias": "tipo_transacao_filho_id"}
+
+# Marts whose key may stand for several rows: category names can repeat (Q7).
+SEVERAL = ("budget_balance", "budget_planning")
 
+in_months = in_values
 
-def month_key_of(business_month: str) -> str:
+
+def month_key_of(business_month: str | None) -> str | None:
     """``yyyyMM01`` -> ``yyyy-MM-01``."""
-    return f"{business_month[:4]}-{business_month[4:6]}-01"
+    return business_month and f"{business_month[:4]}-{business_month[4:6]}-01"
+
 
+def business_month_of(month: str | None) -> str | None:
+    """``yyyy-MM-01`` -> ``yyyyMM01``."""
+    return month and month.replace("-", "")
 
-def in_months(column, months) -> Column:
-    """Whether ``column`` is one of ``months``; never NULL, and NULL is a month like any other."""
-    hit = F.coalesce(F.col(column).isin([m for m in months if m is not None]), F.lit(False))
-    return hit | F.col(column).isNull() if None in months else hit
+
+def months_by_id(movements: DataFrame) -> DataFrame:
+    """(dimensao, id, ano_mes) of every dimension row that movements of a month refer to."""
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimensao"), F.col(c).cast("bigint").alias("id"))
+                      for d, c in DIMENSION_IDS.items()])
+    return (movements.select(F.explode(pairs).alias("x"), month_key(F.col("data")).alias("ano_mes"))
+            .select("x.dimensao", "x.id", "ano_mes").where("id IS NOT NULL").distinct())
+
+
+def months_of_changed_dimensions(lake: Lake) -> set:
+    """Months with movements of the dimension rows that this run inserted, changed or deleted."""
+    changed = None
+    for name in DIMENSION_IDS:
+        ids = lake.read_changes("gold", name).select(F.lit(name).alias("dimensao"), "id")
+        changed = ids if changed is None else changed.unionByName(ids)
+    if changed.isEmpty():
+        return set()
+    index = lake.read_parts("gold", INDEX, base=True)
+    return _distinct(index.join(changed, ["dimensao", "id"], "left_semi"), "ano_mes")
 
 
 def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
                categories: DataFrame, budgets: DataFrame, params: Params, version: int,
-               timings: dict | None = None, months: list[str] | None = None,
-               watermark: int | None = None) -> bool:
-    """Conform the silver inputs into the gold tables of ``lake``.
+               timings: dict | None = None, months=None, watermark: int | None = None) -> bool:
+    """Conform the silver inputs into the gold tables of ``lake``, as part of run ``version``.
 
     Categories, accounts, cards, budgets and the calendar are keyed targets
-    (snapshot apply, with change feeds); the transaction fact is partitioned
-    by month. With ``months`` (``yyyy-MM-01`` keys) and ``movements`` holding
-    the rows of exactly those months, only their partitions are rewritten
-    (dynamic overwrite) and the month manifest is updated; a change in any
-    dimension, or a lake without a fact yet, falls back to a full rebuild.
-    Returns True when the fact was rebuilt in full. ``watermark`` (the last
-    settled change batch included) is recorded only after the fact, its
-    manifest and summaries are written, so a failed run is redone in full
-    months on retry.
+    (snapshot apply, with change feeds); the transaction fact, its summaries
+    and the index of dimension ids are kept by month.  ``movements`` are the
+    feeds of all months, or a function that gives those of some months (None:
+    all).  With ``months`` (``yyyy-MM-01`` keys, None for undated rows) only
+    these and the months that the index names for changed dimension rows are
+    written; feeds that are no function have to hold exactly those months.
+    Without, or in a lake without a fact, all months are.  Returns True when the
+    fact was rebuilt in full.  ``watermark`` (the last settled change batch
+    included) and the months with pending movements are noted in the manifest.
     """
     import time
 
@@ -87,80 +118,51 @@ def build_gold(lake: Lake, *, movements, accounts: DataFrame, cards: DataFrame,
         "contas": accounts.select("id", "nome"),
         "cartoes": cards.select("id", "nome"),
     }
-    changed = False
-    for name, df in dims.items():
-        prev = timed(f"gold.{name}", lambda df=df, name=name: lake.apply_snapshot(
-            df, "gold", name, GOLD_KEYS.get(name, ["id"]), version))
-        if prev >= 0 and lake.read_changes("gold", name, version).limit(1).count() > 0:
-            changed = True
-    timed("gold.orcamentos", lambda: lake.apply_snapshot(
-        gold.budgets(budgets, params.as_of), "gold", "orcamentos", GOLD_KEYS["orcamentos"], version))
-    cat, acc, crd = (lake.read_state("gold", n) for n in ("categorias", "contas", "cartoes"))
-    fact = gold.transactions(movements, acc, crd, cat)
-    full = months is None or changed or not lake.exists("gold", FACT_MONTHS, "/state")
-
-    def write_summaries(rows: DataFrame, incremental: bool):
-        """Small versioned summaries: the previous version without the touched
-        months plus the sums of the (whole) touched months."""
-        for name, summarise in ((BY_CATEGORY, gold.category_summary), (DAILY, gold.daily_summary)):
-            fresh = summarise(rows)
-            if incremental:
-                kept = lake.read_previous("gold", name, version).where(~in_months("ano_mes", months))
-                fresh = kept.unionByName(fresh)
-            lake.write_version(fresh, "gold", name, version)
-
-    def write_fact():
-        if full:
-            lake.write(fact, "gold", FACT, partition_by="ano_mes")
-            stored = lake.read("gold", FACT)
-            write_summaries(stored, incremental=False)
-            live = month_manifest(stored)
-        else:
-            # stage the touched months once: the staged copy feeds the partition
-            # overwrite and tells which touched months still have rows (a month
-            # left empty keeps its old files, but drops out of the manifest)
-            stage = f"{lake.path('gold', FACT)}_stage/v={version}"
-            fact.write.mode("overwrite").parquet(stage)
-            staged = lake.spark.read.parquet(stage)
-            lake.write(staged, "gold", FACT, partition_by="ano_mes", dynamic=True)
-            write_summaries(staged, incremental=True)   # the staged rows are whole months
-            kept = lake.read_previous("gold", FACT_MONTHS, version).where(~in_months("ano_mes", months))
-            live = kept.unionByName(month_manifest(staged))
-        lake.apply_snapshot(live, "gold", FACT_MONTHS, ["ano_mes"], version)
-        if watermark is not None:
-            lake.write_version(lake.spark.range(1).select(F.lit(watermark).cast("long").alias("batch")),
-                               "gold", WATERMARK, version)
-
-    timed("gold.transacoes", write_fact)
-    timed("gold.calendar", lambda: lake.apply_snapshot(
-        gold.calendar(lake.read_state("gold", DAILY), lake.read_state("gold", "orcamentos")),
-        "gold", "calendar", GOLD_KEYS["calendar"], version))
+    with lake.run(version):
+        full = months is None or not lake.exists("gold", FACT)
+        for name, df in dims.items():
+            timed(f"gold.{name}", lambda df=df, name=name: lake.apply_snapshot(df, "gold", name, GOLD_KEYS[name]))
+        timed("gold.orcamentos", lambda: lake.apply_snapshot(
+            gold.budgets(budgets, params.as_of), "gold", "orcamentos", GOLD_KEYS["orcamentos"]))
+
+        def write_fact():
+            replace = None
+            if not full:
+                replace = set(months) | months_of_changed_dimensions(lake)
+                if replace != set(months) and not callable(movements):
+                    raise ValueError("dimensions changed in months that the movements don't hold")
+            feeds = movements(replace) if callable(movements) else movements
+            feeds = [feeds] if isinstance(feeds, DataFrame) else list(feeds)
+            lake.write_state(reduce(DataFrame.unionByName, feeds), "gold", STAGE)
+            taken = lake.read_state("gold", STAGE)
+            cat, acc, crd = (lake.read_state("gold", n) for n in ("categorias", "contas", "cartoes"))
+            lake.write_parts(gold.transactions(taken, acc, crd, cat), "gold", FACT, "ano_mes", replace)
+            stored = lake.read_parts("gold", FACT, replace)
+            lake.write_parts(gold.category_summary(stored), "gold", BY_CATEGORY, "ano_mes", replace)
+            lake.write_parts(gold.daily_summary(stored), "gold", DAILY, "ano_mes", replace)
+            lake.write_parts(months_by_id(taken), "gold", INDEX, "ano_mes", replace)
+            pending = _distinct(stored.where(F.col("situacao") == K.STATUS_PENDING), "ano_mes")
+            kept = set() if full else set(lake.notes().get("pending_months", [])) - replace
+            lake.note(pending_months=sorted(pending | kept, key=str),
+                      refreshed=None if full else sorted(replace, key=str))
+            if watermark is not None:
+                lake.note(settled_batch=watermark)
+
+        timed("gold.transacoes", write_fact)
+        timed("gold.calendar", lambda: lake.apply_snapshot(
+            gold.calendar(lake.read_parts("gold", DAILY), lake.read_state("gold", "orcamentos")),
+            "gold", "calendar", GOLD_KEYS["calendar"]))
     return full
 
 
-def month_manifest(fact: DataFrame) -> DataFrame:
-    """Live months of the fact and whether they hold pending movements."""
-    return fact.groupBy("ano_mes").agg(
-        F.max((F.col("situacao") == K.STATUS_PENDING).cast("int")).cast("boolean").alias("tem_pendentes"))
-
-
 def gold_watermark(lake: Lake) -> int | None:
     """Last settled change batch reflected by the gold fact (None: rebuild in full)."""
-    if not (lake.exists("gold", WATERMARK, "/state") and lake.exists("gold", FACT_MONTHS, "/state")):
-        return None
-    return int(lake.read_state("gold", WATERMARK).first()["batch"])
+    return lake.notes().get("settled_batch") if lake.exists("gold", FACT) else None
 
 
-def gold_fact(lake: Lake) -> DataFrame:
-    """The transaction fact restricted to the live months of the manifest (a
-    month emptied by an incremental run keeps no stale rows)."""
-    f = lake.read("gold", FACT)
-    v = lake.latest_version("gold", FACT_MONTHS)
-    if v is None:
-        return f
-    live = lake.read_state("gold", FACT_MONTHS, v).select(F.col("ano_mes").alias("_live"))
-    # null-safe: movements without a date are a month of their own
-    return f.join(live, f["ano_mes"].eqNullSafe(live["_live"]), "left_semi").select(*f.columns)
+def gold_fact(lake: Lake, months=None) -> DataFrame:
+    """The published transaction fact (of ``months``)."""
+    return lake.read_parts("gold", FACT, months)
 
 
 def gold_tables(lake: Lake, summaries: bool = True):
@@ -169,7 +171,7 @@ def gold_tables(lake: Lake, summaries: bool = True):
     With ``summaries`` the transactions are ``(fact, by_category, daily)``:
     the fact for the per-account mart, the summaries for all the others."""
     fact = gold_fact(lake)
-    trs = ((fact, lake.read_state("gold", BY_CATEGORY), lake.read_state("gold", DAILY))
+    trs = ((fact, lake.read_parts("gold", BY_CATEGORY), lake.read_parts("gold", DAILY))
            if summaries else fact)
     return (trs, lake.read_state("gold", "orcamentos"),
             lake.read_state("gold", "calendar"), lake.read_state("gold", "categorias"))
@@ -193,47 +195,128 @@ def mart_plans(trs, orc, cal, cat, p: Params) -> dict[str, DataFrame]:
     }
 
 
+RUNNING = ("account_balance", "daily_cashflow", "monthly_cashflow")
+NO_MONTH = "9999-12-01"
+
+
+def carried_from(lake: Lake, params: Params) -> str | None:
+    """First month whose running balances can differ from the published marts (None: any month).
+
+    That is the earliest month that this run refreshed in the fact or in which
+    a budget line changed. Undated rows come before all months, so a change
+    there means all; so do other parameters.
+    """
+    notes = lake.notes()
+    months, was = notes.get("refreshed"), notes.get("mart_params")
+    if months is None or None in months or was != asdict_text(params) or not all(
+            lake.exists("analytics", name) for name in RUNNING):
+        return None
+    budgets = lake.read_changes("gold", "orcamentos").agg(
+        F.min(month_key("data_orcamento")).alias("first"), F.count_if(F.col("data_orcamento").isNull()).alias("undated")).first()
+    if budgets["undated"]:
+        return None
+    return min([*months, budgets["first"] or NO_MONTH], default=NO_MONTH)
+
+
+def asdict_text(params: Params) -> dict[str, str]:
+    return {k: str(v) for k, v in asdict(params).items()}
+
+
+def running_marts(lake: Lake, since: str, p: Params) -> dict[str, DataFrame]:
+    """The marts with running balances, continued from what is published before month ``since``."""
+    _, orc, cal, _ = gold_tables(lake)
+    later = [m for m in lake.parts("gold", FACT) if m is not None and m >= since]
+    base = {name: lake.read_base("analytics", name) for name in RUNNING}
+    accounts = base["account_balance"].where(F.col("ano_mes").isNull() | (F.col("ano_mes") < since))
+    return {
+        "account_balance": analytics.account_balance(gold_fact(lake, later), accounts),
+        "daily_cashflow": analytics.daily_cashflow(lake.read_parts("gold", DAILY, later), orc, cal, p.interest_rate,
+                                                   base["daily_cashflow"], since),
+        "monthly_cashflow": analytics.monthly_cashflow(lake.read_parts("gold", BY_CATEGORY, later), orc, cal,
+                                                       base["monthly_cashflow"], since),
+    }
+
+
 def build_marts(lake: Lake, params: Params, version: int, names=None,
                 timings: dict | None = None) -> None:
+    """The marts as keyed targets with change feeds, as part of run ``version``.
+
+    Running balances go on from the published ones before the first month that
+    the run changed.
+    """
     import time
-    plans = mart_plans(*gold_tables(lake), params)
-    for name in names or list(plans):
-        t0 = time.perf_counter()
-        lake.apply_snapshot(plans[name], "analytics", name, MART_KEYS[name], version)
-        if timings is not None:
-            timings[f"analytics.{name}"] = round(time.perf_counter() - t0, 3)
+    with lake.run(version):
+        plans = mart_plans(*gold_tables(lake), params)
+        since = carried_from(lake, params)
+        if since is not None:
+            plans |= running_marts(lake, since, params)
+        for name in names or list(plans):
+            t0 = time.perf_counter()
+            lake.apply_snapshot(plans[name], "analytics", name, MART_KEYS[name], several=name in SEVERAL)
+            if timings is not None:
+                timings[f"analytics.{name}"] = round(time.perf_counter() - t0, 3)
+        lake.note(mart_params=asdict_text(params))
 
 
 # --- bronze / silver --------------------------------------------------------------------
 
-def ingest_bronze(spark: SparkSession, lake: Lake, raw_root: str, run_date,
-                  specs=FINANCE_SPECS, clean_source: str | None = None) -> None:
+def ingest_bronze(spark: SparkSession, lake: Lake, raw_root: str, run_date, specs=FINANCE_SPECS) -> None:
     """Stream every new raw file of every spec into bronze (triggered, exactly once)."""
     for spec in specs:
         run_bronze(spark, spec, f"{raw_root.rstrip('/')}/{spec.name}", lake.path("bronze", spec.name),
-                   f"{lake.root}/_checkpoints/bronze/{spec.name}", run_date,
-                   clean_source=clean_source,
-                   archive_dir=f"{lake.root}/_archive/{spec.name}" if clean_source == "archive" else None)
+                   f"{lake.root}/_checkpoints/bronze/{spec.name}", run_date)
+
+
+def purge_raw(lake: Lake, raw_root: str, how: str, specs=FINANCE_SPECS) -> int:
+    """Delete or archive the raw files that published bronze batches have taken in."""
+    return sum(purge(lake.spark, lake.path("bronze", spec.name), f"{raw_root.rstrip('/')}/{spec.name}", how,
+                     f"{lake.root}/_archive/{spec.name}") for spec in specs)
 
 
 def silver_table(lake: Lake, spec: TableSpec) -> Scd1Table:
-    tie = [c for c in spec.tiebreak]
     cluster = "_businessmonth" if "_businessmonth" in spec.keys else None
-    return Scd1Table(lake.path("silver", spec.name), list(spec.keys), list(spec.sequence_by), tie,
-                     cluster_by=cluster)
+    return Scd1Table(lake.path("silver", spec.name), list(spec.keys), list(spec.sequence_by), list(spec.tiebreak),
+                     cluster_by=cluster, schema=spec.bronze_columns())
 
 
 def build_silver(lake: Lake, specs=FINANCE_SPECS) -> None:
-    """Bring every silver table up to date with bronze.
+    """Bring every silver table up to date with bronze, within a run of the lake.
 
-    ``cdc`` tables are fed incrementally: a stream over the bronze table (whose
-    sink log lists only committed files) hands each new bronze batch to the
-    SCD-1 table, so a run touches only the data that arrived since the last
-    one. ``snapshot`` tables are the newest load of bronze.
+    ``cdc`` tables are fed incrementally: a stream over the marks of bronze
+    hands each newly published batch to the SCD-1 table, so a run touches only
+    the data that arrived since the last one, in whatever schema it was
+    written. ``snapshot`` tables are the newest load of bronze, of which only
+    the batches are read.
     """
     spark = lake.spark
     for spec in specs:
-        bronze_path = lake.path("bronze", spec.name)
+        bronze = lake.path("bronze", spec.name)
+        log = bronze_log(bronze, spec)
+        if spec.strategy == "cdc":
+            table = silver_table(lake, spec)
+            if not Files(spark).exists(log.batches):
+                continue
+
+            def take(marks: DataFrame, batch: int, table=table, log=log) -> None:
+                new = {r["batch"] for r in marks.select("batch").collect()}
+                if new:
+                    table.write_batch(log.read(spark, only=new), batch)
+
+            marks = spark.readStream.schema("value string, batch long").text(log.batches)
+            q = (marks.writeStream.foreachBatch(take).trigger(availableNow=True)
+                 .option("checkpointLocation", f"{lake.root}/_checkpoints/silver/{spec.name}").start())
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
+        elif spec.load_col == "_ingesttime":
+            lake.write_state(newest_load(spark, bronze, spec), "silver", spec.name)
+        else:
+            lake.write_state(silver(spec, log.read(spark)), "silver", spec.name)
+
+
+def describe_tables(lake: Lake, specs=FINANCE_SPECS) -> None:
+    """Comments and properties (keys, strategy) of the bronze and silver tables."""
+    for spec in specs:
         lake.describe("bronze", spec.name, f"Bronze {spec.name}: append-only ingest of {spec.fmt} extracts",
                       business_date=spec.business_date or "run date")
         lake.describe("silver", spec.name,
@@ -241,72 +324,68 @@ def build_silver(lake: Lake, specs=FINANCE_SPECS) -> None:
                                                  if spec.strategy == "cdc" else "latest full snapshot"),
                       keys=",".join(spec.keys), strategy=spec.strategy,
                       sequence_by=",".join(spec.sequence_by))
-        if spec.strategy == "cdc":
-            schema = read_bronze(spark, bronze_path).schema
-            stream = spark.readStream.schema(schema).parquet(bronze_path)
-            silver_table(lake, spec).run(stream, f"{lake.root}/_checkpoints/silver/{spec.name}")
-        else:
-            lake.write(silver(spec, read_bronze(spark, bronze_path)), "silver", spec.name)
 
 
 def read_silver(lake: Lake, spec: TableSpec, where=None) -> DataFrame:
     """Current silver table; ``where`` (on key columns) prunes before the upsert."""
     if spec.strategy == "cdc":
         return silver_table(lake, spec).read(lake.spark, where)
-    df = lake.read("silver", spec.name)
+    df = lake.read_state("silver", spec.name)
     return df if where is None else df.where(where)
 
 
 SETTLED, PENDING = "transacoes_efetivadas", "transacoes_pendentes"
 
 
-def _months(df: DataFrame) -> set:
-    """Distinct ``_businessmonth`` keys, None for undated rows (bounded by the calendar, not the data)."""
-    return {r[0] for r in df.select("_businessmonth").distinct().collect()}
+def _distinct(df: DataFrame, column: str) -> set:
+    """Distinct month keys, None for undated rows (bounded by the calendar, not the data)."""
+    return {r[0] for r in df.select(column).distinct().collect()}
 
 
 def run(spark: SparkSession, raw_root: str, lake_root: str, run_date, params: Params,
         version: int, specs: list[TableSpec] = FINANCE_SPECS, incremental: bool = True,
-        compact_every: int = 8, clean_source: str | None = None) -> Lake:
+        compact_every: int = 8, clean_source: str | None = None, keep_runs: int = KEPT_RUNS) -> Lake:
     """One triggered run of the whole pipeline.
 
     With ``incremental`` the gold fact is refreshed only for the months that
-    changed since the fact was last built: months of the settled change
-    batches after the gold watermark, months holding pending movements in the
-    fact (from its manifest) and months of the new pending snapshot. Both
-    references come from gold itself, so a run that failed half-way is redone
-    correctly by the next one.
+    changed since the published one: months of the settled change batches
+    after its watermark, months that hold pending movements in it, months of
+    the new pending snapshot, and months with movements of changed dimension
+    rows. All references come from the published manifest, so a run that
+    died is redone correctly by the next one, under any version. After a good
+    run, files that its manifests don't name are dropped and, with
+    ``clean_source``, the raw files that it has taken in.
     """
     lake = Lake(spark, lake_root)
     by_name = {sp.name: sp for sp in specs}
-    settled_tbl = silver_table(lake, by_name[SETTLED])
-
-    ingest_bronze(spark, lake, raw_root, run_date, specs, clean_source=clean_source)
-    build_silver(lake, specs)
-
-    months = None
-    where = None
-    last = settled_tbl.last_batch(spark)
-    built = gold_watermark(lake) if incremental else None
-    if built is not None:
-        old_pending = {m and m.replace("-", "")[:6] + "01" for m in (
-            r[0] for r in lake.read_state("gold", FACT_MONTHS).where("tem_pendentes")
-            .select("ano_mes").collect())}
-        touched = (old_pending | _months(read_silver(lake, by_name[PENDING]))
-                   | _months(settled_tbl.changes_since(spark, built)))
-        months = [m and month_key_of(m) for m in touched]
-        where = in_months("_businessmonth", touched)
-    s = {sp.name: read_silver(lake, sp) for sp in specs}
-    feeds = [read_silver(lake, by_name[n], where) for n in (SETTLED, PENDING)]
-    mov_cols = [c for c in feeds[0].columns if not c.startswith("_")]
-    build_gold(lake, movements=[f.select(*mov_cols) for f in feeds],
-               accounts=s["contas"], cards=s["cartoes"], categories=s["categorias"],
-               budgets=s["orcamentos"], params=params, version=version,
-               months=months, watermark=last)
-    build_marts(lake, params, version)
+    settled = silver_table(lake, by_name[SETTLED])
+
+    ingest_bronze(spark, lake, raw_root, run_date, specs)
+    with lake.run(version):
+        build_silver(lake, specs)
+        months, last = None, settled.last_batch(spark)
+        built = gold_watermark(lake) if incremental else None
+        if built is not None:
+            pending = read_silver(lake, by_name[PENDING])
+            new = _distinct(pending, "_businessmonth") | _distinct(settled.changes_since(spark, built), "_businessmonth")
+            months = {month_key_of(m) for m in new} | set(lake.notes().get("pending_months", []))
+        columns = by_name[SETTLED].columns().fieldNames()
+
+        def feeds(wanted) -> list[DataFrame]:
+            where = None if wanted is None else in_months("_businessmonth", [business_month_of(m) for m in wanted])
+            return [read_silver(lake, by_name[n], where).select(*columns) for n in (SETTLED, PENDING)]
+
+        dims = {n: read_silver(lake, by_name[n]) for n in ("contas", "cartoes", "categorias", "orcamentos")}
+        build_gold(lake, movements=feeds, accounts=dims["contas"], cards=dims["cartoes"], categories=dims["categorias"],
+                   budgets=dims["orcamentos"], params=params, version=version, months=months, watermark=last)
+        build_marts(lake, params, version)
+    describe_tables(lake, specs)
     for sp in specs:  # fold long change logs into a new base
         if sp.strategy == "cdc":
             t = silver_table(lake, sp)
             if t.last_batch(spark) - t.base_version(spark) >= compact_every:
                 t.compact(spark)
+    if clean_source:
+        purge_raw(lake, raw_root, clean_source, specs)
+    lake.retain(keep_runs)
     return lake

@@ -44,6 +44,26 @@ MARTS = {
 }
 
 
+# Tables kept beside the gold tables and read by the marts and by the next run.
+SUPPORT = {
+    "contas": "id bigint, nome string",
+    "cartoes": "id bigint, nome string",
+    "transacoes_categoria": ("ano_mes string, natureza string, agrupador string, categoria string, subcategoria string, "
+                             "valor decimal(28,2), valor_abs decimal(28,2), futuro_vendido decimal(28,2)"),
+    "transacoes_diario": "data_transacao date, ano_mes string, valor decimal(28,2)",
+    "transacoes_indice": "dimensao string, id bigint, ano_mes string",
+}
+
+
+def declared_schema(layer: str, table: str) -> StructType | None:
+    """Columns of a table that may have no data yet; None where none are declared."""
+    from finlake.specs import SPECS_BY_NAME
+    if layer in ("bronze", "silver"):
+        return SPECS_BY_NAME[table].bronze_columns() if table in SPECS_BY_NAME else None
+    ddl = ({**GOLD, **SUPPORT} if layer == "gold" else MARTS).get(table)
+    return struct(ddl) if ddl else None
+
+
 def struct(ddl: str) -> StructType:
     return _parse_datatype_string(ddl)
 

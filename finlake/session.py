@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -65,8 +66,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # Spark Connect: no SparkContext
             root = None
     if not root:  # local runs and tests only
-        if not (spark.conf.get("spark.master", None) or "local").startswith("local") \
-                or spark.conf.get("spark.master", "").startswith("local-cluster"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", None) or ""):
             raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="finlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -96,27 +96,33 @@ def local_path(path: str) -> str | None:
     return os.path.abspath(path)
 
 
+SCAN_TASKS = 100_000        # file splits grow beyond this many scan tasks
+SHUFFLE_TASKS = 20_000
+
+
 def scale_conf(input_bytes: int, cores: int, partition_mb: int = 256,
-               broadcast_mb: int = 64) -> dict[str, str]:
+               broadcast_mb: int = 64, shuffle_share: float = 0.05) -> dict[str, str]:
     """Session settings sized for a job that reads ``input_bytes`` on ``cores`` task slots.
 
-    * file splits of ``partition_mb`` so every scan task holds a bounded slice;
-    * an initial shuffle width of at least 3 tasks per core and one
-      ``partition_mb`` partition per input slice, which AQE coalesces down to
-      the advisory size after each stage (most shuffles here follow a partial
-      aggregate and are far smaller than the input);
+    * file splits of ``partition_mb``, larger where that gave more than
+      ``SCAN_TASKS`` tasks;
+    * a shuffle width for what is left after the partial aggregates
+      (``shuffle_share`` of the input), at least 3 tasks per core and at most
+      ``SHUFFLE_TASKS`` unless the cores ask for more: the blocks of a shuffle
+      are scan tasks times this width. AQE coalesces small partitions;
     * skew handling: a shuffle partition 5x the median and over 1 GB is split
       (joins, and the REBALANCE before partitioned writes);
     * broadcast only under ``broadcast_mb`` of measured size.
 
-    For 100 TB on 1,000 executors x 8 cores this gives 256 MB scan splits
-    (~400k scan tasks) and 409,600 initial shuffle partitions, coalesced at run
-    time.
+    For 100 TB on 1,000 executors x 8 cores this gives 1 GB scan splits
+    (100,000 scan tasks), 24,000 shuffle partitions of about 220 MB and
+    2.4 billion shuffle blocks.
     """
-    slices = -(-input_bytes // (partition_mb << 20))
-    width = max(3 * cores, slices)
+    split_mb = max(partition_mb, -(-input_bytes // (SCAN_TASKS << 20)))
+    shuffled = int(input_bytes * shuffle_share)
+    width = max(3 * cores, min(SHUFFLE_TASKS, -(-shuffled // (partition_mb << 20))))
     return {
-        "spark.sql.files.maxPartitionBytes": f"{partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{split_mb}m",
         "spark.sql.shuffle.partitions": str(width),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{partition_mb}m",

@@ -6,10 +6,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType, _parse_datatype_string
 
+from finlake.storage import Files
+
 
 def as_struct(schema) -> StructType:
     if isinstance(schema, StructType):
@@ -22,15 +24,39 @@ def as_struct(schema) -> StructType:
 def write_snapshot_csv(df: DataFrame, root: str, table: str, extraction_ts: str) -> str | None:
     """Write one extraction of ``table`` under ``<root>/<table>/extraction_ts=<ts>``.
 
-    Header row, no index; an empty extract writes nothing (returns None) so the
-    previous snapshot stays the latest one. Re-running the same extraction
-    overwrites only its own directory.
+    Header row, no index; an empty extract leaves nothing (returns None) so the
+    previous snapshot stays the latest one. The rows are counted by the write
+    itself. Re-running the same extraction overwrites only its own directory.
+    """
+    path, seen = f"{root.rstrip('/')}/{table}/extraction_ts={extraction_ts}", Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("header", True).csv(path)
+    if seen.get["rows"]:
+        return path
+    Files(df.sparkSession).delete(path)
+    return None
+
+
+def write_feeds_csv(df: DataFrame, root: str, feed: str, names, extraction_ts: str) -> dict[str, str | None]:
+    """Write one extraction of several tables, told apart by the column ``feed``, in one pass.
+
+    One write partitioned by ``feed`` goes to a staging folder; then the folder
+    of every table in ``names`` that has rows, by the counts that the write
+    itself observed, takes its place under ``<root>/<table>/extraction_ts=<ts>``.
     """
-    if df.isEmpty():
-        return None
-    path = f"{root.rstrip('/')}/{table}/extraction_ts={extraction_ts}"
-    df.write.mode("overwrite").option("header", True).csv(path)
-    return path
+    spark, names = df.sparkSession, list(names)
+    stage, seen, files = f"{root.rstrip('/')}/_stage/{extraction_ts}", Observation(), Files(df.sparkSession)
+    counts = [F.count_if(F.col(feed) == n).alias(n) for n in names]
+    (df.where(F.col(feed).isin(names)).observe(seen, *counts).write.mode("overwrite").option("header", True)
+     .partitionBy(feed).csv(stage))
+    out: dict[str, str | None] = {}
+    for name in names:
+        path = f"{root.rstrip('/')}/{name}/extraction_ts={extraction_ts}"
+        files.delete(path)
+        out[name] = path if seen.get[name] else None
+        if out[name]:
+            files.rename(f"{stage}/{feed}={name}", path)
+    Files(spark).delete(stage)
+    return out
 
 
 def read_snapshot_csv(spark: SparkSession, root: str, table: str, schema) -> DataFrame:

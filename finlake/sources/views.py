@@ -20,45 +20,18 @@ tables so the work grows with the scale factor:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from finlake import constants as K
 from finlake.functions.dates import month_start
 from finlake.functions.money import money
+from finlake.params import Params
 
 
-@dataclass(frozen=True)
-class Params:
-    """Run parameters of the marts over the test tables."""
-    as_of: str = "1999-01-01"
-    start_month: str = "1998-01-01"
-    lifestyle_parents: tuple = ("SMALL", "MEDIUM")
-    salary_subcategory: str = "Brand#1"
-    instalment_subcategory: str = "Brand#2"
-    interest_rate: str = K.INTEREST_RATE
-    income_parent: str = "PROMO"
-    dedupe_categories: bool = False
-    extras: dict = field(default_factory=dict)
-
-
-TEST_PARAMS = Params()
-
-
-def production_params(run_date, start_month: str | None = None) -> Params:
-    """Parameters of a scheduled run: the cut-off is the first day of the run
-    month, the income report starts in January of the run year, and the
-    category names are the source system's fixed values."""
-    import datetime as _dt
-    d = _dt.date.fromisoformat(str(run_date)[:10])
-    return Params(as_of=d.replace(day=1).isoformat(),
-                  start_month=start_month or d.replace(month=1, day=1).isoformat(),
-                  lifestyle_parents=tuple(K.LIFESTYLE_PARENTS),
-                  salary_subcategory=K.SALARY_SUBCATEGORY,
-                  instalment_subcategory=K.INSTALMENT_SUBCATEGORY,
-                  income_parent=K.GROUP_INCOME)
+# Parameters over the test tables.
+TEST_PARAMS = Params(as_of="1999-01-01", start_month="1998-01-01", lifestyle_parents=("SMALL", "MEDIUM"),
+                     salary_subcategory="Brand#1", instalment_subcategory="Brand#2", income_parent="PROMO")
 
 
 class Tables:

@@ -8,10 +8,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from finlake.operators.cdc import latest_snapshot, scd1_upsert
 
 MONEY = "decimal(18,2)"
+RESCUED = "_rescued"        # JSON of the raw texts that their column's type can't hold
 
 CARDS_SCHEMA = "id bigint, nome string"
 ACCOUNTS_SCHEMA = "id bigint, nome string"
@@ -36,6 +38,16 @@ class TableSpec:
     load_col: str = "_ingesttime"      # column or SQL expression identifying a load
     fmt: str = "csv"
 
+    def columns(self) -> StructType:
+        """The declared columns; files may name more."""
+        return StructType.fromDDL(self.schema) if self.schema else StructType([])
+
+    def bronze_columns(self) -> StructType:
+        """Columns of the bronze table before any file came: declared ones, rescued texts, audit."""
+        text = [StructField(n, StringType()) for n in (RESCUED, "_processdate", "_businessdate", "_businessmonth")]
+        return StructType([*self.columns().fields, *text, StructField("_ingesttime", TimestampType()),
+                           StructField("_sourcefile", StringType())])
+
 
 FINANCE_SPECS = [
     TableSpec("cartoes", CARDS_SCHEMA, ("id",)),

@@ -1,8 +1,10 @@
 """SCD-1 upsert from an append stream, as a log-structured table.
 
 Each micro-batch is reduced to one winner per key (``scd1_upsert``) and written
-to ``<root>/changes/batch=<id>``; a replayed batch overwrites its own directory,
-so the sink is exactly-once without row-level table operations. The current
+as a batch of the log ``<root>/changes`` (``finlake.storage.BatchLog``); a
+replayed batch replaces its own, so the sink is exactly-once without row-level
+table operations. A table without batches has no rows, and the columns of
+``schema`` where that is declared. The current
 state is the SCD-1 winner over the latest compacted base plus later change
 batches; :meth:`Scd1Table.compact` folds the log into a new base version.
 Sequence ordering is global, so a late row with an older sequence never wins,
@@ -13,12 +15,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from finlake.operators.cdc import scd1_upsert
-from finlake.session import absent
+from finlake.storage import BatchLog, read_notes, write_note
 
 
 @dataclass
@@ -28,10 +29,15 @@ class Scd1Table:
     sequence_by: list
     tiebreak: list | None = None
     cluster_by: str | None = None   # key column the compacted base is clustered on
+    schema: StructType | None = None
+
+    @property
+    def log(self) -> BatchLog:
+        return BatchLog(f"{self.root}/changes", self.schema)
 
     @property
     def changes(self) -> str:
-        return f"{self.root}/changes"
+        return self.log.rows
 
     @property
     def base(self) -> str:
@@ -47,7 +53,7 @@ class Scd1Table:
         out = self._upsert(batch)
         if self.cluster_by:
             out = out.sortWithinPartitions(self.cluster_by)
-        out.write.mode("overwrite").parquet(f"{self.changes}/batch={batch_id}")
+        self.log.write(out, batch_id)
 
     def run(self, stream: DataFrame, checkpoint: str, available_now: bool = True):
         q = (stream.writeStream.foreachBatch(self.write_batch)
@@ -60,21 +66,13 @@ class Scd1Table:
                 raise h.exception()
         return h
 
-    def _exists(self, spark: SparkSession, path: str) -> bool:
-        try:
-            spark.read.parquet(path).limit(0).collect()
-            return True
-        except AnalysisException as e:
-            if absent(e):
-                return False
-            raise
-
-    def _published(self, spark: SparkSession) -> int:
+    def _base(self, spark: SparkSession) -> tuple[int, DataFrame | None]:
         """Newest base whose write was completed (-1 when none); a base without its mark is never read."""
-        if not self._exists(spark, f"{self.base}_published"):
-            return -1
-        v = spark.read.parquet(f"{self.base}_published").select(F.max("v")).first()[0]
-        return -1 if v is None else int(v)
+        notes = read_notes(spark, f"{self.base}_published", "v")
+        if not notes:
+            return -1, None
+        v, note = notes[-1]
+        return v, spark.read.schema(StructType.fromJson(note["schema"])).parquet(f"{self.base}/v={v}")
 
     def read(self, spark: SparkSession, where=None) -> DataFrame:
         """Current state: winner per key over base (latest version) + newer changes.
@@ -83,38 +81,35 @@ class Scd1Table:
         columns only, so it is applied below the SCD-1 aggregate and reaches
         the Parquet scans (row groups outside the keys are skipped).
         """
-        parts = []
-        newest = self._published(spark)
-        if newest >= 0:
-            parts.append(("base", spark.read.parquet(f"{self.base}/v={newest}"), newest))
-        c = spark.read.parquet(self.changes).where(F.col("batch") > newest)
-        parts.append(("changes", c.drop("batch"), None))
-        u = parts[0][1] if len(parts) == 1 else parts[0][1].unionByName(parts[1][1])
+        newest, base = self._base(spark)
+        u = self.log.read(spark, after=newest)
+        if base is not None:
+            types = dict(u.dtypes)
+            wider = {c: base[c].try_cast(types[c]) for c, t in base.dtypes if c in types and types[c] != t}
+            u = base.withColumns(wider).unionByName(u, allowMissingColumns=True)
         if where is not None:
             u = u.where(where)
         return self._upsert(u)
 
     def base_version(self, spark: SparkSession) -> int:
-        return self._published(spark)
+        return self._base(spark)[0]
 
     def last_batch(self, spark: SparkSession) -> int:
-        """Id of the newest change batch (-1 when none); one scalar to the driver."""
-        if not self._exists(spark, self.changes):
-            return -1
-        v = spark.read.parquet(self.changes).select(F.max("batch")).first()[0]
-        return -1 if v is None else int(v)
+        """Id of the newest change batch (-1 when none)."""
+        return self.log.last(spark)
 
     def changes_since(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """Change rows of the batches after ``batch_id`` (partition-pruned)."""
-        return spark.read.parquet(self.changes).where(F.col("batch") > F.lit(batch_id)).drop("batch")
+        return self.log.read(spark, after=batch_id)
 
     def compact(self, spark: SparkSession) -> None:
         """Fold the change log into base version ``v = <last batch id>``."""
-        last = spark.read.parquet(self.changes).select(F.max("batch")).first()[0]
-        if last is None or last <= self._published(spark):
+        last = self.last_batch(spark)
+        if last <= self.base_version(spark):
             return
         state = self.read(spark)
+        kept = state.schema.jsonValue()
         if self.cluster_by:  # files hold few key ranges each: min/max statistics prune well
             state = state.hint("rebalance", self.cluster_by).sortWithinPartitions(self.cluster_by)
         state.write.mode("overwrite").parquet(f"{self.base}/v={last}")
-        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{self.base}_published/v={last}")
+        write_note(spark, f"{self.base}_published/v={last}", {"schema": kept})

@@ -55,7 +55,7 @@ def test_clamp_and_interest(spark):
 
 def test_production_params_follow_the_run_date():
     from finlake import constants as K
-    from finlake.sources.views import production_params
+    from finlake.params import production_params
     p = production_params("2024-03-17")
     assert (p.as_of, p.start_month) == ("2024-03-01", "2024-01-01")
     assert list(p.lifestyle_parents) == K.LIFESTYLE_PARENTS

@@ -66,6 +66,6 @@ def test_scd1_hot_key_reduced_map_side(spark):
 
 def test_scale_conf_for_100tb():
     c = scale_conf(100 << 40, cores=8000)
-    assert c["spark.sql.files.maxPartitionBytes"] == "256m"
-    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert c["spark.sql.files.maxPartitionBytes"] == "1049m"
+    assert int(c["spark.sql.shuffle.partitions"]) == 24000
     assert c["spark.sql.autoBroadcastJoinThreshold"] == "64m"
