@@ -5,12 +5,14 @@ ones were seen); each micro-batch reads those files by layout
 (``finlake.sources.layouts``), so a column added in the middle, dropped or
 moved never shifts values, and writes them as one batch of a
 :class:`~finlake.storage.BatchLog`.  The batch's mark holds its load time, run
-date, schema, counts of rows and of rows with unreadable values, and its files.
+date, schema, counts of rows and of rows with unreadable values, and a digest
+of its files, which are listed beside it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import os
 from collections import defaultdict
 from functools import reduce
@@ -51,6 +53,10 @@ def _groups(spark: SparkSession, spec: TableSpec, files: list[str]) -> dict[tupl
     return {names: read_layout(spark, paths, names) for names, paths in layouts.items()}
 
 
+def _digest(files: list[str]) -> str:
+    return hashlib.sha256("\n".join(files).encode()).hexdigest()
+
+
 def load_files(spark: SparkSession, spec: TableSpec, files: list[str], log: BatchLog, registry: Registry, batch: int,
                run_date, ingest_time: dt.datetime) -> None:
     """Read ``files`` and publish their rows as ``batch``."""
@@ -72,9 +78,11 @@ def load_files(spark: SparkSession, spec: TableSpec, files: list[str], log: Batc
 
     def facts() -> dict:
         counts = seen.get if rows else {"rows": 0, "bad_rows": 0}
-        return {"run_date": run_date_key(run_date), "ingest_time": ingest_time.isoformat(), "files": files,
+        return {"run_date": run_date_key(run_date), "ingest_time": ingest_time.isoformat(), "files": _digest(files),
                 "rows": counts["rows"], "bad_rows": counts["bad_rows"], "schema_version": registry.version}
 
+    spark.createDataFrame([(f,) for f in files], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{log.root}/files/batch={batch}")
     log.write(out, batch, facts)
 
 
@@ -97,7 +105,7 @@ def run_bronze(spark: SparkSession, spec: TableSpec, source_dir: str, target_dir
         files = sorted(r["path"] for r in paths.collect())
         done = dict(log.marks(spark)).get(batch)
         if done is not None:
-            if done["facts"].get("files") != files:
+            if done["facts"].get("files") != _digest(files):
                 raise ValueError(f"{target_dir} has a batch {batch} of other files: its checkpoint {checkpoint} was replaced")
             return
         if files:
@@ -140,8 +148,8 @@ def purge(spark: SparkSession, target_dir: str, source_dir: str, how: str = "del
     files, log, gone = Files(spark), bronze_log(target_dir), 0
     done = max((n for n, _ in read_notes(spark, f"{target_dir}/purged", "batch")), default=-1)
     new = [(n, m) for n, m in log.marks(spark) if n > done]
-    for _, mark in new:
-        for path in mark["facts"].get("files", ()):
+    for n, _ in new:
+        for path in (r["value"] for r in spark.read.text(f"{log.root}/files/batch={n}").toLocalIterator()):
             if files.exists(path):
                 if how == "archive":
                     inside = path.partition(source_dir.rstrip("/").partition(":")[2] or source_dir.rstrip("/"))[2]
