@@ -12,9 +12,10 @@ occur in different documents, it is found as several runs that overlap.
 Only hashes are shuffled, eight bytes a line, never texts.
 
 Defined results: null text has no lines; blank lines are neither counted nor
-deleted; a null ``doc_id`` takes no part; of rows that share a ``doc_id`` the
-least text is compared; an empty table gives an empty result; other columns do
-not matter.
+deleted; a null ``doc_id`` takes no part; rows that share a ``doc_id`` but not
+their text are documents of their own, the greater texts later than all ids;
+rows with equal id and text are one; texts of any length are read whole; an
+empty table gives an empty result; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import SPACE_CLASS, materialise, one_text_per_id, ship, text_of
+from finlake.llm.common import SPACE_CLASS, ids_of, materialise, rows_with_nodes, ship, text_nodes, text_of
 from finlake.llm.wordhash import shingles
 
 MIN_RUN = 3
@@ -68,8 +69,13 @@ def extended(a: np.ndarray, b: np.ndarray, at: int, to: int) -> tuple[int, int,
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """A row per run of lines that occurs earlier; positions count lines that hold a word."""
-    ship(docs.sparkSession)
-    lines = materialise(one_text_per_id(docs).select("doc_id", _line_hashes(F.col("text")).alias("hashes")), "lines")
+    nodes, later = text_nodes(docs)
+    return ids_of(_repeated(nodes), later, "doc_id", "source_doc_id")
+
+
+def _repeated(nodes: DataFrame) -> DataFrame:
+    ship(nodes.sparkSession)
+    lines = materialise(nodes.select("doc_id", _line_hashes(F.col("text")).alias("hashes")), "lines")
     prints = materialise(_prints(lines), "line-prints")
     first = (prints.groupBy("print").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").select("print", F.col("first.doc_id").alias("source"), F.col("first.pos").alias("to")))
@@ -99,7 +105,8 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
 def drop_runs(docs: DataFrame) -> DataFrame:
     """``docs`` without the later repeated runs of lines; blank lines stay."""
-    runs = materialise(repeated_runs(docs), "line-runs").groupBy(F.col("doc_id").alias("_run_doc")).agg(
+    nodes, later = text_nodes(docs)
+    runs = materialise(_repeated(nodes), "line-runs").groupBy(F.col("doc_id").alias("node")).agg(
         F.collect_list(F.struct("start_line", "end_line")).alias("_runs"))
 
     @F.pandas_udf("string")
@@ -114,8 +121,7 @@ def drop_runs(docs: DataFrame) -> DataFrame:
             out.append("\n".join(kept))
         return pd.Series(out, dtype=object)
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = rows.join(runs, F.col("row.doc_id") == F.col("_run_doc"), "left")
+    joined = rows_with_nodes(docs, later).join(runs, "node", "left")
     text = F.when(F.col("_runs").isNotNull(), cut(text_of("row.text"), F.coalesce("_runs", F.array()))).otherwise(
         F.col("row.text"))
     return joined.select(*[(text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -23,9 +23,11 @@ large group of copies costs a row each, and buckets are reduced before they
 are shuffled.
 
 Defined results: null text is empty, and texts without words are copies of
-each other; rows with the same ``doc_id`` are one document; a null ``doc_id``
+each other; rows that share a ``doc_id`` but not their text are documents of
+their own, the greater texts later than all ids; a null ``doc_id``
 is in no class (``class_id`` null, kept); repeated rows are repeated in the
-result; an empty table gives an empty one; other columns do not matter.
+result; texts of any length are compared whole; an empty table gives an empty
+one; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import materialise, ship, text_of
+from finlake.llm.common import ids_of, materialise, rows_with_nodes, ship, text_nodes, text_of
 from finlake.llm.components import components
 from finlake.llm.wordhash import edits_within, mix, shingles, word_hashes
 
@@ -202,10 +204,20 @@ def _rest(shared: DataFrame, classes: DataFrame | None, texts: DataFrame, simila
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """One row per input row: doc_id, class_id (least doc_id of the class), kept."""
+    """One row per input row: doc_id, class_id (doc_id of the first document of the class), kept."""
+    nodes, later = text_nodes(docs)
+    classes = _classes(nodes, similarity)
+    rows = rows_with_nodes(docs.select("doc_id", "text"), later).select(F.col("row.doc_id").cast("long").alias("doc_id"), "node")
+    labelled = rows.join(classes, "node", "left").select(
+        "doc_id", F.coalesce("class_id", "node").alias("class_id"),
+        F.coalesce(F.coalesce("class_id", "node") == F.col("node"), F.lit(True)).alias("kept"))
+    return ids_of(labelled, later, "class_id")
+
+
+def _classes(docs: DataFrame, similarity: float) -> DataFrame:
+    """(node, class_id) of the documents that are in a class with others; a class has its least node's number."""
     ship(docs.sparkSession)
-    sketches = materialise(_sketch(docs), "sketches")
-    known = sketches.where("doc_id IS NOT NULL")
+    known = materialise(_sketch(docs), "sketches")
     nodes = known.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("keys").alias("keys"))
     members = materialise(nodes.select("node", F.explode(F.array_distinct("keys")).alias("key")), "members")
     shared = members.join(members.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
@@ -217,7 +229,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         .join(shared.select("node").distinct(), "node", "left_semi")
         .groupBy("node").agg(F.min("text").alias("text")), "candidate-texts")
 
-    # copies are links of their own: a doc_id with several texts joins their classes
+    # documents with the same words are links from the start
     links = known.join(nodes.select("digest", "node"), "digest").where("doc_id <> node").select(
         F.col("doc_id").alias("a"), F.col("node").alias("b")).distinct()
     tried, open_members, classes, turn = None, shared, None, 0
@@ -246,19 +258,14 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             break
         turn += 1
     pairs = materialise(_rest(shared, classes, texts, similarity).join(tried, ["a", "b"], "left_anti"), "rest-pairs")
-    classes = materialise(components(links.unionByName(_verify(pairs, texts, similarity))), "classes")
-    return known.select("doc_id").unionByName(sketches.where("doc_id IS NULL").select("doc_id")).join(
-        classes.select(F.col("node").alias("doc_id"), "class_id"), "doc_id", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce(F.coalesce("class_id", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return materialise(components(links.unionByName(_verify(pairs, texts, similarity))), "classes")
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` without the documents whose class has a lower id; of rows with the same id one stays."""
-    classes = materialise(near_classes(docs, similarity), "near-classes")
-    repeated = classes.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    left = docs.join(classes.where("NOT kept").select("doc_id").distinct(), "doc_id", "left_anti")
-    if not repeated.isEmpty():
-        left = left.join(repeated, "doc_id", "left_anti").unionByName(
-            left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the documents whose class has an earlier one; of equal rows (id and text) one stays."""
+    nodes, later = text_nodes(docs)
+    lost = _classes(nodes, similarity).where("node <> class_id").select("node")
+    left = rows_with_nodes(docs, later).join(lost, "node", "left_anti")
+    if later is not None:
+        left = left.where("node IS NULL").unionByName(left.where("node IS NOT NULL").dropDuplicates(["node"]))
+    return left.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

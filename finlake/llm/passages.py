@@ -22,10 +22,11 @@
    document that has it: equal runs are passages by themselves, and every word
    of a common run of ``MIN_WORDS + SPREAD - 1`` words is covered.
 
-Defined results: null text is empty; a null ``doc_id`` takes no part; of rows
-that share a ``doc_id`` the least text is compared, and other texts of that id
-stay as they are; repetition inside one document is no passage; an empty table
-gives an empty result; other columns do not matter.
+Defined results: null text is empty; a null ``doc_id`` takes no part; rows that
+share a ``doc_id`` but not their text are documents of their own, the greater
+texts later than all ids; rows with equal id and text are one; repetition
+inside one document is no passage; texts of any length are read whole; an empty
+table gives an empty result; other columns do not matter.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import SPACE_CLASS, materialise, one_text_per_id, ship, text_of, words_of
+from finlake.llm.common import SPACE_CLASS, ids_of, materialise, rows_with_nodes, ship, text_nodes, text_of, words_of
 from finlake.llm.wordhash import edits_within, mix, shingles, word_hashes
 
 SEED_WORDS = 6
@@ -314,8 +315,12 @@ def _exact(base: DataFrame, found: DataFrame) -> DataFrame:
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """A row per passage that an earlier document (by id) has too; positions count words."""
-    ship(docs.sparkSession)
-    base = one_text_per_id(docs)
+    nodes, later = text_nodes(docs)
+    return ids_of(_repeated(nodes), later, "doc_id", "source_doc_id")
+
+
+def _repeated(base: DataFrame) -> DataFrame:
+    ship(base.sparkSession)
     seeds = _seeds(base)
     shared = seeds.groupBy("seed").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
     shared = shared.where("source < last").select("seed", "source")
@@ -347,7 +352,8 @@ def drop_passages(docs: DataFrame) -> DataFrame:
     ``n_chars`` is counted anew where the column exists; a document of which no
     word is left goes.
     """
-    spans = materialise(repeated_passages(docs), "passages").groupBy(F.col("doc_id").alias("_passage_doc")).agg(
+    nodes, later = text_nodes(docs)
+    spans = materialise(_repeated(nodes), "passages").groupBy(F.col("doc_id").alias("node")).agg(
         F.collect_list(F.struct("start_word", "end_word")).alias("_passages"))
 
     @F.pandas_udf("string")
@@ -355,8 +361,7 @@ def drop_passages(docs: DataFrame) -> DataFrame:
         return pd.Series([t if f is None else cut_words(t, [(s["start_word"], s["end_word"]) for s in f])
                           for t, f in zip(text, found, strict=True)], dtype=object)
 
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    joined = rows.join(spans, F.col("row.doc_id") == F.col("_passage_doc"), "left")
+    joined = rows_with_nodes(docs, later).join(spans, "node", "left")
     left = joined.withColumn("_text", F.when(F.col("_passages").isNotNull(), cut(text_of("row.text"), "_passages"))
                              .otherwise(F.col("row.text")))
     left = left.where(F.col("_passages").isNull() | F.col("_text").rlike(f"[^{SPACE_CLASS}]"))

@@ -235,3 +235,30 @@ def test_exact_repeats_whose_parts_occur_earlier_are_covered(spark):
            for at in range(r.start_word, r.end_word)}
     assert want <= got
     assert {i % 10 for i, _ in got} == {3}
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    """No word of an unrelated text with a used id is lost, and copies under a used id are found."""
+    lines = lambda n, seed: "\n".join(" ".join(words(6, 1000 * seed + k)) for k in range(n))
+    shared, own, other = words(80, 31), words(120, 32), words(120, 33)
+    first, copy = " ".join(shared + own), " ".join(words(30, 34) + shared + words(30, 35))
+    block = lines(5, 36)
+    rows = [(1, first), (5, "a " + " ".join(other)), (5, "b " + copy), (5, "b " + copy), (5, "c\n" + block), (7, block + "\nz"),
+            (8, " ".join(edited(shared + own, 4, 37))), (8, "unrelated " + " ".join(words(90, 38))), (None, first)]
+    docs = frame(spark, rows)
+    texts = lambda df: sorted((r.doc_id or 0, r.text) for r in df.collect())
+    near = texts(near_dedup.drop_near_duplicates(docs))
+    gone = sorted(set((i or 0, t) for i, t in rows) - set(near))
+    assert gone == sorted([(8, rows[6][1]), (5, rows[4][1])]) and len(near) == len(set(near))
+    classes = near_dedup.near_classes(docs).collect()
+    assert len(classes) == len(rows) and sorted((r.doc_id, r.class_id) for r in classes if not r.kept) == [(5, 7), (8, 1)]
+    cut = texts(passages.drop_passages(docs))
+    assert len(cut) == len(rows) - 1              # the near copy under id 8 is one passage, and goes
+    for i, t in [(5, rows[1][1]), (8, rows[7][1]), (7, rows[5][1]), (1, first), (0, first), (5, rows[4][1])]:
+        assert (i, t) in cut
+    found = {(r.doc_id, r.source_doc_id) for r in passages.repeated_passages(docs).collect()}
+    assert (5, 1) in found and all(max(x) <= 8 for x in found)
+    assert all(not t.startswith("b ") or " ".join(shared[5:75]) not in t for _, t in cut)
+    left = texts(line_dedup.drop_runs(docs))
+    assert len(left) == len(rows) and (5, "c") in left and (7, block + "\nz") in left
+    assert {t for _, t in left} >= {t for _, t in rows if block not in t}
