@@ -2,19 +2,21 @@
 
 For every text, the distribution of its characters over ``CLASSES`` and of its
 words over the common words of its language is compared with the language's
-reference by the Jensen-Shannon divergence (base 2, so 0..1).  The references
-are the pooled counts of all documents of the language with at least
-``MIN_WORDS`` words: one aggregate with a row per known language and one for
-all others, at most ``len(COMMON_WORDS) + 1`` rows whatever the corpus.
+reference by the Jensen-Shannon distance (the root of the divergence, base 2,
+so 0..1).  The references are the pooled counts of all documents of the
+language with at least ``MIN_WORDS`` words, for every value of ``lang`` that
+the corpus holds: one aggregate, written as a table and joined by language.
 
 Guards: a text under ``MIN_WORDS`` words fails the base rules and is not
-compared; the word histogram is compared from ``MIN_WORDS`` words on and only
-for languages with a word list, with a limit that widens for short texts,
-whose histograms are noisy.
-
-Defined results: null or empty text has no words and fails the base rules; a
-null or unknown ``lang`` is compared with the pooled reference by characters
-only; repeated rows give repeated results; an empty table gives an empty one.
+compared; a language with under ``REFERENCE_WORDS`` words in all is judged by
+the base rules only; words are compared only for languages with a word list;
+limits widen for short texts, whose histograms are noisy.
+
+Defined results: null or empty text has no words and fails the base rules;
+rows without a ``lang`` are a language of their own; a language without a word
+list is compared by characters only; repeated rows give repeated results; texts
+of any length are read whole; an empty table gives an empty one; other columns
+do not matter and are kept in ``row``.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from finlake.llm.common import SPACE_CLASS, materialise, text_of, words_of
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+REFERENCE_WORDS = 1000
 CLASSES = ["lower", "upper", "letter", "digit", "space", "point", "symbol"]
 SYMBOLS = r"[#*$%&|<>]"
 # Removed from the text one after another, the most frequent class first, so that later patterns see a short rest;
@@ -42,7 +45,7 @@ COMMON_WORDS = {
 }
 SLOTS = 16
 
-# The limits: divergence <= LIMIT + NOISE / n_words, as a short text's histogram strays further.
+# The limits: distance <= sqrt(LIMIT + NOISE / n_words), as a short text's histogram strays further.
 CHAR_LIMIT, CHAR_NOISE = 0.04, 2.0
 WORD_LIMIT, WORD_NOISE = 0.03, 4.5
 
@@ -98,22 +101,20 @@ def _features(docs: DataFrame, full: bool) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop("at")
 
 
-def language_references(docs: DataFrame) -> dict[str, dict[str, list[float]]]:
-    """Pooled distributions per known language, and '' for all documents together."""
-    cols = [f"c_{c}" for c in CLASSES] + [f"w_{i}" for i in range(SLOTS)] + ["n_words"]
-    known = F.when(F.col("lang").isin(*COMMON_WORDS), F.col("lang")).otherwise(F.lit(""))
+def language_references(docs: DataFrame) -> DataFrame:
+    """(language, ref_chars, ref_words): pooled distributions of every language with enough text."""
+    sums = {c: F.sum(c).cast("double") for c in [*(f"c_{c}" for c in CLASSES), *(f"w_{i}" for i in range(SLOTS)), "n_words"]}
     rows = (_features(docs, full=False).where(F.col("n_words") >= MIN_WORDS)
-            .groupBy(known.alias("lang")).agg(*[F.sum(c).alias(c) for c in cols]).collect())
-    sums = {r["lang"]: {c: float(r[c]) for c in cols} for r in rows}
-    sums[""] = {c: sum(s[c] for s in sums.values()) for c in cols}
-    out = {}
-    for lang, s in sums.items():
-        chars = [s[f"c_{c}"] for c in CLASSES]
-        hits = [s[f"w_{i}"] for i in range(SLOTS)]
-        hits.append(max(s["n_words"] - sum(hits), 0.0))
-        out[lang] = {"chars": [x / max(sum(chars), 1.0) for x in chars],
-                     "words": [x / max(sum(hits), 1.0) for x in hits]}
-    return out
+            .groupBy(F.coalesce("lang", F.lit("")).alias("language")).agg(*[v.alias(c) for c, v in sums.items()])
+            .where(F.col("n_words") >= REFERENCE_WORDS))
+    hits = [F.col(f"w_{i}") for i in range(SLOTS)]
+    rows = rows.withColumns({"chars": F.array(*[F.col(f"c_{c}") for c in CLASSES]),
+                             "hits": F.array(*hits, F.greatest(F.col("n_words") - sum(hits[1:], hits[0]), F.lit(0.0)))})
+
+    def shares(column: str) -> Column:
+        total = F.greatest(F.aggregate(column, F.lit(0.0), lambda a, x: a + x), F.lit(1.0))
+        return F.transform(column, lambda x: x / total)
+    return rows.select("language", shares("chars").alias("ref_chars"), shares("hits").alias("ref_words"))
 
 
 def _divergence(counts: list[Column], total: Column, ref: list[Column]) -> Column:
@@ -129,37 +130,40 @@ def _divergence(counts: list[Column], total: Column, ref: list[Column]) -> Colum
 
 
 def assess(docs: DataFrame) -> DataFrame:
-    """``docs`` as ``row`` with base counts, divergences, ``base_failed`` and ``kept``."""
-    refs = language_references(docs)
+    """``docs`` as ``row`` with base counts, distances, ``base_failed`` and ``kept``.
+
+    The references are written first, so their size is known when the join is
+    planned: a few rows are broadcast, any number is joined.
+    """
+    refs = materialise(language_references(docs), "references")
     df = _features(docs, full=True)
+    df = df.join(refs, F.coalesce("lang", F.lit("")) == F.col("language"), "left")
 
     def ref(kind: str, n: int) -> list[Column]:
-        cols = []
-        for i in range(n):
-            c = F.lit(refs[""][kind][i])
-            for lang in COMMON_WORDS:
-                if lang in refs:
-                    c = F.when(F.col("lang") == lang, F.lit(refs[lang][kind][i])).otherwise(c)
-            cols.append(c)
-        return cols
+        return [F.get(f"ref_{kind}", F.lit(i)) for i in range(n)]
+
+    def distance(counts: list[Column], total: Column, kind: str) -> Column:
+        d = _divergence(counts, total, ref(kind, len(counts)))
+        return F.when(F.col("language").isNotNull(), F.sqrt(F.greatest(F.coalesce(d, F.lit(0.0)), F.lit(0.0))))
+
+    def fits(column: str, limit: float, noise: float) -> Column:
+        return F.coalesce(F.col(column) <= F.sqrt(F.lit(limit) + F.try_divide(F.lit(noise), F.col("n_words"))), F.lit(True))
 
     chars = [F.col(f"c_{c}") for c in CLASSES]
     hits = [F.col(f"w_{i}") for i in range(SLOTS)]
     n_hits = sum(hits[1:], hits[0])
-    n_chars = sum(chars[1:], chars[0])
     base_failed = ((F.col("n_words") < MIN_WORDS)
                    | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     df = df.withColumns({
-        "char_divergence": F.coalesce(_divergence(chars, n_chars, ref("chars", len(CLASSES))), F.lit(0.0)),
-        "word_divergence": F.when(F.col("lang").isin(*COMMON_WORDS), F.coalesce(_divergence(
-            [*hits, F.col("n_words") - n_hits], F.col("n_words"), ref("words", SLOTS + 1)), F.lit(0.0))),
+        "char_distance": distance(chars, sum(chars[1:], chars[0]), "chars"),
+        "word_distance": F.when(F.col("lang").isin(*COMMON_WORDS),
+                                distance([*hits, F.col("n_words") - n_hits], F.col("n_words"), "words")),
         "base_failed": base_failed})
-    fits = ((F.col("char_divergence") <= F.lit(CHAR_LIMIT) + F.try_divide(F.lit(CHAR_NOISE), F.col("n_words")))
-            & F.coalesce(F.col("word_divergence") <= F.lit(WORD_LIMIT)
-                         + F.try_divide(F.lit(WORD_NOISE), F.col("n_words")), F.lit(True)))
-    return df.withColumn("kept", ~F.col("base_failed") & F.coalesce(fits, F.lit(True))).select(
+    kept = (~F.col("base_failed") & fits("char_distance", CHAR_LIMIT, CHAR_NOISE)
+            & fits("word_distance", WORD_LIMIT, WORD_NOISE))
+    return df.withColumn("kept", kept).select(
         "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "char_divergence", "word_divergence", "base_failed", "kept")
+        "char_distance", "word_distance", "base_failed", "kept")
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

@@ -1,9 +1,12 @@
 """Exact dedup and quality rules against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
+import numpy as np
+import regex
 from pyspark.sql import functions as F
 
 from finlake.llm import exact_dedup, quality_rules
@@ -76,3 +79,58 @@ def test_quality_divergence_rejects_strange_texts(spark):
     kept = {r.doc_id for r in quality_rules.keep_good(docs).collect()}
     assert kept == {i for i, _ in good}
     assert quality_rules.assess(docs.limit(0)).count() == 0
+
+
+def russian(n, seed):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("абвгдежзиклмнопрстуя") for _ in range(r.randint(2, 8))) for _ in range(n)) + "."
+
+
+def test_every_language_has_its_own_reference(spark):
+    """Clean texts of a language without a word list, in whatever script, are kept; strange ones go."""
+    clean = [(i, russian(120, i)) for i in range(20)] + [(100 + i, english(120, i)) for i in range(20)]
+    odd = [(50, russian(120, 50).upper().replace(" ", " !!! ")), (51, " | ".join(words(150, 8)) + " ###")]
+    docs = frame(spark, clean + odd).withColumn("lang", F.when(F.col("doc_id") < 100, "ru").otherwise("en"))
+    assert {r.doc_id for r in quality_rules.keep_good(docs).collect()} == {i for i, _ in clean}
+    few = frame(spark, [(i, russian(120, i)) for i in range(5)]).withColumn("lang", F.lit("uk"))
+    assert quality_rules.keep_good(few).count() == 5              # too little text: base rules only
+    unnamed = frame(spark, clean[:20]).withColumn("lang", F.lit(None).cast("string"))
+    assert quality_rules.keep_good(unnamed).count() == 20
+
+
+def test_quality_verdict_by_plain_counting(spark):
+    """Distances and verdicts against plain numpy over the same histograms."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = {r.doc_id: r for r in quality_rules.assess(docs).select(
+        "row.doc_id", "char_distance", "word_distance", "base_failed", "kept").collect()}
+    rows = [(r.doc_id, r.lang, r.text or "") for r in docs.collect()]
+
+    def histogram(text):
+        rest, out = text, []
+        for pattern in (r"[a-z]+", r"[ \t-\r]+", r"(?:(?![A-Za-z])[\p{L}\p{M}])+", r"[A-Z]+", r"[.,;:!?'\"()\-]+", r"\p{N}+"):
+            new = regex.sub(pattern, "", rest)
+            out.append(len(rest) - len(new))
+            rest = new
+        return np.array([*out, len(rest)], float)
+
+    def hits(text, lang):
+        ws = [w.lower() for w in SPACE.split(text) if w]
+        n = [ws.count(w) for w in quality_rules.COMMON_WORDS[lang]]
+        return np.array([*n, len(ws) - sum(n)], float)
+
+    def distance(counts, pooled):
+        p, q = counts / counts.sum(), pooled / pooled.sum()
+        m = (p + q) / 2
+        kl = lambda a: sum(x * np.log2(x / y) for x, y in zip(a, m) if x > 0)
+        return max((kl(p) + kl(q)) / 2, 0) ** .5
+
+    long = [(i, lang, t) for i, lang, t in rows if len([w for w in SPACE.split(t) if w]) >= quality_rules.MIN_WORDS]
+    chars = {lang: sum(histogram(t) for _, x, t in long if x == lang) for lang in quality_rules.COMMON_WORDS}
+    words_ = {lang: sum(hits(t, lang) for _, x, t in long if x == lang) for lang in quality_rules.COMMON_WORDS}
+    for i, lang, t in long:
+        n = len([w for w in SPACE.split(t) if w])
+        c, w = distance(histogram(t), chars[lang]), distance(hits(t, lang), words_[lang])
+        assert abs(c - got[i].char_distance) < 1e-6 and abs(w - got[i].word_distance) < 1e-6
+        fits = c <= (quality_rules.CHAR_LIMIT + quality_rules.CHAR_NOISE / n) ** .5 and \
+            w <= (quality_rules.WORD_LIMIT + quality_rules.WORD_NOISE / n) ** .5
+        assert got[i].kept == (fits and not got[i].base_failed)
