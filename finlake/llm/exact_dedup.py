@@ -8,10 +8,11 @@ neighbour's.  Only built-in functions run.
 * The partitioning key is (first characters, digest, salt): content order with
   splitters of bounded size.  The digest never decides equality, it only
   spreads texts that begin alike; the neighbour comparison is on whole texts.
-* A digest that holds more than one thousandth of all rows (so fewer than 1,000
-  digests, whatever the input) is dealt over ``SALTS`` salts.  Each salt is
-  compared on its own and only the runs' heads, at most ``SALTS`` per such
-  text, are compared across salts, again on whole texts.
+* A digest that holds more than ``SALT_ROWS`` rows, or more than one thousandth
+  of all rows, is dealt over salts, one for every ``SALT_ROWS`` rows and
+  ``SALTS`` at least, so no task takes in much more than that of one text.
+  Each salt is compared on its own and only the runs' heads, one or few per
+  salt, are compared across salts, again on whole texts.
 
 Defined results: null text counts as empty; null ``doc_id`` sorts after every
 id; of repeated rows (same id and text) exactly one is kept; an empty table
@@ -27,7 +28,8 @@ from pyspark.sql import functions as F
 from finlake.llm.common import SPACE_CLASS, materialise, text_of
 
 SALTS = 64
-HOT_SHARE = 1000          # hot: more than 1/1000 of all rows
+SALT_ROWS = 100_000       # hot: more rows than this,
+HOT_SHARE = 1000          # or more than 1/1000 of all rows
 HEAD_CHARS = 16           # leading characters of a splitter
 
 
@@ -46,9 +48,11 @@ def mark_duplicates(docs: DataFrame, carry: bool = False) -> DataFrame:
 
     total = docs.count()
     counts = base.groupBy("digest").count()
-    hot = [r["digest"] for r in counts.where(F.col("count") * HOT_SHARE > total).collect()]
-    salt = F.when(F.col("digest").isin(hot), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    keyed = (base.withColumn("salt", F.coalesce(salt, F.lit(-1)))
+    # a table of written, known size: broadcast by the planner while it is small, else joined
+    hot = materialise(counts.where((F.col("count") * HOT_SHARE > total) | (F.col("count") > SALT_ROWS)).select(
+        "digest", F.greatest(F.lit(SALTS), F.ceil(F.col("count") / SALT_ROWS)).cast("long").alias("salts")), "hot-texts")
+    salt = F.pmod(F.xxhash64("doc_id", "n_cp"), F.col("salts")).cast("int")
+    keyed = (base.join(hot, "digest", "left").withColumn("salt", F.coalesce(salt, F.lit(-1))).drop("salts")
              .withColumn("head", F.substring("norm", 1, HEAD_CHARS)))
 
     key = ["head", "digest", "salt"]
@@ -73,14 +77,14 @@ def mark_duplicates(docs: DataFrame, carry: bool = False) -> DataFrame:
               .select("digest", "salt", "run", F.first("doc_id").over(best).alias("all_keep"),
                       F.sum("group_size").over(same).alias("all_size"),
                       (F.row_number().over(best) == 1).alias("wins")))
-    # fewer than HOT_SHARE digests on SALTS salts: bounded, so broadcast
-    out = local.join(F.broadcast(merged), ["digest", "salt", "run"], "left")
-    hot_row = F.col("salt") >= 0
-    return out.select(
-        "doc_id", F.when(hot_row, F.col("all_keep")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.when(hot_row, F.col("all_size")).otherwise(F.col("group_size")).cast("long").alias("group_size"),
-        (F.col("starts") & F.coalesce("wins", F.lit(True))).alias("kept"),
+    merged = materialise(merged, "hot-runs")
+    cold = local.where("salt < 0").select(
+        "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), F.col("starts").alias("kept"),
         F.col("digest").alias("text_sha256"), *(["row"] if carry else []))
+    return cold.unionByName(local.where("salt >= 0").join(merged, ["digest", "salt", "run"]).select(
+        "doc_id", F.col("all_keep").alias("keep_id"), F.col("all_size").cast("long").alias("group_size"),
+        (F.col("starts") & F.col("wins")).alias("kept"), F.col("digest").alias("text_sha256"),
+        *(["row"] if carry else [])))
 
 
 def drop_duplicates(docs: DataFrame) -> DataFrame:

@@ -134,3 +134,13 @@ def test_quality_verdict_by_plain_counting(spark):
         fits = c <= (quality_rules.CHAR_LIMIT + quality_rules.CHAR_NOISE / n) ** .5 and \
             w <= (quality_rules.WORD_LIMIT + quality_rules.WORD_NOISE / n) ** .5
         assert got[i].kept == (fits and not got[i].base_failed)
+
+
+def test_hot_texts_are_dealt_by_their_count(spark, monkeypatch):
+    """Groups above the target rows get a salt for each target, and the result stays the same."""
+    monkeypatch.setattr(exact_dedup, "SALT_ROWS", 5)
+    monkeypatch.setattr(exact_dedup, "SALTS", 2)
+    rows = [(i, ["same  text", "same text ", "other", f"own {i}"][min(i % 5, 3)]) for i in range(200)] + [(None, "other")] * 3
+    got = exact_dedup.mark_duplicates(frame(spark, rows)).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=repr) == exact_truth(rows)
+    assert Counter(r.text_sha256 for r in got if r.kept).most_common(1)[0][1] == 1
