@@ -3,9 +3,10 @@
 1. Seeds: the least k-mer of every window of ``WINDOW`` consecutive k-mers of
    ``SEED_WORDS`` words, so any common run of ``WINDOW + SEED_WORDS - 1`` words
    shares one.  All words of all texts are covered.
-2. Join: every occurrence of a seed is matched with the occurrence in the
+2. Match: every occurrence of a seed is matched with the occurrence in the
    least document that has it, never with all others; a passage that a third
-   of all documents hold costs a row each.
+   of all documents hold costs a row each.  Occurrences are sorted by seed and
+   document, so the source is the first of its seed.
 3. Chains: per pair of documents, matches that ascend in both texts are
    chained at the best score of ``SEED_GAIN`` a seed less ``GAP_COST`` a word
    of gap in either text; a Fenwick tree of prefix maxima finds each match's
@@ -66,8 +67,14 @@ def window_minima(values: np.ndarray, window: int = WINDOW) -> np.ndarray:
     if not len(values):
         return np.zeros(0, np.int64)
     w = min(window, len(values))
-    view = np.lib.stride_tricks.sliding_window_view(values[::-1], w)
-    at = np.unique(len(values) - 1 - (np.argmin(view, axis=1) + np.arange(len(view))))
+    least, at, reach = values, np.arange(len(values)), 1
+    while reach < w:              # windows of `reach` values, two of which make the next width
+        step = min(reach, w - reach)
+        later = least[step:] <= least[:-step]
+        at = np.where(later, at[step:], at[:-step])
+        least = np.where(later, least[step:], least[:-step])
+        reach += step
+    at = at[np.concatenate(([True], at[1:] != at[:-1]))]
     new = np.concatenate(([True], (values[at[1:]] != values[at[:-1]]) | (np.diff(at) >= window)))
     step = (at - np.maximum.accumulate(np.where(new, at, 0))) // window
     return at[new | np.concatenate(([True], step[1:] != step[:-1]))]
@@ -112,6 +119,17 @@ def _seeds(base: DataFrame) -> DataFrame:
     return base.mapInPandas(run, "seed long, doc_id long, pos int")
 
 
+def _matches(found: DataFrame, key: str) -> DataFrame:
+    """``doc_id, source, pos, source_pos``: occurrences of a key beside the first one in the least document that has it.
+
+    Occurrences are made and shuffled once; sorted by key and document, the
+    first of a key is the source of those in later documents.
+    """
+    by = Window.partitionBy(key).orderBy("doc_id", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (found.withColumns({"source": F.first("doc_id").over(by), "source_pos": F.first("pos").over(by)})
+            .where("doc_id > source").select("doc_id", "source", "pos", "source_pos"))
+
+
 def best_chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
     """Chains (indices into the matches, in order) of matches at ``x`` and ``y``, best first, disjoint.
 
@@ -292,14 +310,12 @@ def _runs(base: DataFrame, around: bool) -> DataFrame:
 
 def _exact(base: DataFrame, found: DataFrame) -> DataFrame:
     """Exact repeats that no passage of ``found`` holds whole."""
-    keys = materialise(_runs(base, around=False), "run-keys")
-    shared = keys.groupBy("run").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    places = keys.join(shared.select("run"), "run", "left_semi").groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
-    runs = materialise(_runs(base.join(places, "doc_id"), around=True), "runs")
-    first = runs.groupBy("run").agg(F.min(F.struct("doc_id", "pos")).alias("first")).select(
-        "run", F.col("first.doc_id").alias("source"), F.col("first.pos").alias("to"))
-    matches = runs.join(first, "run").where("doc_id > source").select(
-        "doc_id", "source", "pos", (F.col("to") - F.col("pos")).alias("ahead"))
+    same = Window.partitionBy("run")
+    shared = _runs(base, around=False).withColumns(
+        {"low": F.min("doc_id").over(same), "high": F.max("doc_id").over(same)}).where("low < high")
+    places = shared.groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
+    matches = _matches(_runs(base.join(places, "doc_id"), around=True), "run").select(
+        "doc_id", "source", "pos", (F.col("source_pos") - F.col("pos")).alias("ahead"))
     by = Window.partitionBy("doc_id", "source", "ahead").orderBy("pos")
     spans = (matches.withColumn("before", F.col("pos") - F.lag("pos").over(by))
              .withColumn("island", F.sum(F.when(F.col("before") <= MIN_WORDS, 0).otherwise(1)).over(by))
@@ -321,13 +337,8 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
 def _repeated(base: DataFrame) -> DataFrame:
     ship(base.sparkSession)
-    seeds = _seeds(base)
-    shared = seeds.groupBy("seed").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
-    shared = shared.where("source < last").select("seed", "source")
-    hits = materialise(seeds.join(shared, "seed"), "seed-hits")
-    first = hits.where("doc_id = source").groupBy("seed").agg(F.min("pos").alias("source_pos"))
-    matches = hits.where("doc_id > source").join(first, "seed").select("doc_id", "source", "pos", "source_pos")
-    found = materialise(_align(materialise(_chains(matches), "chains"), base), "aligned")
+    chains = materialise(_chains(_matches(_seeds(base), "seed")), "chains")
+    found = materialise(_align(chains, base), "aligned")
     return found.unionByName(_exact(base, found))
 
 

@@ -262,3 +262,32 @@ def test_texts_that_share_an_id_are_documents_of_their_own(spark):
     left = texts(line_dedup.drop_runs(docs))
     assert len(left) == len(rows) and (5, "c") in left and (7, block + "\nz") in left
     assert {t for _, t in left} >= {t for _, t in rows if block not in t}
+
+
+def test_window_minima_are_the_last_least_of_each_window():
+    r = random.Random(8)
+    for n in range(1, 120):
+        values = np.array([r.randint(0, 3 if n % 2 else 10**6) for _ in range(n)], np.uint64)
+        for window in (1, 2, 5, 11, 12):
+            w = min(window, n)
+            every = {max(range(i, i + w), key=lambda j: (-int(values[j]), j)) for i in range(n - w + 1)}
+            got = passages.window_minima(values, window).tolist()
+            assert set(got) <= every
+            assert n % 2 or got == sorted(every)        # values that hardly repeat: none is left out
+
+
+def test_passages_make_each_key_once(spark, monkeypatch):
+    plans, write = {}, passages.materialise
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name)
+    monkeypatch.setattr(passages, "materialise", watched)
+    shared = words(70, 61)
+    rows = [(i, " ".join(words(30, 900 + i) + shared)) for i in range(4)]
+    df = passages.repeated_passages(frame(spark, rows))
+    plans["result"] = df._jdf.queryExecution().executedPlan().toString()
+    made = [line for p in plans.values() for line in p.splitlines() if "InPandas" in line]
+    assert len(made) == 5                               # seeds, chains, alignment, run keys, runs around them
+    got = {(r.doc_id, r.source_doc_id, r.n_words) for r in df.collect()}
+    assert got == {(i, 0, 70) for i in (1, 2, 3)}
