@@ -11,7 +11,7 @@ from functools import lru_cache
 
 from finlake.llm.common import SPACE_CLASS
 
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 3 << 18     # a chunk, or the lower-case letters of one, is held once
 _SPACE = re.compile(f"[{SPACE_CLASS}]+")
 _MARKS = string.punctuation
 # str.split takes these for white space, the tokenizers' \s does not
@@ -52,8 +52,8 @@ class SpacedEncoder(dict):
     ids are the ids of its space-separated chunks in order.  The chunks' ids
     are the entries of this dict (cleared at ``CACHE_WORDS``); a new chunk of
     Latin-1 letters, with or without ASCII marks behind them, goes to the BPE
-    model directly, as its letters and its marks are one word each; any other
-    goes through the whole tokenizer.  Ids are
+    model directly, as its letters (an entry in lower case) and its marks are
+    one word each; any other goes through the whole tokenizer.  Ids are
     little-endian unsigned 32-bit integers.
     """
 
@@ -66,15 +66,15 @@ class SpacedEncoder(dict):
             raise ValueError("the tokenizer keeps white space; its chunks can't be encoded one by one")
         self.tokenizer = load(path)
         self.model = self.tokenizer.model
-        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
         self.letters = byte_letters()
         self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
 
-    def _word(self, word: str) -> bytes:
-        got = self.words.get(word)
+    def _word(self, word: str, known: dict[str, bytes]) -> bytes:
+        got = known.get(word)
         if got is None:
             mapped = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            got = self.words[word] = b"".join([self.packed[t.id] for t in self.model.tokenize(mapped)])
+            got = known[word] = b"".join([self.packed[t.id] for t in self.model.tokenize(mapped)])
         return got
 
     def __missing__(self, chunk: str) -> bytes:
@@ -83,9 +83,9 @@ class SpacedEncoder(dict):
         stem = chunk.rstrip(_MARKS)
         mark = chunk[len(stem):]
         if stem.isalpha() and (stem.isascii() or max(stem) < "\u0100"):
-            got = self._word(stem.lower())
+            got = self._word(stem.lower(), self)
             if mark:
-                got += self._word(mark)
+                got += self._word(mark, self.marks)
         else:
             got = b"".join([self.packed[i] for i in self.tokenizer.encode(chunk, add_special_tokens=False).ids])
         self[chunk] = got
@@ -93,9 +93,9 @@ class SpacedEncoder(dict):
 
     def encode(self, text: str) -> bytes:
         """The ids of ``text``."""
-        if len(self) + len(self.words) > CACHE_WORDS:
+        if len(self) + len(self.marks) > CACHE_WORDS:
             self.clear()
-            self.words.clear()
+            self.marks.clear()
         odd = any(c in text for c in _SEPARATORS)
         return b"".join(map(self.__getitem__, _SPACE.split(text) if odd else text.split()))
 

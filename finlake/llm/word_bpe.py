@@ -7,9 +7,10 @@ characters.  Words go one of two ways, and give the same ids by either:
 
 * the ``HOT_WORDS`` most frequent words of a bounded sample of documents are
   encoded once and broadcast (a bounded table; it only saves shuffling),
-* every other word is sent once per block to the task that owns the word,
-  which encodes each distinct word once and returns its ids, many words in a
-  compressed row, to the blocks.
+* every other word is sent once per block to the owner of the word (a hash of
+  it), which encodes each distinct word once and returns ids to the blocks;
+  both ways many words or ids go in a compressed row.  An owner's ids come in
+  the order of the block's sorted words, so the words are not sent back.
 
 A block then joins the ids back by position.  Decoding joins ids with the
 vocabulary's pieces, a table of fixed size, in every task.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,7 +42,7 @@ from finlake.llm.tokens import byte_letters, byte_tokenizer_path, load
 BLOCK_CHARS = 4_000_000
 HOT_WORDS = 1 << 18
 SAMPLE_DOCS = 40_000
-SEND_WORDS = 200_000      # encoded words that a task gathers before it sends them to their blocks
+OWNER_CHARS, OWNERS = 16_000_000, 16   # characters of the corpus per owner of words, and owners besides
 
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORD = re.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
@@ -61,6 +63,25 @@ def _encode_words(tokenizer, words: list[str]) -> list[bytes]:
     return [np.array(e.ids, "<u4").tobytes() for e in got]
 
 
+def owner_of(word: str, owners: int) -> int:
+    """The owner of a word, the same in every task."""
+    return zlib.crc32(word.encode()) % owners
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in as few bytes each as the greatest needs."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+def _joined(words: list[str]) -> tuple[str, np.ndarray]:
+    return "".join(words), _narrow(np.array([len(w) for w in words]))
+
+
+def _split(text: str, lengths: np.ndarray) -> list[str]:
+    ends = np.cumsum(lengths, dtype=np.int64).tolist()
+    return [text[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+
 def _hot_words(base: DataFrame, n_docs: int, path: str) -> dict[str, bytes]:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
@@ -96,7 +117,7 @@ def encode(docs: DataFrame, tokenizer_path: str | None = None, back: bool = Fals
     size = base.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text").cast("long")).alias("chars")).first()
     hot = spark.sparkContext.broadcast(_hot_words(base, size["n"], path))
     by_id = spark.sparkContext.broadcast(pieces(path)) if back else None
-    n_blocks = (size["chars"] or 0) // BLOCK_CHARS + 1
+    n_blocks, n_owners = (size["chars"] or 0) // BLOCK_CHARS + 1, (size["chars"] or 0) // OWNER_CHARS + OWNERS
     base = base.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -110,64 +131,70 @@ def encode(docs: DataFrame, tokenizer_path: str | None = None, back: bool = Fals
             yield pd.DataFrame({"block": blocks, "data": data}).astype({"block": "int64"})
 
     def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = hot.value
+        known, compress = hot.value, zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            blocks, words = [], []
+            sent: dict[int, dict[int, list[str]]] = {}
             for block, texts in batch.groupby("block")["text"]:
-                new = {w for t in texts for w in split_words(t) if w not in known}
-                words += new
-                blocks += [block] * len(new)
-            yield pd.DataFrame({"word": words, "block": blocks}).astype({"word": "object", "block": "int64"})
-
-    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by word, so each distinct word is encoded once; its ids go to every block that has it."""
-        tokenizer, last, ids = load(path), None, b""
-        compress = zstandard.ZstdCompressor(level=3).compress
-        held: dict[int, list[tuple[str, bytes]]] = {}
-        n = 0
-
-        def send() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.int64()), pa.array([compress(pickle.dumps(w)) for w in held.values()])],
-                names=["block", "words"])
-
-        for batch in batches:
-            words = batch.column("word").to_pylist()
-            new = [w for i, w in enumerate(words) if w != (words[i - 1] if i else last)]
-            fresh = iter(zip(new, _encode_words(tokenizer, new), strict=True))
-            for w, block in zip(words, batch.column("block").to_pylist(), strict=True):
-                if w != last:
-                    last, ids = next(fresh)
-                held.setdefault(block, []).append((w, ids))
-            n += len(words)
-            if n >= SEND_WORDS:
-                yield send()
-                held.clear()
-                n = 0
-        if held:
-            yield send()
+                for w in sorted({w for t in texts for w in split_words(t) if w not in known}):
+                    sent.setdefault(owner_of(w, n_owners), {}).setdefault(block, []).append(w)
+            rows = [compress(pickle.dumps([(b, *_joined(w)) for b, w in blocks.items()])) for blocks in sent.values()]
+            yield pd.DataFrame({"owner": list(sent), "data": rows}).astype({"owner": "int64"})
+
+    loaded: list = []         # the tokenizer, once per task
+
+    def answer(asked: pd.DataFrame) -> pd.DataFrame:
+        """The ids of an owner's words for each block, in the order of the block's sorted words."""
+        compress, expand = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
+        words, blocks, times = [], [], []
+        for data in asked["data"]:
+            for block, text, lengths in pickle.loads(expand(data)):
+                words += _split(text, lengths)
+                blocks.append(block)
+                times.append(len(words))
+        distinct = sorted(set(words))
+        if not loaded:
+            loaded.append(load(path))
+        ids = _encode_words(loaded[0], distinct)
+        rank = {w: i for i, w in enumerate(distinct)}
+        at = np.fromiter(map(rank.__getitem__, words), np.int64, len(words))
+        pairs = np.unique(np.repeat(np.array(blocks, np.int64), np.diff(times, prepend=0)) * len(distinct) + at)
+        block, at = np.divmod(pairs, len(distinct))
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        rows = []
+        for mine in np.split(at, starts[1:]):
+            got = [ids[i] for i in mine.tolist()]
+            rows.append(compress(pickle.dumps((_narrow(np.array([len(g) // 4 for g in got])),
+                                               _narrow(np.frombuffer(b"".join(got), "<u4"))))))
+        return pd.DataFrame({"block": block[starts], "owner": asked["owner"].iloc[0], "ids": rows})
 
     def join(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         expand = zstandard.ZstdDecompressor().decompress
-        known, own = hot.value, {}
-        for data in right["words"]:
-            own.update(pickle.loads(expand(data)))
-        ids, out, texts_back = [], [], []
+        get, new, own = hot.value.get, set(), {}
+        ids, parts, out, texts_back = [], [], [], []
         for data in left["data"]:
             doc_ids, texts = pickle.loads(expand(data))
-            for doc_id, text in zip(doc_ids, texts, strict=True):
-                got = b"".join([known.get(w) or own[w] for w in split_words(text)])
-                ids.append(doc_id)
-                out.append(np.frombuffer(got, "<u4").astype(np.int32))
-                if back:
-                    texts_back.append(decoded(out[-1], by_id.value))
+            ids += doc_ids
+            for text in texts:
+                parts.append([get(w) or w for w in split_words(text)])     # ids, or the word itself
+                new.update([w for w in parts[-1] if w.__class__ is str])
+        mine: dict[int, list[str]] = {}
+        for w in sorted(new):
+            mine.setdefault(owner_of(w, n_owners), []).append(w)
+        for owner, data in zip(right["owner"], right["ids"], strict=True):
+            lengths, sent = pickle.loads(expand(data))
+            sent, ends = sent.astype("<u4").tobytes(), (4 * np.cumsum(lengths, dtype=np.int64)).tolist()
+            own.update({w: sent[a:b] for w, a, b in zip(mine[owner], [0, *ends[:-1]], ends, strict=True)})
+        for part in parts:
+            got = b"".join([own[w] if w.__class__ is str else w for w in part])
+            out.append(np.frombuffer(got, "<u4").astype(np.int32))
+            if back:
+                texts_back.append(decoded(out[-1], by_id.value))
         rows = pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "ids": out})
         return rows.assign(decoded=texts_back) if back else rows
 
     texts = base.select("doc_id", "text", "block").mapInPandas(pack, "block long, data binary")
-    words = (base.select("text", "block").mapInPandas(rare, "word string, block long")
-             .repartition("word").sortWithinPartitions("word")
-             .mapInArrow(table, "block long, words binary"))
+    words = (base.select("text", "block").mapInPandas(rare, "owner long, data binary")
+             .groupBy("owner").applyInPandas(answer, "block long, owner long, ids binary"))
     return (texts.groupBy("block").cogroup(words.groupBy("block"))
             .applyInPandas(join, "doc_id long, ids array<int>" + (", decoded string" if back else "")))
 

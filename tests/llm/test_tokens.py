@@ -57,6 +57,26 @@ def test_word_table_round_trip(spark, monkeypatch):
     assert word_bpe.encode(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_spaced_encoder_holds_a_word_once():
+    encoder = tokens.SpacedEncoder(tokens.word_tokenizer_path())
+    encoder.encode("plain plain, Plain other")
+    assert set(encoder) == {"plain", "plain,", "Plain", "other"} and set(encoder.marks) == {","}
+
+
+def test_words_of_many_owners_travel_packed(spark, monkeypatch):
+    monkeypatch.setattr(word_bpe, "HOT_WORDS", 2)
+    monkeypatch.setattr(word_bpe, "BLOCK_CHARS", 200)
+    texts = [(i, t) for i, t in enumerate(odd_texts(60) + [" ".join(words(40, i % 9)) for i in range(30)])]
+    df = word_bpe.encode(frame(spark, texts), back=True)
+    got = {r.doc_id: (list(r.ids), r.decoded) for r in df.collect()}
+    path = tokens.byte_tokenizer_path()
+    t = tokens.load(path)
+    assert got == {i: (ids := library_ids(path, x), t.decode(ids, skip_special_tokens=False)) for i, x in texts}
+    # rare words go by owner, and come back as ids: no row per word is shuffled
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(owner" in plan and "hashpartitioning(word" not in plan
+
+
 def test_decode_replaces_broken_bytes_like_the_library():
     t, table = tokens.load(tokens.byte_tokenizer_path()), word_bpe.pieces()
     r = random.Random(2)
