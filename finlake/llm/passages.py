@@ -5,14 +5,17 @@
    shares one.  All words of all texts are covered.
 2. Match: every occurrence of a seed is matched with the occurrence in the
    least document that has it, never with all others; a passage that a third
-   of all documents hold costs a row each.  Occurrences are sorted by seed and
-   document, so the source is the first of its seed.
+   of all documents hold costs a row each.  Keys travel packed: a task's keys
+   are dealt out to ``GROUPS`` groups by their last bits, Spark brings a group's
+   arrays together, and the group is sorted by key and document, so the source
+   is the first of its key.
 3. Chains: per pair of documents, matches that ascend in both texts are
    chained at the best score of ``SEED_GAIN`` a seed less ``GAP_COST`` a word
    of gap in either text; a Fenwick tree of prefix maxima finds each match's
    best predecessor in logarithmic time.  Where a gap costs more than a seed
    gains, a chain is cut in two.
-4. Alignment: chains are extended over matching words at both ends, and kept as
+4. Alignment: each text travels once to the chains that need it, and its words
+   around them are cut out.  Chains are extended over matching words at both ends, and kept as
    passages if a banded alignment finds at least ``SIMILARITY`` over at least
    ``MIN_WORDS`` words; a chain that fails is cut at its widest gap and its
    parts are tried again.
@@ -21,7 +24,8 @@
    their own, winnowed over ``SPREAD`` runs, and around a key that two
    documents share every run of ``MIN_WORDS`` words is matched with the least
    document that has it: equal runs are passages by themselves, and every word
-   of a common run of ``MIN_WORDS + SPREAD - 1`` words is covered.
+   of a common run of ``MIN_WORDS + SPREAD - 1`` words is covered.  Both kinds of
+   key are made in one pass over the texts.
 
 Defined results: null text is empty; a null ``doc_id`` takes no part; rows that
 share a ``doc_id`` but not their text are documents of their own, the greater
@@ -37,11 +41,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import SPACE_CLASS, ids_of, materialise, rows_with_nodes, ship, text_nodes, text_of, words_of
-from finlake.llm.wordhash import edits_within, mix, shingles, word_hashes
+from finlake.llm.common import SPACE_CLASS, ids_of, materialise, rows_with_nodes, ship, text_nodes, text_of
+from finlake.llm.wordhash import edits_within, hashed, mix, shingles
 
 SEED_WORDS = 6
 WINDOW = 12
@@ -52,6 +57,9 @@ MIN_WORDS = 40
 SIMILARITY = 0.8
 SPREAD = 11               # exact runs of MIN_WORDS words of which one is a key
 MARGIN = 64               # words around a chain that the extension may take
+GROUPS = 1 << 10          # groups that keys are dealt out to
+PACK = 1 << 20            # keys that a task holds before it deals them out
+CHAINS, SOURCES = -1, -2  # kinds of cut-out words; kinds from 0 are groups of runs
 MISMATCH, DROP = 2, 8     # extension: cost of a differing word, and the loss at which it ends
 
 PASSAGES = ("doc_id long, start_word int, end_word int, n_words int, source_doc_id long, "
@@ -80,54 +88,158 @@ def window_minima(values: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return at[new | np.concatenate(([True], step[1:] != step[:-1]))]
 
 
-def seeds_of(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Seeds and their positions.
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``count`` whole numbers from each of ``first``, one after another."""
+    return np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
+
+
+def minima_of_texts(values: np.ndarray, first: np.ndarray, count: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """``window_minima`` of the ``count`` values from each of ``first``: texts and positions in ``values``."""
+    long = np.flatnonzero(count >= window)
+    texts, places = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if len(long):
+        least, at, reach = values, np.arange(len(values)), 1
+        while reach < window:
+            step = min(reach, window - reach)
+            later = least[step:] <= least[:-step]
+            at = np.where(later, at[step:], at[:-step])
+            least = np.where(later, least[step:], least[:-step])
+            reach += step
+        windows = count[long] - window + 1
+        at, text = at[_ranges(first[long], windows)], np.repeat(long, windows)
+        differ = np.concatenate(([True], at[1:] != at[:-1]))
+        at, text = at[differ], text[differ]
+        new = np.concatenate(([True], (values[at[1:]] != values[at[:-1]]) | (np.diff(at) >= window)
+                              | (text[1:] != text[:-1])))
+        step = (at - np.maximum.accumulate(np.where(new, at, 0))) // window
+        kept = new | np.concatenate(([True], step[1:] != step[:-1]))
+        texts.append(text[kept])
+        places.append(at[kept])
+    for i in np.flatnonzero((count > 0) & (count < window)):
+        at = window_minima(values[first[i]:first[i] + count[i]], window) + first[i]
+        texts.append(np.full(len(at), i))
+        places.append(at)
+    return np.concatenate(texts), np.concatenate(places)
+
+
+def seeds_of_texts(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Texts, seeds and positions in ``words`` of the texts that have ``count`` words from ``first``.
 
     A k-mer that a text's seeds repeat is a seed again under its occurrence
     number, so that the n-th repetition also meets the n-th of another text.
     """
     kmers = shingles(words, SEED_WORDS)
-    at = window_minima(kmers)
+    text, at = minima_of_texts(kmers, first, np.maximum(count - SEED_WORDS + 1, 0), WINDOW)
     values = kmers[at]
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
+    order = np.lexsort((at, values, text))
+    ranked, of = values[order], text[order]
     index = np.arange(len(ranked))
-    first = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    start = np.concatenate((np.ones(min(len(ranked), 1), bool), (ranked[1:] != ranked[:-1]) | (of[1:] != of[:-1])))
     occurrence = np.empty(len(values), np.uint64)
-    occurrence[order] = index - np.maximum.accumulate(np.where(first, index, 0))
+    occurrence[order] = index - np.maximum.accumulate(np.where(start, index, 0))
     again = occurrence > 0
     labelled = mix(values[again] + occurrence[again] * np.uint64(0x9E3779B97F4A7C15))
-    return np.concatenate((values, labelled)).view(np.int64), np.concatenate((at, at[again]))
+    return (np.concatenate((text, text[again])), np.concatenate((values, labelled)).view(np.int64),
+            np.concatenate((at, at[again])))
 
 
-def _seeds(base: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids, seeds, places = [], [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                words = word_hashes(text)
-                if len(words) < MIN_WORDS:
-                    continue
-                seed, at = seeds_of(words)
-                ids.append(np.full(len(at), doc_id, np.int64))
-                seeds.append(seed)
-                places.append(at.astype(np.int32))
-            if ids:
-                yield pd.DataFrame({"seed": np.concatenate(seeds), "doc_id": np.concatenate(ids),
-                                    "pos": np.concatenate(places)})
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """Whole numbers from 0 in the fewest bytes each."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
+def _wide(values: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(values, f"u{len(values) // n}").astype(np.int64)
+
+
+class _Packer:
+    """Keys with their documents and positions, packed by kind and the keys' last bits."""
+
+    FIELDS = "kind int, least long, keys binary, docs binary, places binary"
+
+    def __init__(self, kind: int = 0) -> None:
+        self.kind, self.held, self.n = kind, [], 0
+
+    def add(self, keys: np.ndarray, docs: np.ndarray, places: np.ndarray) -> None:
+        if len(keys):
+            self.held.append((keys, docs, places))
+            self.n += len(keys)
 
-    return base.mapInPandas(run, "seed long, doc_id long, pos int")
+    def rows(self, last: bool) -> list[tuple]:
+        """What is to be sent: nothing before ``PACK`` keys came, unless it is the ``last``."""
+        if not self.n or not last and self.n < PACK:
+            return []
+        keys, docs, places = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        self.held, self.n = [], 0
+        group = (keys & (GROUPS - 1)).astype(np.uint16)
+        order = np.argsort(group, kind="stable")
+        least = int(docs.min())
+        keys, docs, places = keys[order], _narrow((docs - least)[order]), _narrow(places[order])
+        ends = np.cumsum(np.bincount(group, minlength=GROUPS))
+        return [(self.kind + g, least, keys[a:b].tobytes(), docs[a:b].tobytes(), places[a:b].tobytes())
+                for g, (a, b) in enumerate(zip(np.concatenate(([0], ends[:-1])).tolist(), ends.tolist(), strict=True)) if a < b]
 
 
-def _matches(found: DataFrame, key: str) -> DataFrame:
+def _keys(base: DataFrame) -> DataFrame:
+    """Seeds (kinds below ``GROUPS``) and winnowed runs of ``MIN_WORDS`` words (the kinds after them), packed."""
+    names = [c.split()[0] for c in _Packer.FIELDS.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seeds, runs = _Packer(), _Packer(GROUPS)
+        for batch in batches:
+            ids = batch["doc_id"].to_numpy(np.int64)
+            for h in hashed(batch["text"].tolist()):
+                count = h.lengths()
+                count[count < MIN_WORDS] = 0
+                if not count.any():
+                    continue
+                first, docs = h.first[:-1], ids[h.start:h.stop]
+                text, keys, at = seeds_of_texts(h.words, first, count)
+                seeds.add(keys, docs[text], at - first[text])
+                values = long_runs(h.words)
+                text, at = minima_of_texts(values, first, np.maximum(count - MIN_WORDS + 1, 0), SPREAD)
+                runs.add(values[at].view(np.int64), docs[text], at - first[text])
+                for packer in (seeds, runs):
+                    if rows := packer.rows(False):
+                        yield pd.DataFrame(rows, columns=names)
+        for packer in (seeds, runs):
+            if rows := packer.rows(True):
+                yield pd.DataFrame(rows, columns=names)
+
+    return base.mapInPandas(run, _Packer.FIELDS)
+
+
+def _matches(packed: DataFrame) -> DataFrame:
     """``doc_id, source, pos, source_pos``: occurrences of a key beside the first one in the least document that has it.
 
-    Occurrences are made and shuffled once; sorted by key and document, the
-    first of a key is the source of those in later documents.
+    Of the kinds from ``GROUPS`` on, a row with ``doc_id`` as its own source for
+    each occurrence of a key that two documents have.
     """
-    by = Window.partitionBy(key).orderBy("doc_id", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (found.withColumns({"source": F.first("doc_id").over(by), "source_pos": F.first("pos").over(by)})
-            .where("doc_id > source").select("doc_id", "source", "pos", "source_pos"))
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        sizes = [len(k) // 8 for k in group["keys"]]
+        keys = np.frombuffer(b"".join(group["keys"]), np.int64)
+        docs = np.concatenate([_wide(d, n) + least for d, n, least in zip(group["docs"], sizes, group["least"], strict=True)])
+        places = np.concatenate([_wide(p, n) for p, n in zip(group["places"], sizes, strict=True)])
+        order = np.argsort(keys)
+        same = keys[order[1:]] == keys[order[:-1]]
+        several = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+        keys, docs, places = keys[several], docs[several], places[several]
+        order = np.lexsort((places, docs, keys))
+        keys, docs, places = keys[order], docs[order], places[order]
+        start = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
+        count = np.diff(np.append(start, len(keys)))
+        source = np.repeat(docs[start], count)
+        if key[0] < GROUPS:
+            wanted = docs > source
+            source_places = np.repeat(places[start], count)[wanted]
+            source = source[wanted]
+        else:
+            wanted = np.repeat(docs[start] != docs[start + count - 1], count)
+            source, source_places = docs[wanted], places[wanted]
+        return pd.DataFrame({"doc_id": docs[wanted], "source": source, "pos": places[wanted].astype(np.int32),
+                             "source_pos": source_places.astype(np.int32)})
+
+    return packed.groupBy("kind").applyInPandas(run, "doc_id long, source long, pos int, source_pos int")
 
 
 def best_chains(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
@@ -184,20 +296,33 @@ def _gaps(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _chains(matches: DataFrame) -> DataFrame:
+    """Chains, and the places of a document's shared runs (a row with the document as its own source)."""
     columns = ["doc_id", "source", "xs", "ys"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows come sorted by pair; a pair may go on in the next batch."""
         def rows(part: pd.DataFrame) -> list[tuple]:
-            doc, source = part["doc_id"].to_numpy(), part["source"].to_numpy()
+            doc, source = part["doc_id"].to_numpy(np.int64), part["source"].to_numpy(np.int64)
             x, y = part["pos"].to_numpy(np.int64), part["source_pos"].to_numpy(np.int64)
-            cuts = np.flatnonzero((doc[1:] != doc[:-1]) | (source[1:] != source[:-1])) + 1
-            out = []
-            for a, b in zip(np.concatenate(([0], cuts)), np.concatenate((cuts, [len(doc)])), strict=True):
-                if b - a < MIN_SEEDS:
-                    continue
-                for c in best_chains(x[a:b], y[a:b]):
-                    out.append((int(doc[a]), int(source[a]), x[a:b][c].astype(np.int32), y[a:b][c].astype(np.int32)))
+            inside = (doc[1:] == doc[:-1]) & (source[1:] == source[:-1])
+            cuts = np.flatnonzero(~inside) + 1
+            first, last = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(doc)]))
+            dx, dy = np.diff(x), np.diff(y)
+            # where all matches ascend in both texts without a gap that cuts a chain, they are the one best chain
+            bad = np.concatenate(([0], np.cumsum(inside & ~((dx > 0) & (dy > 0) & ((dx + dy) * GAP_COST < SEED_GAIN)))))
+            plain = bad[last - 1] == bad[first]
+            places = doc[first] == source[first]
+            wanted = places | (last - first >= MIN_SEEDS)
+            x32, y32, out = x.astype(np.int32), y.astype(np.int32), []
+            for a, b, one, own in zip(first[wanted].tolist(), last[wanted].tolist(), plain[wanted].tolist(),
+                                      places[wanted].tolist(), strict=True):
+                pair = (int(doc[a]), int(source[a]))
+                if own:
+                    out.append((*pair, np.unique(x32[a:b]), y32[:0]))
+                elif one:
+                    out.append((*pair, x32[a:b], y32[a:b]))
+                else:
+                    out += [(*pair, x32[a:b][c], y32[a:b][c]) for c in best_chains(x[a:b], y[a:b])]
             return out
 
         kept = None
@@ -213,7 +338,7 @@ def _chains(matches: DataFrame) -> DataFrame:
         if kept is not None:
             yield pd.DataFrame(rows(kept), columns=columns)
 
-    return (matches.repartition("doc_id", "source").sortWithinPartitions("doc_id", "source", "pos", "source_pos")
+    return (matches.repartition("doc_id").sortWithinPartitions("doc_id", "source", "pos", "source_pos")
             .mapInPandas(run, "doc_id long, source long, xs array<int>, ys array<int>"))
 
 
@@ -228,13 +353,6 @@ def _extend(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.argmax(total)) + 1 if len(total) and total.max() > 0 else 0
 
 
-def _slice(places: str) -> Column:
-    """The words around a chain's seeds, ``MARGIN`` more at both ends."""
-    first = F.greatest(F.element_at(places, 1) - MARGIN, F.lit(0))
-    last = F.element_at(places, -1) + SEED_WORDS + MARGIN
-    return F.array_join(F.slice(words_of(F.col("text")), first + 1, last - first), " ")
-
-
 def aligned(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> list[tuple[int, int, int, int, float]]:
     """Passages (start and end in ``a``, in ``b``, similarity) of a chain of seeds at ``xs`` and ``ys``."""
     x0, x1, y0, y1 = int(xs[0]), int(xs[-1]) + SEED_WORDS, int(ys[0]), int(ys[-1]) + SEED_WORDS
@@ -253,26 +371,100 @@ def aligned(a: np.ndarray, b: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> lis
     return aligned(a, b, xs[:cut], ys[:cut]) + aligned(a, b, xs[cut:], ys[cut:])
 
 
-def _align(chains: DataFrame, base: DataFrame) -> DataFrame:
-    needed = chains.select("doc_id").unionByName(chains.select(F.col("source").alias("doc_id"))).distinct()
-    texts = materialise(base.join(needed, "doc_id", "left_semi"), "passage-texts")
+def _cut(base: DataFrame, chains: DataFrame) -> DataFrame:
+    """What chains and shared runs need of the texts, by ``kind``.
+
+    ``CHAINS``: a chain with its document's words around it; ``SOURCES``: the
+    words ``first`` to ``last`` of a source; from 0: all runs around the places
+    of shared ones, packed.  Each text is shuffled once.
+    """
+    pair = F.col("source") != F.col("doc_id")
+    own = chains.groupBy("doc_id").agg(F.collect_list(F.when(pair, F.struct("source", "xs", "ys"))).alias("chains"),
+                                       F.first(F.when(~pair, F.col("xs")), ignorenulls=True).alias("places"))
+    parts = (chains.where(pair).select(F.col("source").alias("doc_id"), F.struct(*_ends("ys")).alias("part"))
+             .groupBy("doc_id").agg(F.collect_set("part").alias("parts")))
+    needed = own.join(parts, "doc_id", "full_outer")
+    fields = "source long, xs array<int>, ys array<int>, first int, last int, part binary"
+    fields = f"kind int, doc_id long, {fields}, " + _Packer.FIELDS.split(", ", 1)[1]
+    columns = [c.split()[0] for c in fields.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        runs, nothing = _Packer(), [None] * 4
+
+        def packed(rows: list[tuple]) -> pd.DataFrame:
+            return pd.DataFrame([(kind, *[None] * 7, *rest) for kind, *rest in rows], columns=columns, dtype=object)
+
+        for batch in batches:
+            for h in hashed(batch["text"].tolist()):
+                part, first, count = batch.iloc[h.start:h.stop], h.first[:-1], h.lengths()
+                ids, bounds, out = part["doc_id"].to_numpy(np.int64), h.places, []
+                for doc, chained, parts, start, n in zip(ids.tolist(), part["chains"], part["parts"], first.tolist(),
+                                                         count.tolist(), strict=True):
+                    def words(a: int, b: int, start: int = start, n: int = n) -> bytes:
+                        return h.data[bounds[start + a]:bounds[start + min(b, n)]]
+                    for c in chained if chained is not None else ():
+                        a, b = max(int(c["xs"][0]) - MARGIN, 0), int(c["xs"][-1]) + SEED_WORDS + MARGIN
+                        out.append((CHAINS, doc, c["source"], c["xs"], c["ys"], None, None, words(a, b), *nothing))
+                    out += [(SOURCES, None, doc, None, None, p["first"], p["last"], words(p["first"], p["last"]), *nothing)
+                            for p in (parts if parts is not None else ())]
+                if out:
+                    yield pd.DataFrame(out, columns=columns, dtype=object)
+                shared = [(i, np.asarray(p)) for i, p in enumerate(part["places"]) if p is not None]
+                if shared:
+                    total = np.maximum(count - MIN_WORDS + 1, 0)
+                    at = np.concatenate([p for _, p in shared])
+                    text = np.repeat([i for i, _ in shared], [len(p) for _, p in shared])
+                    opened, closed = (np.bincount(first[text] + edge, minlength=len(h.words) + 1) for edge in (
+                        np.maximum(at + 1 - SPREAD, 0), np.minimum(at + SPREAD, total[text])))
+                    near = np.flatnonzero(np.cumsum(opened - closed) > 0)
+                    text = np.searchsorted(first, near, "right") - 1
+                    runs.add(long_runs(h.words)[near].view(np.int64), ids[text], near - first[text])
+                    if rows := runs.rows(False):
+                        yield packed(rows)
+        if rows := runs.rows(True):
+            yield packed(rows)
+
+    return (base.join(needed, "doc_id").select("doc_id", "text", "chains", "places", "parts")
+            .mapInPandas(run, fields))
+
+
+def _ends(places: str) -> list:
+    """The words around a chain's seeds, ``MARGIN`` more at both ends."""
+    return [F.greatest(F.element_at(places, 1) - MARGIN, F.lit(0)).alias("first"),
+            (F.element_at(places, -1) + SEED_WORDS + MARGIN).alias("last")]
+
+
+def _align(cuts: DataFrame) -> DataFrame:
+    chains = cuts.where(F.col("kind") == CHAINS).select("doc_id", "source", "xs", "ys", "part", *_ends("ys"))
+    sources = cuts.where(F.col("kind") == SOURCES).select("source", "first", "last", F.col("part").alias("source_part"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in PASSAGES.split(", ")]
+        kinds = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}
+        schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in PASSAGES.split(", ")])
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            words = []
+            for side in ("part", "source_part"):
+                words.append([h.words[a:b] for h in hashed(batch.column(side).to_pylist())
+                              for a, b in zip(h.first[:-1].tolist(), h.first[1:].tolist(), strict=True)])
+            chain = []
+            for side in ("xs", "ys"):
+                lists = batch.column(side)
+                values, ends = lists.flatten().to_numpy().astype(np.int64), np.cumsum(lists.value_lengths().to_numpy())
+                chain.append(np.split(values, ends[:-1]))
             out = []
-            for r in batch.itertuples(index=False):
-                xs, ys = np.asarray(r.xs, np.int64), np.asarray(r.ys, np.int64)
+            for doc, source, part, source_part, xs, ys in zip(
+                    batch.column("doc_id").to_pylist(), batch.column("source").to_pylist(), *words, *chain, strict=True):
                 a_from, b_from = max(int(xs[0]) - MARGIN, 0), max(int(ys[0]) - MARGIN, 0)
-                for x0, x1, y0, y1, same in aligned(word_hashes(r.part), word_hashes(r.source_part),
-                                                    xs - a_from, ys - b_from):
-                    out.append((r.doc_id, x0 + a_from, x1 + a_from, x1 - x0, r.source, y0 + b_from, y1 + b_from, same))
-            yield pd.DataFrame(out, columns=names)
+                for x0, x1, y0, y1, same in aligned(part, source_part, xs - a_from, ys - b_from):
+                    out.append((doc, x0 + a_from, x1 + a_from, x1 - x0, source, y0 + b_from, y1 + b_from, same))
+            columns = zip(*out, strict=True) if out else [[] for _ in names]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    joined = chains.join(texts, "doc_id").withColumn("part", _slice("xs")).drop("text")
-    joined = (joined.join(texts.withColumnRenamed("doc_id", "source"), "source")
-              .withColumn("source_part", _slice("ys")).drop("text"))
-    return joined.mapInPandas(run, PASSAGES)
+    return (chains.join(sources, ["source", "first", "last"])
+            .select("doc_id", "source", "xs", "ys", "part", "source_part").mapInArrow(run, PASSAGES))
 
 
 def long_runs(words: np.ndarray) -> np.ndarray:
@@ -286,36 +478,10 @@ def long_runs(words: np.ndarray) -> np.ndarray:
     return total
 
 
-def _runs(base: DataFrame, around: bool) -> DataFrame:
-    """Winnowed runs of ``MIN_WORDS`` words, or all runs ``around`` the places in column ``at``."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            ids, keys, places = [], [], []
-            for r in batch.itertuples(index=False):
-                runs = long_runs(word_hashes(r.text))
-                if around:
-                    near = np.unique(np.asarray(r.at)[:, None] + np.arange(1 - SPREAD, SPREAD))
-                    at = near[(near >= 0) & (near < len(runs))]
-                else:
-                    at = window_minima(runs, SPREAD)
-                ids.append(np.full(len(at), r.doc_id, np.int64))
-                keys.append(runs[at].view(np.int64))
-                places.append(at.astype(np.int32))
-            if ids:
-                yield pd.DataFrame({"run": np.concatenate(keys), "doc_id": np.concatenate(ids),
-                                    "pos": np.concatenate(places)})
-
-    return base.mapInPandas(run, "run long, doc_id long, pos int")
-
-
-def _exact(base: DataFrame, found: DataFrame) -> DataFrame:
+def _exact(cuts: DataFrame, found: DataFrame) -> DataFrame:
     """Exact repeats that no passage of ``found`` holds whole."""
-    same = Window.partitionBy("run")
-    shared = _runs(base, around=False).withColumns(
-        {"low": F.min("doc_id").over(same), "high": F.max("doc_id").over(same)}).where("low < high")
-    places = shared.groupBy("doc_id").agg(F.collect_set("pos").alias("at"))
-    matches = _matches(_runs(base.join(places, "doc_id"), around=True), "run").select(
-        "doc_id", "source", "pos", (F.col("source_pos") - F.col("pos")).alias("ahead"))
+    runs = cuts.where(F.col("kind") >= 0).select(*[c.split()[0] for c in _Packer.FIELDS.split(", ")])
+    matches = _matches(runs).select("doc_id", "source", "pos", (F.col("source_pos") - F.col("pos")).alias("ahead"))
     by = Window.partitionBy("doc_id", "source", "ahead").orderBy("pos")
     spans = (matches.withColumn("before", F.col("pos") - F.lag("pos").over(by))
              .withColumn("island", F.sum(F.when(F.col("before") <= MIN_WORDS, 0).otherwise(1)).over(by))
@@ -337,9 +503,10 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
 def _repeated(base: DataFrame) -> DataFrame:
     ship(base.sparkSession)
-    chains = materialise(_chains(_matches(_seeds(base), "seed")), "chains")
-    found = materialise(_align(chains, base), "aligned")
-    return found.unionByName(_exact(base, found))
+    chains = materialise(_chains(_matches(_keys(base))), "chains")
+    cuts = materialise(_cut(base, chains), "cuts")
+    found = materialise(_align(cuts), "aligned")
+    return found.unionByName(_exact(cuts, found))
 
 
 _WORD = re.compile(f"[^{SPACE_CLASS}]+")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
+
 import numpy as np
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWERS = np.cumprod(np.full(1 << 16, 0x100000001B3, np.uint64))   # wraps modulo 2**64
+_BYTE = np.arange(1, 257, dtype=np.uint64)
 PIECE = 1 << 22           # bytes hashed at a time; a word across the border is carried over
+GROUP = 1 << 17           # bytes of short texts hashed together
+SMALL = 1 << 22           # cells of an alignment up to which whole columns cost less than the band's vector steps
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -18,30 +24,68 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash_piece(data: np.ndarray) -> np.ndarray:
-    space = _IS_SPACE[data]
-    starts = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+def _hash_piece(data: np.ndarray, borders: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of ``data`` and the bytes where they begin; no word goes on across the ``borders``."""
+    letter = ~_IS_SPACE[data]
+    first = np.empty(len(data), bool)
+    first[:1], first[1:] = True, ~letter[:-1]
+    if borders is not None:
+        first[borders[borders < len(data)]] = True
+    starts = np.flatnonzero(letter & first)
     if not len(starts):
-        return np.zeros(0, np.uint64)
-    word = np.flatnonzero(~space)
-    first = np.cumsum(np.concatenate(([0], (word[1:] != word[:-1] + 1).astype(np.int64))))
-    at = word - starts[first]
-    parts = (data[word].astype(np.uint64) + np.uint64(1)) * _POWERS[at & 0xFFFF]
-    return mix(np.add.reduceat(parts, np.searchsorted(word, starts)) + _BASE)
+        return np.zeros(0, np.uint64), starts
+    word = np.flatnonzero(letter)
+    begin = np.searchsorted(word, starts)
+    at = np.arange(len(word)) - np.repeat(begin, np.diff(begin, append=len(word)))
+    return mix(np.add.reduceat(_BYTE[data[word]] * _POWERS[at & 0xFFFF], begin) + _BASE), starts
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash per word, in order; words are runs of characters that are no white space."""
-    data = np.frombuffer(text.encode(), np.uint8)
-    out, at = [], 0
+def _hash_long(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    out, places, at = [], [], 0
     while len(data) - at > PIECE:
         spaces = np.flatnonzero(_IS_SPACE[data[at:at + PIECE]])
         if not len(spaces):
             break                      # one word longer than a piece
-        out.append(_hash_piece(data[at:at + int(spaces[-1])]))
+        words, starts = _hash_piece(data[at:at + int(spaces[-1])])
+        out.append(words)
+        places.append(starts + at)
         at += int(spaces[-1])
-    out.append(_hash_piece(data[at:]))
-    return out[0] if len(out) == 1 else np.concatenate(out)
+    words, starts = _hash_piece(data[at:])
+    return np.concatenate([*out, words]), np.concatenate([*places, starts + at])
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """A 64-bit hash per word, in order; words are runs of characters that are no white space."""
+    return _hash_long(np.frombuffer(text.encode(), np.uint8))[0]
+
+
+class Hashed(NamedTuple):
+    """The words of texts ``start`` to ``stop``: those of the i-th are ``words[first[i]:first[i + 1]]``."""
+
+    start: int
+    stop: int
+    words: np.ndarray
+    first: np.ndarray
+    data: bytes               # the texts one after another
+    places: np.ndarray        # byte of ``data`` where each word begins, and where it ends
+
+    def lengths(self) -> np.ndarray:
+        return np.diff(self.first)
+
+
+def hashed(texts: Sequence[str | bytes]) -> Iterator[Hashed]:
+    """Word hashes of many texts, as ``word_hashes`` makes them, some ``GROUP`` bytes at a time."""
+    encoded = [t.encode() if isinstance(t, str) else t for t in texts]
+    ends = np.cumsum(np.fromiter(map(len, encoded), np.int64, len(encoded)))
+    start, done = 0, 0
+    while start < len(encoded):
+        stop = max(int(np.searchsorted(ends, done + GROUP, "right")), start + 1)
+        data = b"".join(encoded[start:stop])
+        borders = np.concatenate(([0], ends[start:stop] - done))
+        view = np.frombuffer(data, np.uint8)
+        words, places = _hash_long(view) if stop == start + 1 else _hash_piece(view, borders)
+        yield Hashed(start, stop, words, np.searchsorted(places, borders), data, np.append(places, len(data)))
+        start, done = stop, int(ends[stop - 1])
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -56,10 +100,82 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     return total
 
 
+def _edits_by_diagonals(a: list[int], b: list[int], limit: int) -> int | None:
+    """Edit distance if at most ``limit``, else None, by the furthest row that ``d`` edits reach on each diagonal."""
+    n, m = len(a), len(b)
+    a, b = [*a, -1], [*b, -2]               # ends that equal nothing
+    low, mid, target = -2 * limit - 4, limit + 1, limit + 1 + m - n
+    rows = [low] * (2 * limit + 3)
+    for d in range(limit + 1):
+        new = [low] * (2 * limit + 3)
+        for k in range(max(mid - d, target - limit + d), min(mid + d, target + limit - d) + 1):
+            i = max(rows[k] + 1, rows[k + 1] + 1, rows[k - 1]) if d else 0
+            i = min(i, n, m - k + mid)
+            j = i + k - mid
+            if i < 0 or j < 0:
+                continue
+            while a[i] == b[j]:
+                i += 1
+                j += 1
+            new[k] = i
+        if new[target] >= n:
+            return d
+        rows = new
+    return None
+
+
+def _edits_by_columns(a: list[int], b: list[int], limit: int) -> int | None:
+    """Edit distance if at most ``limit``, else None, by columns of the full table kept as bits of whole numbers (Myers)."""
+    at: dict[int, int] = {}
+    bit = 1
+    for w in a:
+        at[w] = at.get(w, 0) | bit
+        bit <<= 1
+    full, top = bit - 1, bit >> 1
+    edits, up, down, ahead = len(a), full, 0, len(b)
+    for w in b:
+        equal = at.get(w, 0)
+        ahead -= 1
+        down_or = equal | down
+        across = (((equal & up) + up) ^ up) | equal
+        more, less = (down | ~(across | up)) & full, up & across
+        if more & top:
+            edits += 1
+        elif less & top:
+            edits -= 1
+        if edits - ahead > limit:           # each column to come takes one edit away at most
+            return None
+        more, less = (more << 1) | 1, less << 1
+        up, down = (less | ~(down_or | more)) & full, more & down_or
+    return edits if edits <= limit else None
+
+
+def _edits_of_short(a: np.ndarray, b: np.ndarray, limit: int, least: int) -> int | None:
+    """As ``edits_within`` for texts of which at least ``least`` edits are known: few edits by diagonals, more by columns."""
+    a, b = a.tolist(), b.tolist()
+    few = min(limit, int((3 * len(a)) ** 0.5))
+    if least <= few:
+        edits = _edits_by_diagonals(a, b, few)
+        if edits is not None or few == limit:
+            return edits
+    return _edits_by_columns(a, b, limit)
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many words two texts have in common, each as often as in both."""
+    every = np.concatenate((a, b))
+    order = np.argsort(every, kind="stable")
+    ranked = every[order]
+    edge = np.append(np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1]))), len(ranked))
+    of_a = np.concatenate(([0], np.cumsum(order < len(a))))[edge]
+    in_a, both = np.diff(of_a), np.diff(edge)
+    return int(np.minimum(in_a, both - in_a).sum())
+
+
 def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     """Edit distance of two word sequences if it is at most ``limit``, else None.
 
-    A banded alignment: only diagonals within ``limit`` of the main one are
+    Short texts are aligned whole.  Longer ones by a band: only diagonals within ``limit`` of the main one are
     followed, each kept by the furthest row that ``d`` edits reach, so time is
     about ``limit`` vector steps and memory a band.
     """
@@ -79,10 +195,11 @@ def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> int | None:
     if not n or not m:
         return n + m if n + m <= limit else None
     # words that the other text lacks cost an edit each
-    (va, ca), (vb, cb) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
-    both, ia, ib = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
-    if max(n, m) - int(np.minimum(ca[ia], cb[ib]).sum()) > limit:
+    least = max(n, m) - _common(a, b)
+    if least > limit:
         return None
+    if n * m <= SMALL:
+        return _edits_of_short(a, b, limit, least)
 
     step = 32
     a_pad = np.concatenate((a, np.zeros(step, np.uint64)))

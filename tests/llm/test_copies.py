@@ -5,7 +5,7 @@ import random
 import numpy as np
 
 from finlake.llm import components, line_dedup, near_dedup, passages
-from finlake.llm.wordhash import edits_within, shingles, word_hashes
+from finlake.llm.wordhash import edits_within, hashed, shingles, word_hashes
 from tests.llm.cases import awkward, edited, frame, words
 
 
@@ -291,3 +291,56 @@ def test_passages_make_each_key_once(spark, monkeypatch):
     assert len(made) == 5                               # seeds, chains, alignment, run keys, runs around them
     got = {(r.doc_id, r.source_doc_id, r.n_words) for r in df.collect()}
     assert got == {(i, 0, 70) for i in (1, 2, 3)}
+
+
+def test_texts_hashed_together_have_the_words_of_each():
+    r = random.Random(13)
+    texts = [" ".join(r.choice(["a", "é", "x\t", "\n", "", f"w{i}"]) for _ in range(r.randint(0, 40))) for i in range(200)]
+    texts += ["", "end", "start", "q " * 200_000, "z" * 150_000]
+    groups = list(hashed(texts))
+    assert len(groups) > 2 and [h.stop for h in groups[:-1]] == [h.start for h in groups[1:]]
+    for h in groups:
+        for i, a, b in zip(range(h.start, h.stop), h.first[:-1], h.first[1:], strict=True):
+            assert h.words[a:b].tolist() == word_hashes(texts[i]).tolist()
+            assert [h.data[h.places[k]:h.places[k + 1]].split()[0].decode() for k in range(a, b)] == texts[i].split()
+
+
+def test_keys_of_many_texts_are_those_of_each():
+    r = random.Random(14)
+    texts = [np.array([r.randrange(r.choice([2, 5, 10**9])) for _ in range(r.choice([0, 39, 40, 45, 52, 200]))], np.uint64)
+             for _ in range(150)]
+    first = np.cumsum([0, *map(len, texts)])
+    count = np.array([len(t) if len(t) >= passages.MIN_WORDS else 0 for t in texts])
+    text, keys, at = passages.seeds_of_texts(np.concatenate(texts), first[:-1], count)
+    runs = passages.long_runs(np.concatenate(texts))
+    of, run_at = passages.minima_of_texts(runs, first[:-1], np.maximum(count - passages.MIN_WORDS + 1, 0), passages.SPREAD)
+    for i, t in enumerate(texts):
+        want = passages.window_minima(shingles(t, passages.SEED_WORDS), passages.WINDOW).tolist() if count[i] else []
+        assert sorted(set(at[text == i] - first[i])) == want
+        assert len(set(keys[text == i].tolist())) == len(keys[text == i])       # a repeated k-mer goes by its number too
+        want = passages.window_minima(passages.long_runs(t), passages.SPREAD).tolist() if count[i] else []
+        assert (run_at[of == i] - first[i]).tolist() == want
+
+
+def test_passage_keys_travel_packed(spark):
+    rows = [(i - 50, " ".join(words(200, 40_000 + i % 90))) for i in range(100)]
+    keys = passages._keys(frame(spark, rows).select("doc_id", "text").coalesce(1))
+    packed = keys.collect()
+    assert sum(len(r.keys) for r in packed) // 8 > 5000 and len(packed) <= 2 * passages.GROUPS
+    got = {(r.doc_id, r.source, r.pos) for r in passages._matches(keys).collect()}
+    assert {(d, s) for d, s, _ in got if d != s} == {(i + 40, i - 50) for i in range(10)}
+
+
+def test_a_chain_without_gaps_is_the_best_chain(spark):
+    r, rows = random.Random(15), []
+    for pair in range(40):
+        x = np.cumsum([r.randint(1, r.choice([8, 90])) for _ in range(r.randint(1, 30))])
+        y = x + (np.cumsum([r.randint(0, r.choice([1, 60])) for _ in x]) if pair % 2 else r.randint(0, 9))
+        rows += [(100 + pair % 7, pair, int(a), int(b)) for a, b in zip(x, y, strict=True)]
+    got = [(c.doc_id, c.source, c.xs, c.ys) for c in passages._chains(
+        spark.createDataFrame(rows, "doc_id long, source long, pos int, source_pos int")).collect()]
+    want = []
+    for pair in range(40):
+        x, y = (np.array([row[k] for row in rows if row[1] == pair]) for k in (2, 3))
+        want += [(100 + pair % 7, pair, x[c].tolist(), y[c].tolist()) for c in passages.best_chains(x, y)]
+    assert sorted(got) == sorted(want)
