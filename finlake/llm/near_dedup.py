@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from finlake.llm.common import ids_of, materialise, rows_with_nodes, ship, text_nodes, text_of
 from finlake.llm.components import components
-from finlake.llm.wordhash import edits_within, mix, shingles, word_hashes
+from finlake.llm.wordhash import edits_within, hashed, mix, shingles
 
 SHINGLE = 5
 PICKS = 2
@@ -52,6 +52,7 @@ PIECE = 1 << 16           # k-mers hashed at a time
 SHARED = 3                # rarest words that two texts must share before they are aligned
 COUNTERS = 1 << 16        # counters of the words' frequencies; they only set the order
 BLOCK = 256               # texts that share a word and are paired in one row's reach
+_MOST = np.uint64(2**64 - 1)
 FEW = 0.05                # share of the open members under which a round's links end the rounds
 
 
@@ -93,14 +94,51 @@ def order_sketches(words: np.ndarray, k: int = SHINGLE, picks: int = PICKS, sket
     return key.view(np.int64)
 
 
+def sketches_of_texts(words: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """``order_sketches`` of the texts with the words ``first[i]`` to ``first[i + 1]``, all texts at a time."""
+    count = np.diff(first) - SHINGLE + 1
+    usual = np.flatnonzero((count >= PICKS) & (count <= PIECE))
+    keys = {i: order_sketches(words[first[i]:first[i + 1]]) for i in np.flatnonzero((count < PICKS) | (count > PIECE)).tolist()}
+    if len(usual):
+        count = count[usual]
+        start = np.cumsum(count) - count
+        text = np.repeat(np.arange(len(usual)), count)
+        kmers = shingles(words, SHINGLE)[np.arange(len(text)) + np.repeat(first[:-1][usual] - start, count)]
+        labelled = mix(kmers)
+        marked = kmers ^ mix(text.astype(np.uint64) + np.uint64(1))      # equal where a text repeats a k-mer
+        ranked = np.sort(marked)
+        again = np.unique(ranked[1:][ranked[1:] == ranked[:-1]])
+        if len(again):
+            for i in np.unique(text[np.isin(marked, again)]).tolist():
+                own = slice(start[i], start[i] + count[i])
+                labelled[own] = occurrences(kmers[own])
+        seeds = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+        found = np.empty((len(usual), SKETCHES), np.uint64)
+        for k, seed in enumerate(seeds):
+            value = (labelled ^ seed) * (seed | np.uint64(1))
+            value ^= value >> np.uint64(32)
+            at = np.empty((PICKS, len(usual)), np.int64)
+            for pick in range(PICKS):
+                least = np.flatnonzero(value == np.repeat(np.minimum.reduceat(value, start), count))
+                at[pick] = least[np.searchsorted(least, start)]
+                value[at[pick]] = _MOST
+            key = np.full(len(usual), seed)
+            for row in np.sort(at, axis=0):
+                key = mix(key + kmers[row])
+            found[:, k] = key
+        keys.update(zip(usual.tolist(), found.view(np.int64), strict=True))
+    return [keys[i] for i in range(len(first) - 1)]
+
+
 def _sketch(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hashes = [word_hashes(t) for t in batch["text"]]
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"],
-                "digest": [hashlib.blake2b(h.tobytes(), digest_size=16).digest() for h in hashes],
-                "keys": [order_sketches(h) for h in hashes]}).astype({"doc_id": "Int64"})
+            digests, keys = [], []
+            for h in hashed(batch["text"].tolist()):
+                digests += [hashlib.blake2b(h.words[a:b].tobytes(), digest_size=16).digest()
+                            for a, b in zip(h.first[:-1].tolist(), h.first[1:].tolist(), strict=True)]
+                keys += sketches_of_texts(h.words, h.first)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": digests, "keys": keys}).astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInPandas(
         run, "doc_id long, digest binary, keys array<long>")
@@ -121,18 +159,28 @@ def _hubs(members: DataFrame, turn: int) -> DataFrame:
             .where("low <> high"))
 
 
+def _words(texts: list[str]) -> Iterator[np.ndarray]:
+    """The word hashes of each text."""
+    for h in hashed(texts):
+        for a, b in zip(h.first[:-1].tolist(), h.first[1:].tolist(), strict=True):
+            yield h.words[a:b]
+
+
 def _verify(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs whose texts align well enough."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ok, hub, hub_text = [], None, None
-            for left, right in zip(batch["text_a"], batch["text_b"], strict=True):
-                if right is not hub_text:
-                    hub, hub_text = word_hashes(right), right
-                other = word_hashes(left)
-                longer = max(len(hub), len(other))
+            sides = []
+            for side in ("a", "b"):
+                # rows come by text, and each one's words are hashed once
+                new = (batch[side] != batch[side].shift()).to_numpy()
+                words = list(_words(batch.loc[new, f"text_{side}"].tolist()))
+                sides.append([words[i] for i in np.cumsum(new) - 1])
+            ok = []
+            for a, b in zip(*sides, strict=True):
                 # in whole edits, so that a similarity of exactly the limit counts
-                ok.append(edits_within(other, hub, int(longer * (1 - similarity) + 1e-9)) is not None)
+                limit = int(max(len(a), len(b)) * (1 - similarity) + 1e-9)
+                ok.append(edits_within(a, b, limit) is not None)
             yield batch.loc[ok, ["a", "b"]]
 
     joined = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
@@ -145,8 +193,7 @@ def _frequencies(texts: DataFrame) -> np.ndarray:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
-            for text in batch["text"]:
-                words = word_hashes(text)
+            for words in _words(batch["text"].tolist()):
                 if len(words):
                     total += np.bincount((occurrences(words) % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         at = np.flatnonzero(total)
@@ -179,7 +226,7 @@ def _rest(shared: DataFrame, classes: DataFrame | None, texts: DataFrame, simila
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            hashes = [word_hashes(t) for t in batch["text"]]
+            hashes = list(_words(batch["text"].tolist()))
             words = [rarest(h, counts, similarity).view(np.int64) for h in hashes]
             times = [len(w) for w in words]
             yield pd.DataFrame({

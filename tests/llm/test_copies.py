@@ -344,3 +344,28 @@ def test_a_chain_without_gaps_is_the_best_chain(spark):
         x, y = (np.array([row[k] for row in rows if row[1] == pair]) for k in (2, 3))
         want += [(100 + pair % 7, pair, x[c].tolist(), y[c].tolist()) for c in passages.best_chains(x, y)]
     assert sorted(got) == sorted(want)
+
+
+def test_sketches_of_many_texts_are_those_of_each():
+    r = random.Random(16)
+    texts = [" ".join(f"w{r.randrange(r.choice([2, 9999]))}" for _ in range(r.choice([0, 3, 5, 6, 7, 300]))) for _ in range(200)]
+    for h in hashed(texts):
+        got = near_dedup.sketches_of_texts(h.words, h.first)
+        for keys, t in zip(got, texts[h.start:h.stop], strict=True):
+            assert keys.tolist() == near_dedup.order_sketches(word_hashes(t)).tolist()
+
+
+def test_short_alignments_equal_the_full_table():
+    r = random.Random(17)
+    for n in (1, 7, 60, 150):
+        for _ in range(25):
+            a = [r.randint(1, r.choice([3, 300])) for _ in range(n)]
+            b = list(a)
+            for _ in range(r.randint(0, n // 3 + 1)):       # few edits go by diagonals, many by columns
+                at = r.randint(0, len(b))
+                b[at:at + r.randint(0, 2)] = [r.randint(1, 300)] * r.randint(0, 2)
+            want = edit_distance(a, b)
+            for limit in (want - 1, want, want + 9):
+                if limit >= 0:
+                    assert edits_within(np.array(a, np.uint64), np.array(b, np.uint64), limit) == (
+                        want if want <= limit else None)
