@@ -15,8 +15,11 @@ What is left is settled exactly.  In a bucket that still holds several classes
 every pair of members of different classes counts, found by a prefix filter:
 texts within the limit of edits share at least ``SHARED`` of each one's rarest
 words, as many as the limit of edits and ``SHARED`` more, in any one order of
-the words.  Words that many of the texts hold are dealt out in blocks of
-``BLOCK`` texts.  Classes are the connected components of the links.
+the words.  A word that at most ``LIST`` of these texts hold brings them
+together.  Texts with a word that more of them hold meet in their buckets, by
+blocks of about ``ROOM`` words: two are aligned if they have enough words in
+common, and a link between two classes is enough for a pair of blocks.  Classes
+are the connected components of the links.
 
 Texts with the same words in the same order are one node from the start, so a
 large group of copies costs a row each, and buckets are reduced before they
@@ -37,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.common import ids_of, materialise, rows_with_nodes, ship, text_nodes, text_of
@@ -51,7 +54,11 @@ SIMILARITY = 0.8
 PIECE = 1 << 16           # k-mers hashed at a time
 SHARED = 3                # rarest words that two texts must share before they are aligned
 COUNTERS = 1 << 16        # counters of the words' frequencies; they only set the order
-BLOCK = 256               # texts that share a word and are paired in one row's reach
+LIST = 128                # texts that hold a rare word at most; a word that more hold is left to blocks
+PART = 1 << 15            # rare words of texts whose holders are paired together, about
+STRIPE = 1 << 14          # words of a text that meets all others in one row
+ROOM = 1 << 17            # words of a block's texts, about
+EACH = 256                # words that a text counts for besides its own
 _MOST = np.uint64(2**64 - 1)
 FEW = 0.05                # share of the open members under which a round's links end the rounds
 
@@ -212,15 +219,141 @@ def rarest(words: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarr
     return labelled[order[:int(len(words) * (1 - similarity) + 1e-9) + SHARED]]
 
 
-def _rest(shared: DataFrame, classes: DataFrame | None, texts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs ``a, b`` that hold every link between members of different classes of a bucket."""
+def overlaps(words: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
+    """How many words each text has in common with each of the others, each word as often as in both."""
+    every = np.concatenate([occurrences(w) if len(w) else w for w in others])
+    whose = np.repeat(np.arange(len(others)), [len(w) for w in others])
+    order = np.argsort(every)
+    every, whose = every[order], whose[order]
+    common = np.zeros((len(words), len(others)), np.int64)
+    for i, w in enumerate(words):
+        labelled = occurrences(w) if len(w) else w
+        low, high = np.searchsorted(every, labelled), np.searchsorted(every, labelled, "right")
+        times = high - low
+        at = np.arange(times.sum()) + np.repeat(low - (np.cumsum(times) - times), times)
+        common[i] = np.bincount(whose[at], minlength=len(others))
+    return common
+
+
+def _by_rare_words(words: DataFrame, parts: int, similarity: float) -> DataFrame:
+    """Pairs that share ``SHARED`` of the given rows' words, each of which few texts hold.
+
+    The words are dealt out in parts; what an open text meets in a part travels as one row.
+    """
+    def meet(part: pd.DataFrame) -> pd.DataFrame:
+        word = part["word"].to_numpy(np.int64)
+        order = np.argsort(word, kind="stable")
+        word = word[order]
+        node, own, n_words = (part[c].to_numpy(np.int64)[order] for c in ("node", "own", "n_words"))
+        is_open = part["open"].to_numpy(bool)[order]
+        x = np.flatnonzero(is_open)
+        low = np.searchsorted(word, word[x])
+        times = np.searchsorted(word, word[x], "right") - low
+        other = np.arange(times.sum()) + np.repeat(low - (np.cumsum(times) - times), times)
+        x = np.repeat(x, times)
+        longer, shorter = np.maximum(n_words[x], n_words[other]), np.minimum(n_words[x], n_words[other])
+        ok = ((own[x] != own[other]) & (~is_open[other] | (node[x] > node[other]))
+              & (longer - shorter <= longer * (1 - similarity) + 1e-9))
+        x, other = x[ok], node[other[ok]]
+        # what a long text meets is dealt out in stripes of the others
+        stripe = other % np.maximum(-(-n_words[x] // STRIPE), 1)
+        order = np.lexsort((stripe, node[x]))
+        x, other, stripe = node[x][order], other[order], stripe[order]
+        edge = np.flatnonzero((np.diff(x, prepend=-1) != 0) | (np.diff(stripe, prepend=0) != 0))
+        edge[:1] = 0
+        return pd.DataFrame({"node": x[edge], "stripe": stripe[edge],
+                             "met": [other[a:b].tobytes() for a, b in zip(edge, np.append(edge[1:], len(x)), strict=True)]})
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for node, met in zip(batch["node"].tolist(), batch["met"], strict=True):
+                others, common = np.unique(np.frombuffer(b"".join(met), np.int64), return_counts=True)
+                b.append(others[common >= SHARED])
+                a.append(np.full(len(b[-1]), node))
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    return (words.groupBy(F.pmod("word", F.lit(parts))).applyInPandas(meet, "node long, stripe long, met binary")
+            .groupBy("node", "stripe").agg(F.collect_list("met").alias("met")).select("node", "met")
+            .mapInPandas(count, "a long, b long").distinct())
+
+
+def _in_blocks(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links between members ``key, node, own, open, n_words`` of a bucket of which one is open, a link for two classes at least.
+
+    Members are dealt out in blocks, and blocks meet: two texts are aligned if
+    they have as many words in common as the limit of edits asks for, unless
+    an earlier bucket holds both or their classes are linked already.
+    """
+    def room(which: Column) -> Column:
+        return F.ceil(F.sum(F.when(which, F.col("n_words") + EACH).otherwise(0)) / ROOM).cast("int")
+
+    blocks = members.groupBy("key").agg(room(F.col("open")).alias("opens"), room(~F.col("open")).alias("others"))
+    dealt = F.xxhash64("node", "key")
+    cells = (members.join(blocks.where("opens > 0"), "key")
+             .withColumn("block", F.when(F.col("open"), F.pmod(dealt, F.col("opens")))
+                         .otherwise(F.col("opens") + F.pmod(dealt, F.greatest("others", F.lit(1)))).cast("int"))
+             .withColumn("with", F.explode(F.sequence(
+                 F.lit(0), F.col("opens") - 1 + F.when(F.col("open"), F.col("others")).otherwise(0))))
+             .select("key", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "node", "own"))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            words = [w.tobytes() for w in _words(batch["text"].tolist())]
+            yield pd.DataFrame({"node": batch["node"], "keys": batch["keys"], "words": words})
+
+    keys = members.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    coded = materialise(texts.join(keys, "node").select("node", "keys", "text").mapInPandas(
+        pack, "node long, keys array<long>, words binary"), "rest-words")
+
+    def run(cell: pd.DataFrame) -> pd.DataFrame:
+        key, same = cell["key"].iloc[0], cell["i"].iloc[0] == cell["j"].iloc[0]
+        a = cell[cell["block"] == cell["i"]]
+        b = cell[cell["block"] == cell["j"]]
+        words, others = ([np.frombuffer(w, np.uint64) for w in side["words"]] for side in (a, b))
+        nodes, other_nodes = a["node"].to_numpy(), b["node"].to_numpy()
+        own, other_own = a["own"].to_numpy(), b["own"].to_numpy()
+        n, m = (np.array([len(w) for w in side], np.int64) for side in (words, others))
+        longer = np.maximum(n[:, None], m)
+        limit = (longer * (1 - similarity) + 1e-9).astype(np.int64)
+        meet = (own[:, None] != other_own) & (np.abs(n[:, None] - m) <= limit)
+        if same:
+            meet &= nodes[:, None] > other_nodes
+        # an earlier bucket that holds both has them
+        earlier = [[k[k < key] for k in side["keys"]] for side in (a, b)]
+        every = np.unique(np.concatenate([*earlier[0], *earlier[1]]))
+        held = [np.zeros((len(side), len(every)), np.float32) for side in earlier]
+        for has, side in zip(held, earlier, strict=True):
+            has[np.repeat(np.arange(len(side)), [len(k) for k in side]), np.searchsorted(every, np.concatenate(side))] = 1
+        meet &= held[0] @ held[1].T == 0
+        rows, columns = np.flatnonzero(meet.any(axis=1)), np.flatnonzero(meet.any(axis=0))
+        links, joined = [], set()
+        if len(rows):
+            common = overlaps([words[i] for i in rows], [others[j] for j in columns])
+            at = np.ix_(rows, columns)
+            good = meet[at] & (longer[at] - common <= limit[at])
+            x, y = np.nonzero(good)
+            for k in np.argsort(-common[x, y], kind="stable"):
+                i, j = rows[x[k]], columns[y[k]]
+                classes = (own[i], other_own[j])
+                if classes not in joined and edits_within(words[i], others[j], int(limit[i, j])) is not None:
+                    joined.add(classes)
+                    links.append((max(nodes[i], other_nodes[j]), min(nodes[i], other_nodes[j])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return cells.join(coded, "node").groupBy("key", "i", "j").applyInPandas(run, "a long, b long").distinct()
+
+
+def _rest(shared: DataFrame, classes: DataFrame | None, texts: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` to be aligned and links ``a, b``, which join all that members of different classes of a bucket join."""
     members = materialise(_labelled(shared, "node", classes, "own"), "bucket-classes")
     sizes = members.groupBy("key", "own").agg(F.count(F.lit(1)).alias("n"))
     main = sizes.groupBy("key").agg(F.max_by("own", F.struct("n", "own")).alias("main"), F.count(F.lit(1)).alias("classes"),
-                                    F.sum("n").alias("size")).where("classes > 1 AND size > 3")
+                                    F.sum("n").alias("size")).where("classes > 1 AND size > 3").select("key", "main")
     # of two members of different classes at least one is not in the bucket's main class
-    left = materialise(members.join(main, "key").groupBy("node", "own").agg(
-        F.max(F.col("own") != F.col("main")).alias("open")), "rest")
+    members = members.join(main, "key").select("key", "node", "own", (F.col("own") != F.col("main")).alias("open"))
+    left = materialise(members.groupBy("node", "own").agg(F.max("open").alias("open")), "rest")
     held = materialise(texts.join(left, "node"), "rest-texts")
     counts = _frequencies(held)
 
@@ -236,18 +369,13 @@ def _rest(shared: DataFrame, classes: DataFrame | None, texts: DataFrame, simila
                 "n_words": np.repeat(np.array([len(h) for h in hashes], np.int64), times)})
 
     words = materialise(held.mapInPandas(run, "word long, node long, own long, open boolean, n_words long"), "rare-words")
-    blocks = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any")).where("n > 1 AND any").select(
-        "word", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    words = words.join(blocks, "word")
-    one = words.where("open").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    other = words.select("word", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
-                         *[F.col(c).alias(f"other_{c}") for c in ("node", "own", "open", "n_words")])
-    longer, shorter = F.greatest("n_words", "other_n_words"), F.least("n_words", "other_n_words")
-    return (one.join(other, ["word", "block"])
-            .where((F.col("own") != F.col("other_own")) & (~F.col("other_open") | (F.col("node") > F.col("other_node")))
-                   & (longer - shorter <= longer * (1 - similarity) + 1e-9))
-            .groupBy(F.greatest("node", "other_node").alias("a"), F.least("node", "other_node").alias("b"))
-            .agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= SHARED).select("a", "b"))
+    frequent = materialise(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LIST)
+                           .select("word"), "frequent-words")
+    # two texts share either SHARED words that few hold or a word that many hold
+    few = words.join(frequent, "word", "left_anti")
+    many = words.join(frequent, "word", "left_semi").groupBy("node").agg(F.first("n_words").alias("n_words"))
+    met = materialise(members.join(many, "node"), "rest-members")
+    return _by_rare_words(few, words.count() // PART + 1, similarity), _in_blocks(met, texts, similarity)
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -304,8 +432,10 @@ def _classes(docs: DataFrame, similarity: float) -> DataFrame:
         if open_members.isEmpty():
             break
         turn += 1
-    pairs = materialise(_rest(shared, classes, texts, similarity).join(tried, ["a", "b"], "left_anti"), "rest-pairs")
-    return materialise(components(links.unionByName(_verify(pairs, texts, similarity))), "classes")
+    pairs, found = _rest(shared, classes, texts, similarity)
+    found = materialise(found, "rest-links")
+    pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    return materialise(components(links.unionByName(found).unionByName(_verify(pairs, texts, similarity))), "classes")
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

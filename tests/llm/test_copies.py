@@ -210,6 +210,51 @@ def test_pairs_in_a_hot_bucket_of_unrelated_texts(spark):
     assert {i: c for i, c in got.items() if i != c} == {5000 + i: 100 * i + 50 for i in range(20)}
 
 
+def test_members_outside_a_large_class_are_not_paired_with_all_of_it(spark, monkeypatch):
+    """Each holds the core of the class, is no copy of its members, and has few words rarer than the core's."""
+    r, core, header = random.Random(21), words(200, 9210), words(60, 9211)
+    often = [f"often{i}" for i in range(40)]
+    some = lambda n: r.sample(often, n)
+    members = [(i, " ".join([*core, *(f"m{i}w{k}" for k in range(20))])) for i in range(180)]
+    outside = [(1000 + i, " ".join([*core, *(f"x{i}w{k}" for k in range(30)), *some(40)])) for i in range(50)]
+    # copies of one member each, at the limit
+    chained = [(2000 + i, " ".join([members[30 + 9 * i][1], *(f"c{i}w{k}" for k in range(18)), *some(36)])) for i in range(6)]
+    unrelated = [(3000 + i, " ".join([*header, *some(40), *(f"u{i}w{k}" for k in range(60))])) for i in range(320)]
+    hashes = {i: word_hashes(t) for i, t in members + outside + chained}
+    link = lambda a, b: edits_within(
+        hashes[a], hashes[b], int(max(len(hashes[a]), len(hashes[b])) * 0.2 + 1e-9)) is not None
+    assert not any(link(x, i) for x, _ in outside for i, _ in members + chained)
+    assert all([i for i, _ in members if link(c, i)] == [30 + 9 * (c - 2000)] for c, _ in chained)
+    parent = {x: x for x, _ in outside}
+    for x, _ in outside:
+        for y, _ in outside:
+            if y < x and link(x, y):
+                parent[x] = min(parent[x], parent[y])
+    assert len(set(parent.values())) == len(outside)
+    want = parent | {i: 0 for i, _ in members + chained} | {i: i for i, _ in unrelated}
+    sent, verify = [], near_dedup._verify
+
+    def counted(pairs, texts, similarity):
+        sent.append(pairs)
+        return verify(pairs, texts, similarity)
+    monkeypatch.setattr(near_dedup, "_verify", counted)
+    docs = frame(spark, members + outside + chained + unrelated)
+    assert {x.doc_id: x.class_id for x in near_dedup.near_classes(docs).collect()} == want
+    assert sent[-1].count() < 2000                      # of 9000 pairs of an outside text and a member
+    for name, value in (("LIST", 5), ("PART", 1000), ("STRIPE", 64), ("ROOM", 4000)):
+        monkeypatch.setattr(near_dedup, name, value)    # several blocks, parts and stripes
+    assert {x.doc_id: x.class_id for x in near_dedup.near_classes(docs).collect()} == want
+
+
+def test_common_words_count_as_often_as_in_both():
+    r = random.Random(22)
+    texts = [np.array([r.randrange(9) for _ in range(r.randint(0, 30))], np.uint64) for _ in range(40)]
+    got = near_dedup.overlaps(texts[:15], texts[15:])
+    for i, a in enumerate(texts[:15]):
+        for j, b in enumerate(texts[15:]):
+            assert got[i, j] == sum(min((a == w).sum(), (b == w).sum()) for w in range(9))
+
+
 def test_texts_within_the_limit_share_rarest_words():
     r = random.Random(12)
     counts = np.array([r.randrange(50) for _ in range(512)])
