@@ -259,10 +259,11 @@ def _by_rare_words(words: DataFrame, parts: int, similarity: float) -> DataFrame
         stripe = other % np.maximum(-(-n_words[x] // STRIPE), 1)
         order = np.lexsort((stripe, node[x]))
         x, other, stripe = node[x][order], other[order], stripe[order]
-        edge = np.flatnonzero((np.diff(x, prepend=-1) != 0) | (np.diff(stripe, prepend=0) != 0))
-        edge[:1] = 0
+        new = np.ones(len(x), bool)
+        new[1:] = (x[1:] != x[:-1]) | (stripe[1:] != stripe[:-1])
+        edge = np.flatnonzero(new)
         return pd.DataFrame({"node": x[edge], "stripe": stripe[edge],
-                             "met": [other[a:b].tobytes() for a, b in zip(edge, np.append(edge[1:], len(x)), strict=True)]})
+                             "met": [other[a:b].tobytes() for a, b in zip(edge, np.append(edge, len(x))[1:], strict=True)]})
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
