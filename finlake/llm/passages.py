@@ -539,6 +539,8 @@ def drop_passages(docs: DataFrame) -> DataFrame:
         return pd.Series([t if f is None else cut_words(t, [(s["start_word"], s["end_word"]) for s in f])
                           for t, f in zip(text, found, strict=True)], dtype=object)
 
+    # else the filter below is planned with a cut of its own: a second Python worker for each task, kept after the task
+    cut = cut.asNondeterministic()
     joined = rows_with_nodes(docs, later).join(spans, "node", "left")
     left = joined.withColumn("_text", F.when(F.col("_passages").isNotNull(), cut(text_of("row.text"), "_passages"))
                              .otherwise(F.col("row.text")))

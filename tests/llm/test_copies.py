@@ -414,3 +414,11 @@ def test_short_alignments_equal_the_full_table():
                 if limit >= 0:
                     assert edits_within(np.array(a, np.uint64), np.array(b, np.uint64), limit) == (
                         want if want <= limit else None)
+
+
+def test_passages_are_cut_by_one_python_worker_of_a_task(spark):
+    passage = " ".join(words(60, 1))
+    docs = frame(spark, [(1, passage), (2, passage), (3, passage + " " + " ".join(words(50, 2)))])
+    left = passages.drop_passages(docs)
+    assert left._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert {r.doc_id: r.n_chars for r in left.collect()} == {1: len(passage), 3: len(" ".join(words(50, 2)))}
